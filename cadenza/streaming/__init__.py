@@ -1,0 +1 @@
+"""Structured Streaming use of the count operators (see ``counts``)."""
