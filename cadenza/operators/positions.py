@@ -19,6 +19,15 @@ Here every position is computed in two passes that stay in the JVM:
    group is already split by partition). Tables with one row per partition are
    bounded by the partition count and are broadcast explicitly.
 
+Both passes must see one and the same layout. The range bounds are sampled from
+the input, and a shuffled input arrives in a different order on every
+evaluation (and may hold values from floating sums that differ in the last
+bit), so two evaluations can disagree. The tagged layout is therefore written
+once with a reliable ``checkpoint()`` into the session's checkpoint folder and
+both passes read that copy; a lost executor then re-reads it instead of
+recomputing a different layout. ``pinned=True`` skips this when the caller has
+already stored the input, e.g. as a checkpoint or a table.
+
 Rows that tie on every ordering column land in an arbitrary order among
 themselves; callers order by all columns that matter so such rows are identical.
 """
@@ -27,9 +36,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.session import ensure_checkpoint_dir
+
 PID = "_cz_pid"
 LOCAL = "_cz_local"
 _MONO = "_cz_mono"
@@ -42,18 +54,32 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Evaluate ``df`` once and return a copy read from the reliable checkpoint
+    folder (cached while it is written, so the plan runs a single time)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def range_layout(df: DataFrame, order: Sequence[Column],
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
     """Range-partition ``df`` on ``order``, sort each partition, and tag every row
-    with its partition id (``PID``) and 0-based position inside it (``LOCAL``)."""
+    with its partition id (``PID``) and 0-based position inside it (``LOCAL``).
+
+    The result is checkpointed (see module notes) unless ``pinned``."""
     n = _partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn(_MONO, F.monotonically_increasing_id())
-    return tagged.select(
+    laid = tagged.select(
         *[F.col(c) for c in df.columns],
         F.shiftright(F.col(_MONO), 33).cast("int").alias(PID),
         F.col(_MONO).bitwiseAND(F.lit(_LOCAL_MASK)).alias(LOCAL),
     )
+    return laid if pinned else pin(laid)
 
 
 def _partition_offsets(laid: DataFrame, sums: dict[str, Column]) -> DataFrame:
@@ -73,10 +99,10 @@ def _partition_offsets(laid: DataFrame, sums: dict[str, Column]) -> DataFrame:
 
 def global_index(df: DataFrame, order: Sequence[Column], out_col: str,
                  total_col: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
     """Add ``out_col`` = 0-based position of each row in ``order`` (and optionally
     ``total_col`` = the row count), without a single-partition window."""
-    laid = range_layout(df, order, num_partitions)
+    laid = range_layout(df, order, num_partitions, pinned)
     offsets = _partition_offsets(laid, {"n": F.count(F.lit(1))})
     joined = laid.join(F.broadcast(offsets), laid[PID] == offsets["_cz_opid"], "inner")
     cols = [F.col(c) for c in df.columns]
@@ -88,7 +114,7 @@ def global_index(df: DataFrame, order: Sequence[Column], out_col: str,
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                 rank_col: str, count_col: str | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
     """Add ``rank_col`` = row_number() over (partition by group order by order),
     1-based, and optionally ``count_col`` = rows in the row's group.
 
@@ -96,7 +122,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     """
     group = list(group)
     keys = [F.col(g).asc_nulls_first() for g in group] + list(order)
-    laid = range_layout(df, keys, num_partitions)
+    laid = range_layout(df, keys, num_partitions, pinned)
 
     stats = laid.groupBy(PID, *group).agg(
         F.min(LOCAL).alias("_cz_first"), F.count(F.lit(1)).alias("_cz_cnt"))
@@ -122,7 +148,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[str],
-                   prefix: str = "before_", num_partitions: int | None = None) -> DataFrame:
+                   prefix: str = "before_", num_partitions: int | None = None,
+                   pinned: bool = False) -> DataFrame:
     """Add ``prefix + c`` = sum of ``c`` over all rows strictly before each row in
     ``order``, for every ``c`` in ``sum_cols`` (a distributed exclusive prefix sum).
 
@@ -130,7 +157,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[st
     (bounded by the partition size); the per-partition offsets are one row per
     partition and are broadcast.
     """
-    laid = range_layout(df, order, num_partitions)
+    laid = range_layout(df, order, num_partitions, pinned)
     offsets = _partition_offsets(laid, {c: F.sum(c) for c in sum_cols})
     inside = Window.partitionBy(PID).orderBy(LOCAL).rowsBetween(Window.unboundedPreceding, -1)
     local = laid.select(
