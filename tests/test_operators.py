@@ -1,0 +1,221 @@
+"""Hand-computed cases (values from FIXTURES.md) for every operator."""
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from cadenza.operators import (
+    apply_item_index,
+    bias_fit,
+    bias_predict,
+    clean_interactions,
+    compress_rating,
+    exact_auc,
+    fit_item_index,
+    interaction_counts,
+    list_average_precision,
+    list_map,
+    overlap_at_n,
+    overlap_mean,
+    popularity_topk,
+    ranking_metrics,
+    ranking_summary,
+    recency_weight,
+    sample_fraction,
+    split_points,
+    temporal_split,
+    threshold_label,
+    top_n_per_user,
+    train_part,
+    validation_part,
+)
+from conftest import rows
+
+T0 = dt.datetime(2020, 1, 1)
+
+
+def _ts(i):
+    return T0 + dt.timedelta(days=i)
+
+
+def test_clean_fallback_and_drops(spark):
+    inter = spark.createDataFrame(
+        [(1, "m1", _ts(0)), (1, "m2", _ts(1)), (2, "m3", _ts(2)), (9, "m1", _ts(3)),
+         (None, "m1", _ts(4))],
+        "user_id long, recording_msid string, timestamp timestamp_ntz")
+    tracks = spark.createDataFrame(
+        [("m1", "b1", "a", "t"), ("m2", None, "a", "t")],
+        "recording_msid string, recording_mbid string, artist_name string, track_name string")
+    users = spark.createDataFrame([(1, "u1"), (2, "u2")], "user_id long, user_name string")
+    out = clean_interactions(inter, tracks, users)
+    assert out.columns == ["user_id", "interactions_msid", "timestamp", "recording_mbid"]
+    # m3 unknown track, user 9 unknown, null user: dropped; m2 falls back to its msid
+    assert rows(out, "user_id", "interactions_msid", "recording_mbid") == [
+        (1, "m1", "b1"), (1, "m2", "m2")]
+
+
+@pytest.mark.parametrize("n,train", [(1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 4), (7, 5), (10, 8)])
+def test_split_cutoff(spark, n, train):
+    df = spark.createDataFrame([(7, f"m{i}", _ts(i), f"b{i}") for i in range(n)],
+                               "user_id long, interactions_msid string, timestamp timestamp_ntz, recording_mbid string")
+    s = temporal_split(df, 0.8)
+    tr, va = train_part(s), validation_part(s)
+    assert tr.count() == train and va.count() == n - train
+    if train and n - train:
+        assert tr.agg(F.max("timestamp")).first()[0] <= va.agg(F.min("timestamp")).first()[0]
+    pts = split_points(df, 0.8).collect()[0]
+    assert (pts["n"], pts["split_point"]) == (n, train)
+
+
+def test_split_ties_and_null_user(spark):
+    same = _ts(0)
+    df = spark.createDataFrame(
+        [(1, "m3", same, "b"), (1, "m1", same, "b"), (1, "m2", same, "b"), (1, "m4", same, "b"),
+         (1, "m5", same, "b"), (None, "m9", same, "b")],
+        "user_id long, interactions_msid string, timestamp timestamp_ntz, recording_mbid string")
+    s = temporal_split(df, 0.8)
+    assert s.count() == 5  # null user dropped
+    assert rows(train_part(s), "interactions_msid") == [("m1",), ("m2",), ("m3",), ("m4",)]
+
+
+def test_counts_and_popularity(spark):
+    ev = spark.createDataFrame(
+        [(1, "A"), (1, "A"), (1, "B"), (2, "A"), (3, "C"), (3, "C"), (3, "C")],
+        "user_id long, recording_mbid string")
+    counts = interaction_counts(ev)
+    assert rows(counts) == [(1, "A", 2), (1, "B", 1), (2, "A", 1), (3, "C", 3)]
+    top = popularity_topk(counts, beta=0, k=2)
+    # A: 3 plays / 2 users = 1.5, B: 1/1, C: 3/1 = 3
+    assert rows(top, "position", "recording_mbid", "recording_count", "user_count") == [
+        (1, "C", 3, 1), (2, "A", 3, 2)]
+    damped = popularity_topk(counts, beta=10, k=3).orderBy("position").collect()
+    # C: 3 / (1 + 10), A: 3 / (2 + 10), B: 1 / (1 + 10)
+    assert [r["recording_mbid"] for r in damped] == ["C", "A", "B"]
+    assert damped[1]["average_count"] == pytest.approx(3 / 12)
+    with pytest.raises(ValueError):
+        popularity_topk(counts, k=0)
+
+
+def test_compression(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (10,)], "count long")
+    got = [round(r[0], 6) for r in compress_rating(df).orderBy("count").select("rating").collect()]
+    assert got == [1.098612, 1.386294, 1.609438, 2.484907]
+
+
+def test_recency_newest_first(spark):
+    df = spark.createDataFrame([(1, "b", _ts(i)) for i in range(4)],
+                               "user_id long, recording_mbid string, timestamp timestamp_ntz")
+    rec = recency_weight(df).orderBy(F.desc("timestamp"))
+    assert [round(r[0], 6) for r in rec.select("recency").collect()] == [
+        1.0, 0.367879, 0.135335, 0.049787]
+    comp = compress_rating(rec, "recency").orderBy(F.desc("timestamp"))
+    assert [round(r[0], 6) for r in comp.select("rating").collect()] == [
+        1.098612, 0.861995, 0.758624, 0.717736]
+
+
+def test_recency_per_item(spark):
+    df = spark.createDataFrame(
+        [(1, "a", _ts(0)), (1, "a", _ts(1)), (1, "b", _ts(2))],
+        "user_id long, recording_mbid string, timestamp timestamp_ntz")
+    got = rows(recency_weight(df, per_item=True), "recording_mbid", "timestamp", "recency")
+    assert got == [("a", _ts(0), math.exp(-1)), ("a", _ts(1), 1.0), ("b", _ts(2), 1.0)]
+
+
+def test_item_index_fit_apply(spark):
+    train = spark.createDataFrame([(1, "c"), (1, "a"), (2, "b"), (2, "a")],
+                                  "user_id long, recording_mbid string")
+    idx = fit_item_index(train)
+    assert rows(idx) == [("a", 0), ("b", 1), ("c", 2)]
+    val = spark.createDataFrame([(1, "b"), (3, "z")], "user_id long, recording_mbid string")
+    got = rows(apply_item_index(val, idx))
+    assert got == [(1, 1), (3, None)]
+    assert apply_item_index(val, idx).columns == ["user_id", "recording_mbid_index"]
+
+
+def test_sample_exact(spark):
+    df = spark.createDataFrame([(u, i) for u in range(30) for i in range(5)], "u long, i long")
+    a = sample_fraction(df, 0.1, 42)
+    assert a.count() == 15  # round-half-even(0.1 * 150)
+    b = sample_fraction(df.repartition(7), 0.1, 42)
+    assert rows(a) == rows(b)
+    c = sample_fraction(df, 0.1, 7)
+    assert rows(a) != rows(c)
+    assert sample_fraction(df.limit(25), 0.1, 42).count() == 2  # 2.5 -> 2
+
+
+def test_ranking_metrics_hand_case(spark):
+    ranked = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3), ("D", 4)],
+                                   "recording_mbid string, position long")
+    actual = spark.createDataFrame([(1, "A"), (1, "C"), (1, "C"), (1, "E"), (2, "Z")],
+                                   "user_id long, recording_mbid string")
+    m = {r["user_id"]: r for r in ranking_metrics(actual, ranked, k=2).collect()}
+    assert m[1]["ap"] == pytest.approx(0.416667, abs=1e-6)
+    assert m[1]["pk"] == pytest.approx(0.5)
+    assert m[1]["ndcg"] == pytest.approx(0.390380, abs=1e-6)
+    assert (m[2]["ap"], m[2]["pk"], m[2]["ndcg"]) == (0.0, 0.0, 0.0)
+    s = ranking_summary(ranking_metrics(actual, ranked, k=2)).collect()[0]
+    assert s["mean_pk"] == pytest.approx(0.25)
+    with pytest.raises(ValueError):
+        ranking_metrics(actual, ranked, k=0)
+
+
+def test_perfect_ranking_ap_is_one(spark):
+    ranked = spark.createDataFrame([("A", 1), ("B", 2)], "recording_mbid string, position long")
+    actual = spark.createDataFrame([(1, "A"), (1, "B")], "user_id long, recording_mbid string")
+    m = ranking_metrics(actual, ranked, k=2).collect()[0]
+    assert m["ap"] == pytest.approx(1.0) and m["ndcg"] == pytest.approx(1.0)
+
+
+def test_bias_model_hand_case(spark):
+    train = spark.createDataFrame([(1, 10, 2.0), (1, 11, 4.0), (2, 10, 3.0)],
+                                  "user_id long, recording_mbid_index long, rating double")
+    model = bias_fit(train, damping=5)
+    assert model.mean == pytest.approx(3.0)
+    ib = dict(rows(model.item_bias))
+    assert ib[10] == pytest.approx(-0.142857, abs=1e-6) and ib[11] == pytest.approx(0.166667, abs=1e-6)
+    ub = dict(rows(model.user_bias))
+    assert ub[1] == pytest.approx(-0.003401, abs=1e-6) and ub[2] == pytest.approx(0.023810, abs=1e-6)
+    pairs = spark.createDataFrame([(2, 11), (3, 99)], "user_id long, recording_mbid_index long")
+    pred = dict(rows(bias_predict(model, pairs), "user_id", "prediction"))
+    assert pred[2] == pytest.approx(3.190476, abs=1e-6)
+    assert pred[3] == pytest.approx(3.0)  # unknown user and item: the mean
+
+
+def test_top_n_and_overlap(spark):
+    truth = spark.createDataFrame([(1, 1, 3.0), (1, 2, 2.0), (1, 3, 1.0)],
+                                  "user_id long, recording_mbid_index long, rating double")
+    pred = spark.createDataFrame([(1, 3, 0.9), (1, 4, 0.8)],
+                                 "user_id long, recording_mbid_index long, prediction double")
+    top = top_n_per_user(truth, "rating", 2)
+    assert rows(top, "recording_mbid_index", "rank") == [(1, 1), (2, 2)]
+    per_user = overlap_at_n(truth, pred, n=100).collect()[0]
+    assert (per_user["common_count"], per_user["true_count"], per_user["common_percentage"]) == (0, 2, 0.0)
+    same = overlap_mean(overlap_at_n(truth, truth.withColumnRenamed("rating", "prediction"), n=3))
+    assert same.collect()[0]["overlap"] == 1.0
+
+
+def test_list_map(spark):
+    pred = spark.createDataFrame([(1, 5, 0.9), (1, 6, 0.8), (1, 7, 0.7), (2, 5, 0.5)],
+                                 "user_id long, recording_mbid_index long, prediction double")
+    truth = spark.createDataFrame([(1, 6, 1.0), (1, 7, 0.5), (3, 5, 1.0)],
+                                  "user_id long, recording_mbid_index long, rating double")
+    ap = dict(rows(list_average_precision(pred, truth)))
+    # user 1: hits at ranks 2 and 3 -> (1/2 + 2/3) / 2; user 2: no truth -> 0
+    assert ap[1] == pytest.approx((0.5 + 2 / 3) / 2) and ap[2] == 0.0
+    m = list_map(pred, truth).collect()[0]
+    assert m["users"] == 2 and m["list_map"] == pytest.approx((0.5 + 2 / 3) / 4)
+
+
+def test_threshold_and_auc(spark):
+    df = spark.createDataFrame([(0.1, 0.0), (0.4, 5.0), (0.35, 1.0), (0.8, 4.0), (0.35, 4.5)],
+                               "prediction double, rating double")
+    lab = threshold_label(df, "rating", 4.0)
+    assert [r[0] for r in lab.orderBy("prediction", "rating").select("label").collect()] == [
+        0.0, 0.0, 1.0, 1.0, 1.0]
+    # positives 0.35, 0.4, 0.8; negatives 0.1, 0.35 -> pairs won 1+.5, 2, 2 of 6
+    auc = exact_auc(lab).collect()[0]
+    assert auc["auc"] == pytest.approx(5.5 / 6) and (auc["positives"], auc["negatives"]) == (3, 2)
+    one_class = exact_auc(threshold_label(df, "rating", 99.0)).collect()[0]
+    assert one_class["auc"] is None
