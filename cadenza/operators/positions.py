@@ -23,10 +23,11 @@ Both passes must see one and the same layout. The range bounds are sampled from
 the input, and a shuffled input arrives in a different order on every
 evaluation (and may hold values from floating sums that differ in the last
 bit), so two evaluations can disagree. The tagged layout is therefore written
-once with a reliable ``checkpoint()`` into the session's checkpoint folder and
-both passes read that copy; a lost executor then re-reads it instead of
-recomputing a different layout. ``pinned=True`` skips this when the caller has
-already stored the input, e.g. as a checkpoint or a table.
+once as a Parquet table in the session's checkpoint folder (columnar and
+compressed, so far cheaper than an RDD checkpoint of serialized rows, and
+readable with column pruning) and both passes read that copy; a lost executor
+then re-reads it instead of recomputing a different layout. ``pinned=True``
+skips this when the caller has already stored the input as a table.
 
 Rows that tie on every ordering column land in an arbitrary order among
 themselves; callers order by all columns that matter so such rows are identical.
@@ -36,7 +37,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,14 +57,12 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Evaluate ``df`` once and return a copy read from the reliable checkpoint
-    folder (cached while it is written, so the plan runs a single time)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    """Evaluate ``df`` once into a Parquet table under the shared checkpoint
+    folder and return the table (a lineage cut that survives lost executors)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def range_layout(df: DataFrame, order: Sequence[Column],

@@ -1,9 +1,9 @@
 """The four evaluations end to end, as compositions of the operators.
 
 Each returns small result DataFrames; intermediate tables that are read more
-than once (the split, the indexed ratings) are cut from their lineage with a
-reliable ``checkpoint()`` into the session's checkpoint folder, so a lost
-executor costs a re-read, not a recomputation of the whole chain.
+than once (the split, the indexed ratings) are written as Parquet tables into
+the session's checkpoint folder, so a lost executor costs a re-read, not a
+recomputation of the whole chain.
 """
 
 from __future__ import annotations
@@ -39,15 +39,12 @@ from cadenza.operators import (
     train_part,
     validation_part,
 )
-from cadenza.session import ensure_checkpoint_dir
+from cadenza.operators.positions import pin
 
 
 def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Reliable checkpoint (shared checkpoint folder), or ``df`` unchanged."""
-    if not enabled:
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` as a table in the shared checkpoint folder, or return it unchanged."""
+    return pin(df) if enabled else df
 
 
 @dataclass

@@ -8,6 +8,7 @@ so the results do not depend on summation order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,112 +57,147 @@ def _r(col: str) -> F.Column:
 
 # ---- shared chains -------------------------------------------------------
 
-def clean(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_interactions(load_interactions(spark, sf), load_tracks(spark, sf),
-                              load_users(spark, sf))
+class Chain:
+    """The stages of one query, each built at most once (a query that needs the
+    train and the validation half reads one split, not two)."""
 
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
 
-def split(spark: SparkSession, sf: str) -> DataFrame:
-    return temporal_split(clean(spark, sf), RATIO)
+    @cached_property
+    def clean(self) -> DataFrame:
+        s, sf = self.spark, self.sf
+        return clean_interactions(load_interactions(s, sf), load_tracks(s, sf), load_users(s, sf))
 
+    @cached_property
+    def split(self) -> DataFrame:
+        return temporal_split(self.clean, RATIO)
 
-def train(spark, sf):
-    return train_part(split(spark, sf))
+    @cached_property
+    def train(self) -> DataFrame:
+        return train_part(self.split)
 
+    @cached_property
+    def validation(self) -> DataFrame:
+        return validation_part(self.split)
 
-def validation(spark, sf):
-    return validation_part(split(spark, sf))
+    @cached_property
+    def train_rated(self) -> DataFrame:
+        return rated_counts(self.train)
+
+    @cached_property
+    def index(self) -> DataFrame:
+        return fit_item_index(self.train_rated)
+
+    @cached_property
+    def train_idx(self) -> DataFrame:
+        return apply_item_index(self.train_rated, self.index)
+
+    @cached_property
+    def val_idx_all(self) -> DataFrame:
+        return apply_item_index(rated_counts(self.validation), self.index)
+
+    @cached_property
+    def val_idx(self) -> DataFrame:
+        return self.val_idx_all.where(F.col("recording_mbid_index").isNotNull())
+
+    @cached_property
+    def bias_scores(self) -> DataFrame:
+        """Bias model fitted on all train ratings, scores of the held-out pairs
+        (rounded before any ranking)."""
+        preds = bias_predict(bias_fit(self.train_idx), self.val_idx)
+        return preds.withColumn("prediction", F.round("prediction", DIGITS))
+
+    def top_list(self, beta: float = BETA) -> DataFrame:
+        return popularity_topk(interaction_counts(self.train), beta=beta, k=LIST_SIZE)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return ranking_metrics(self.validation, self.top_list(), k=K)
 
 
 def rated_counts(events: DataFrame) -> DataFrame:
     return compress_rating(interaction_counts(events))
 
 
-def indexed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    s = split(spark, sf)
-    tr = rated_counts(train_part(s))
-    va = rated_counts(validation_part(s))
-    index = fit_item_index(tr)
-    tr_i = apply_item_index(tr, index)
-    va_i = apply_item_index(va, index).where(F.col("recording_mbid_index").isNotNull())
-    return tr_i, va_i
+def clean(spark, sf):
+    return Chain(spark, sf).clean
 
 
-def bias_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Bias model fitted on all train ratings, scores of the held-out pairs
-    (rounded before any ranking)."""
-    tr, va = indexed(spark, sf)
-    model = bias_fit(tr)
-    preds = bias_predict(model, va)
-    return preds.withColumn("prediction", F.round("prediction", DIGITS))
+def split(spark, sf):
+    return Chain(spark, sf).split
 
 
-def top_list(spark, sf, beta=BETA):
-    return popularity_topk(interaction_counts(train(spark, sf)), beta=beta, k=LIST_SIZE)
+def train(spark, sf):
+    return Chain(spark, sf).train
 
 
-def metrics(spark, sf):
-    return ranking_metrics(validation(spark, sf), top_list(spark, sf), k=K)
+def validation(spark, sf):
+    return Chain(spark, sf).validation
+
+
+def top_list(spark, sf, beta=BETA):
+    return Chain(spark, sf).top_list(beta)
 
 
 # ---- queries -------------------------------------------------------------
 
 def q_clean_interactions(spark, sf):
-    return clean(spark, sf)
+    return Chain(spark, sf).clean
 
 
 def q_null_fallback(spark, sf):
-    c = clean(spark, sf)
+    c = Chain(spark, sf).clean
     fell_back = c.where(F.col("recording_mbid") == F.col("interactions_msid"))
     return fell_back.groupBy("recording_mbid").agg(F.count(F.lit(1)).alias("events"))
 
 
 def q_temporal_split(spark, sf):
-    return split(spark, sf)
+    return Chain(spark, sf).split
 
 
 def q_train_rows(spark, sf):
-    return train(spark, sf)
+    return Chain(spark, sf).train
 
 
 def q_validation_rows(spark, sf):
-    return validation(spark, sf)
+    return Chain(spark, sf).validation
 
 
 def q_split_points(spark, sf):
-    return split_points(clean(spark, sf), RATIO)
+    return split_points(Chain(spark, sf).clean, RATIO)
 
 
 def q_interaction_counts(spark, sf):
-    return interaction_counts(train(spark, sf))
+    return interaction_counts(Chain(spark, sf).train)
 
 
 def q_validation_counts(spark, sf):
-    return interaction_counts(validation(spark, sf))
+    return interaction_counts(Chain(spark, sf).validation)
 
 
 def q_item_popularity(spark, sf):
-    return item_popularity(interaction_counts(train(spark, sf)), beta=BETA)
+    return item_popularity(interaction_counts(Chain(spark, sf).train), beta=BETA)
 
 
 def q_popularity_topk_beta0(spark, sf):
-    return top_list(spark, sf, beta=0)
+    return Chain(spark, sf).top_list(beta=0)
 
 
 def q_popularity_topk_beta100(spark, sf):
-    return top_list(spark, sf, beta=100)
+    return Chain(spark, sf).top_list(beta=100)
 
 
 def q_popularity_topk(spark, sf):
-    return top_list(spark, sf)
+    return Chain(spark, sf).top_list()
 
 
 def q_compress_counts(spark, sf):
-    return rated_counts(train(spark, sf)).select("user_id", "recording_mbid", "count", _r("rating"))
+    return Chain(spark, sf).train_rated.select("user_id", "recording_mbid", "count", _r("rating"))
 
 
 def _recency_input(spark, sf):
-    return train(spark, sf).select("user_id", "recording_mbid", "timestamp")
+    return Chain(spark, sf).train.select("user_id", "recording_mbid", "timestamp")
 
 
 def q_recency_weight(spark, sf):
@@ -186,60 +222,57 @@ def q_compress_recency(spark, sf):
 
 
 def q_item_index(spark, sf):
-    return fit_item_index(rated_counts(train(spark, sf)))
+    return Chain(spark, sf).index
 
 
 def q_apply_item_index(spark, sf):
-    s = split(spark, sf)
-    index = fit_item_index(rated_counts(train_part(s)))
-    va = apply_item_index(rated_counts(validation_part(s)), index)
+    va = Chain(spark, sf).val_idx_all
     return va.select("user_id", "count", _r("rating"), "recording_mbid_index")
 
 
 def q_sample_exact(spark, sf):
-    tr, _ = indexed(spark, sf)
+    tr = Chain(spark, sf).train_idx
     s = sample_fraction(tr.select("user_id", "recording_mbid_index", "count"), 0.1, 42,
                         keys=["user_id", "recording_mbid_index"])
     return s
 
 
 def q_top_n_by_rating(spark, sf):
-    _, va = indexed(spark, sf)
+    va = Chain(spark, sf).val_idx
     return top_n_per_user(va, "rating", SMALL_N).select(
         "user_id", "recording_mbid_index", "count", _r("rating"), "rank")
 
 
 def q_average_precision(spark, sf):
-    return metrics(spark, sf).select("user_id", _r("ap"))
+    return Chain(spark, sf).metrics.select("user_id", _r("ap"))
 
 
 def q_precision_at_k(spark, sf):
-    return metrics(spark, sf).select("user_id", _r("pk"))
+    return Chain(spark, sf).metrics.select("user_id", _r("pk"))
 
 
 def q_ndcg_at_k(spark, sf):
-    return metrics(spark, sf).select("user_id", _r("ndcg"))
+    return Chain(spark, sf).metrics.select("user_id", _r("ndcg"))
 
 
 def q_ranking_summary(spark, sf):
-    return ranking_summary(metrics(spark, sf)).select(
+    return ranking_summary(Chain(spark, sf).metrics).select(
         _r("mean_map"), _r("mean_pk"), _r("mean_ndcg"))
 
 
 def q_bias_predict(spark, sf):
-    return bias_scores(spark, sf).select(
+    return Chain(spark, sf).bias_scores.select(
         "user_id", "recording_mbid_index", "count", _r("rating"), "prediction")
 
 
 def q_top_n_by_prediction(spark, sf):
-    return top_n_per_user(bias_scores(spark, sf), "prediction", SMALL_N).select(
+    return top_n_per_user(Chain(spark, sf).bias_scores, "prediction", SMALL_N).select(
         "user_id", "recording_mbid_index", "prediction", "rank")
 
 
 def _overlap(spark, sf, n):
-    preds = bias_scores(spark, sf)
-    _, va = indexed(spark, sf)
-    return overlap_at_n(va, preds, n=n)
+    c = Chain(spark, sf)
+    return overlap_at_n(c.val_idx, c.bias_scores, n=n)
 
 
 def q_overlap_at_5(spark, sf):
@@ -256,7 +289,8 @@ def q_overlap_mean_100(spark, sf):
 
 
 def q_list_map(spark, sf):
-    tr, va = indexed(spark, sf)
+    c = Chain(spark, sf)
+    tr, va = c.train_idx, c.val_idx
     sample = sample_fraction(tr.select("user_id", "recording_mbid_index", "rating"), 0.1, 42,
                              keys=["user_id", "recording_mbid_index"])
     model = bias_fit(sample)
@@ -266,35 +300,35 @@ def q_list_map(spark, sf):
 
 
 def q_threshold_label(spark, sf):
-    _, va = indexed(spark, sf)
+    va = Chain(spark, sf).val_idx
     return threshold_label(va, "rating", 4.0).select(
         "user_id", "recording_mbid_index", _r("rating"), "label")
 
 
 def q_auc_exact(spark, sf):
-    labelled = threshold_label(bias_scores(spark, sf), "count", 2.0)
+    labelled = threshold_label(Chain(spark, sf).bias_scores, "count", 2.0)
     return exact_auc(labelled, "prediction", "label").select(_r("auc"), "positives", "negatives")
 
 
 # ---- model queries without an SQL form (rows-only check) ------------------
 
 def q_als_predict(spark, sf):
-    tr, va = indexed(spark, sf)
-    model = als_fit(tr, **COUNTS_PRESET)
-    return als_predict(model, va).select("user_id", "recording_mbid_index", "rating", "prediction")
+    c = Chain(spark, sf)
+    model = als_fit(c.train_idx, **COUNTS_PRESET)
+    return als_predict(model, c.val_idx).select("user_id", "recording_mbid_index", "rating", "prediction")
 
 
 def q_als_overlap(spark, sf):
-    tr, va = indexed(spark, sf)
-    model = als_fit(tr, **COUNTS_PRESET)
-    return overlap_mean(overlap_at_n(va, als_predict(model, va), n=LIST_SIZE))
+    c = Chain(spark, sf)
+    model = als_fit(c.train_idx, **COUNTS_PRESET)
+    return overlap_mean(overlap_at_n(c.val_idx, als_predict(model, c.val_idx), n=LIST_SIZE))
 
 
 def q_als_recency_auc(spark, sf):
-    s = split(spark, sf)
+    c = Chain(spark, sf)
     cols = ["user_id", "recording_mbid", "timestamp"]
-    tr = recency_weight(train_part(s).select(*cols)).withColumn("rating", F.col("recency"))
-    va = recency_weight(validation_part(s).select(*cols)).withColumn("rating", F.col("recency"))
+    tr = recency_weight(c.train.select(*cols)).withColumn("rating", F.col("recency"))
+    va = recency_weight(c.validation.select(*cols)).withColumn("rating", F.col("recency"))
     index = fit_item_index(tr)
     tr_i = apply_item_index(tr, index)
     va_i = apply_item_index(va, index).where(F.col("recording_mbid_index").isNotNull())
