@@ -1,5 +1,8 @@
 """Skew-safe positions: a global dense index, a per-group row number, running totals.
 
+``rank_within`` numbers rows of bounded groups with a plain window and sends only
+the rows of hot groups through the range-partitioned form described below.
+
 The textbook forms - ``dense_rank() OVER (ORDER BY k)`` or ``row_number() OVER
 (PARTITION BY user ORDER BY ts)`` - put one whole group in one task: the global
 window runs on a single partition, and a user holding a third of all rows makes
@@ -112,15 +115,64 @@ def global_index(df: DataFrame, order: Sequence[Column], out_col: str,
     return joined.select(*cols)
 
 
+HOT_ROWS_CONF = "spark.cadenza.hotGroupRows"
+DEFAULT_HOT_ROWS = 1_000_000
+MAX_HOT_GROUPS = 100_000  # keys of hot groups held on the driver and broadcast
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                 rank_col: str, count_col: str | None = None,
-                num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
+                num_partitions: int | None = None, pinned: bool = False,
+                hot_rows: int | None = None) -> DataFrame:
     """Add ``rank_col`` = row_number() over (partition by group order by order),
     1-based, and optionally ``count_col`` = rows in the row's group.
 
+    Group sizes are counted first (a partial aggregate). Groups of at most
+    ``hot_rows`` rows (default ``spark.cadenza.hotGroupRows`` or 1,000,000) are
+    numbered by a plain window - one shuffle, and no task holds more than that
+    many rows of one group. Rows of larger groups take the range-partitioned
+    path of ``range_rank``. The hot keys are at most rows / hot_rows; beyond
+    ``MAX_HOT_GROUPS`` of them everything takes the range path.
     Null group keys form their own group (null-safe equality), as in a window.
     """
     group = list(group)
+    if hot_rows is None:
+        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_cz_gn"))
+    hot = sizes.where(F.col("_cz_gn") > F.lit(hot_rows)).select(
+        *[F.col(g).alias(f"_cz_h{i}") for i, g in enumerate(group)])
+    keys = hot.limit(MAX_HOT_GROUPS + 1).collect()
+    if not keys:
+        return window_rank(df, group, order, rank_col, count_col)
+    if len(keys) > MAX_HOT_GROUPS:
+        return range_rank(df, group, order, rank_col, count_col, num_partitions, pinned)
+    hot_keys = F.broadcast(df.sparkSession.createDataFrame(keys, hot.schema))
+    cond = None
+    for i, g in enumerate(group):
+        c = df[g].eqNullSafe(hot_keys[f"_cz_h{i}"])
+        cond = c if cond is None else cond & c
+    cold_part = df.join(hot_keys, cond, "left_anti")
+    hot_part = df.join(hot_keys, cond, "left_semi")
+    return window_rank(cold_part, group, order, rank_col, count_col).unionByName(
+        range_rank(hot_part, group, order, rank_col, count_col, num_partitions, pinned))
+
+
+def window_rank(df: DataFrame, group: Sequence[str], order: Sequence[Column],
+                rank_col: str, count_col: str | None = None) -> DataFrame:
+    """The plain window form (use where every group is known to be bounded)."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    out = df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    if count_col:
+        out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    return out
+
+
+def range_rank(df: DataFrame, group: Sequence[str], order: Sequence[Column],
+               rank_col: str, count_col: str | None = None,
+               num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
+    """``rank_within`` for any group size: range layout + per-(partition, group)
+    offsets joined back on a key that is never hot."""
+    group = list(group)
     keys = [F.col(g).asc_nulls_first() for g in group] + list(order)
     laid = range_layout(df, keys, num_partitions, pinned)
 

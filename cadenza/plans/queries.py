@@ -41,6 +41,7 @@ from cadenza.operators import (
     validation_part,
 )
 from cadenza.operators.als import COUNTS_PRESET, RECENCY_PRESET
+from cadenza.operators.positions import pin
 from cadenza.sources import load_events, load_interactions, load_tracks, load_users
 
 DIGITS = 9
@@ -59,7 +60,10 @@ def _r(col: str) -> F.Column:
 
 class Chain:
     """The stages of one query, each built at most once (a query that needs the
-    train and the validation half reads one split, not two)."""
+    train and the validation half reads one split, not two). The split and the
+    indexed rating tables - the hand-over tables between stages - are stored
+    once in the checkpoint folder, so later actions of the chain (model fits,
+    sampling, metrics) read them instead of recomputing the chain."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
@@ -71,7 +75,7 @@ class Chain:
 
     @cached_property
     def split(self) -> DataFrame:
-        return temporal_split(self.clean, RATIO)
+        return pin(temporal_split(self.clean, RATIO))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -91,11 +95,11 @@ class Chain:
 
     @cached_property
     def train_idx(self) -> DataFrame:
-        return apply_item_index(self.train_rated, self.index)
+        return pin(apply_item_index(self.train_rated, self.index))
 
     @cached_property
     def val_idx_all(self) -> DataFrame:
-        return apply_item_index(rated_counts(self.validation), self.index)
+        return pin(apply_item_index(rated_counts(self.validation), self.index))
 
     @cached_property
     def val_idx(self) -> DataFrame:

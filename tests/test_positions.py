@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import global_index, rank_within, running_totals
+from cadenza.operators.positions import global_index, range_rank, rank_within, running_totals
 from conftest import rows
 
 
@@ -22,11 +22,11 @@ def _events(spark, n=3000):
     return spark.createDataFrame(data, "user long, ts long, item string")
 
 
-@pytest.mark.parametrize("parts", [2, 7, 16])
-def test_rank_within_matches_row_number(spark, parts):
+@pytest.mark.parametrize("parts,hot", [(2, 100), (7, 100), (16, 100), (4, None), (5, 0)])
+def test_rank_within_matches_row_number(spark, parts, hot):
     df = _events(spark)
     order = [F.col("ts").asc(), F.col("item").asc()]
-    got = rank_within(df, ["user"], order, "rn", "n", num_partitions=parts)
+    got = rank_within(df, ["user"], order, "rn", "n", num_partitions=parts, hot_rows=hot)
     w = Window.partitionBy("user").orderBy(*order)
     want = (df.withColumn("rn", F.row_number().over(w).cast("long"))
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("user"))))
@@ -41,7 +41,7 @@ def test_rank_within_matches_row_number(spark, parts):
 def test_rank_within_hot_group_is_split(spark):
     df = _events(spark, 6000)
     order = [F.col("ts").asc(), F.col("item").asc()]
-    got = rank_within(df, ["user"], order, "rn", num_partitions=8)
+    got = rank_within(df, ["user"], order, "rn", num_partitions=8, hot_rows=500)
     hot = got.where(F.col("user") == 0)
     assert sorted(r[0] for r in hot.select("rn").collect()) == list(range(1, 2001))
 
@@ -63,6 +63,16 @@ def test_running_totals(spark):
     assert rows(got) == rows(want)
 
 
+def test_range_rank_all_groups(spark):
+    df = _events(spark, 1000)
+    order = [F.col("ts").asc(), F.col("item").asc()]
+    got = range_rank(df, ["user"], order, "rn", num_partitions=5)
+    w = Window.partitionBy("user").orderBy(*order)
+    want = df.withColumn("rn", F.row_number().over(w).cast("long"))
+    key = lambda d: rows(d.groupBy("user", "ts", "item").agg(F.sort_array(F.collect_list("rn"))))
+    assert key(got) == key(want)
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "user long, ts long")
     assert rank_within(df, ["user"], [F.col("ts")], "rn").count() == 0

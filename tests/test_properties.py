@@ -51,3 +51,14 @@ def test_independent_of_shuffle_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["temporal_split", "recency_weight"])
+def test_hot_path_equals_window_path(spark, name):
+    fn = Q.QUERIES[name]
+    try:
+        spark.conf.set("spark.cadenza.hotGroupRows", "5")  # nearly every user is hot
+        hot = rows(fn(spark, SF))
+    finally:
+        spark.conf.unset("spark.cadenza.hotGroupRows")
+    assert hot == rows(fn(spark, SF))
