@@ -1 +1,5 @@
-"""Structured Streaming use of the count operators (see ``counts``)."""
+"""The count operator on a Structured Streaming source."""
+
+from cadenza.streaming.counts import read_event_stream, start_counts
+
+__all__ = ["read_event_stream", "start_counts"]

@@ -1,0 +1,29 @@
+"""Streaming counts equal the batch counts of the same events."""
+
+import os
+import tempfile
+
+import pytest
+
+from cadenza.operators import interaction_counts
+from cadenza.plans import queries as Q
+from cadenza.streaming import read_event_stream, start_counts
+from conftest import rows
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables missing")
+
+
+def test_stream_counts_match_batch(spark):
+    events = Q.train(spark, SF).select("user_id", "recording_mbid")
+    src = tempfile.mkdtemp(prefix="cz-stream-") + "/events"
+    events.repartition(4).write.parquet(src)
+    stream = read_event_stream(spark, src, events.schema, max_files_per_trigger=1)
+    q = start_counts(stream, "cz_counts_test",
+                     checkpoint=tempfile.mkdtemp(prefix="cz-stream-ck-"))
+    try:
+        q.processAllAvailable()
+        got = spark.sql("SELECT user_id, recording_mbid, count FROM cz_counts_test")
+        assert rows(got) == rows(interaction_counts(events))
+    finally:
+        q.stop()
