@@ -61,15 +61,21 @@ def ideal_dcg(n_values: DataFrame, n_col: str = "n_actual", out: str = "idcg") -
 
 def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
                     user_col: str = "user_id", item_col: str = "recording_mbid",
-                    position_col: str = "position") -> DataFrame:
+                    position_col: str = "position", dedupe: bool = False,
+                    truncate_ideal: bool = False) -> DataFrame:
     """Per user of ``actual``: ``ap``, ``pk`` (precision@k) and ``ndcg`` (NDCG@k).
 
     ``actual``: one row per held-out event (user, item). ``ranked``: the shared
     list, one row per item with its 1-based ``position`` (e.g. ``popularity_topk``).
+    The defaults keep the definitions above; ``dedupe=True`` counts each of a
+    user's items once in n, ``truncate_ideal=True`` sums IDCG over min(n, k)
+    (the usual textbook forms).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     events = actual.select(user_col, item_col)
+    if dedupe:
+        events = events.distinct()
     n_actual = events.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_actual"))
 
     listed = ranked.select(item_col, F.col(position_col).cast("bigint").alias("_cz_pos"))
@@ -83,9 +89,11 @@ def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
         F.sum(F.when(in_k, F.lit(1)).otherwise(F.lit(0))).alias("_cz_hk"),
         F.sum(F.when(in_k, discount("_cz_pos")).otherwise(F.lit(0.0))).alias("_cz_dcg"),
     )
-    idcg = ideal_dcg(n_actual, "n_actual", "_cz_idcg")
+    n_ideal = F.least(F.col("n_actual"), F.lit(k)) if truncate_ideal else F.col("n_actual")
+    n_actual = n_actual.withColumn("_cz_nideal", n_ideal)
+    idcg = ideal_dcg(n_actual, "_cz_nideal", "_cz_idcg")
     out = (n_actual.join(per_user, user_col, "left")
-           .join(idcg, "n_actual", "left"))
+           .join(idcg, "_cz_nideal", "left"))
     return out.select(
         F.col(user_col),
         (F.coalesce(F.col("_cz_ap"), F.lit(0.0)) / F.col("n_actual")).alias("ap"),

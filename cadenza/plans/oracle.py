@@ -310,6 +310,7 @@ SQL: dict[str, str] = {
     "apply_item_index": f"""SELECT user_id, "count", round(rating, {D}) AS rating,
                             recording_mbid_index FROM val_idx_all""",
     "sample_exact": 'SELECT user_id, recording_mbid_index, "count" FROM sample10',
+    "csv_ratings": f"SELECT user_id, recording_mbid_index, round(rating, {D}) AS rating FROM train_idx",
     "top_n_by_rating": f"""
         SELECT user_id, recording_mbid_index, "count", round(rating, {D}) AS rating,
                CAST(rank AS BIGINT) AS rank FROM (

@@ -7,12 +7,14 @@ so the results do not depend on summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza import schemas
 from cadenza.operators import (
     als_fit,
     als_predict,
@@ -42,7 +44,15 @@ from cadenza.operators import (
 )
 from cadenza.operators.als import COUNTS_PRESET, RECENCY_PRESET
 from cadenza.operators.positions import pin
-from cadenza.sources import load_events, load_interactions, load_tracks, load_users
+from cadenza.session import ensure_checkpoint_dir
+from cadenza.sources import (
+    load_events,
+    load_interactions,
+    load_tracks,
+    load_users,
+    read_csv,
+    write_csv,
+)
 
 DIGITS = 9
 LIST_SIZE = 100   # popularity list length
@@ -241,6 +251,16 @@ def q_sample_exact(spark, sf):
     return s
 
 
+def q_csv_ratings(spark, sf):
+    """Indexed train ratings through the CSV interchange (header, explicit schema):
+    written into the checkpoint folder, read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}.csv"
+    tr = Chain(spark, sf).train_idx.select("user_id", "recording_mbid_index", "rating")
+    write_csv(tr, path)
+    back = read_csv(spark, path, schemas.RATINGS_CSV)
+    return back.select("user_id", "recording_mbid_index", _r("rating"))
+
+
 def q_top_n_by_rating(spark, sf):
     va = Chain(spark, sf).val_idx
     return top_n_per_user(va, "rating", SMALL_N).select(

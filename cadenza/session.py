@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (local tests) a scratch folder is made.
+    is (missing, it is an error). Only in local mode with nothing configured
+    (tests) a scratch folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder shared by all executors "
+            "(stored intermediate tables and model checkpoints go there)")
     scratch = tempfile.mkdtemp(prefix="cadenza-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

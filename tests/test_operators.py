@@ -219,3 +219,14 @@ def test_threshold_and_auc(spark):
     assert auc["auc"] == pytest.approx(5.5 / 6) and (auc["positives"], auc["negatives"]) == (3, 2)
     one_class = exact_auc(threshold_label(df, "rating", 99.0)).collect()[0]
     assert one_class["auc"] is None
+
+
+def test_ranking_metrics_textbook_options(spark):
+    ranked = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3), ("D", 4)],
+                                   "recording_mbid string, position long")
+    actual = spark.createDataFrame([(1, "A"), (1, "C"), (1, "C"), (1, "E")],
+                                   "user_id long, recording_mbid string")
+    m = ranking_metrics(actual, ranked, k=2, dedupe=True, truncate_ideal=True).collect()[0]
+    # n = 3 distinct items; AP = (1 + 2/3) / 3; IDCG over min(3, 2) = 1 + 1/log2(3)
+    assert m["ap"] == pytest.approx((1 + 2 / 3) / 3)
+    assert m["ndcg"] == pytest.approx(1 / (1 + 1 / math.log2(3)))
