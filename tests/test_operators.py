@@ -230,3 +230,13 @@ def test_ranking_metrics_textbook_options(spark):
     # n = 3 distinct items; AP = (1 + 2/3) / 3; IDCG over min(3, 2) = 1 + 1/log2(3)
     assert m["ap"] == pytest.approx((1 + 2 / 3) / 3)
     assert m["ndcg"] == pytest.approx(1 / (1 + 1 / math.log2(3)))
+
+
+def test_popularity_large_k_path(spark, monkeypatch):
+    import cadenza.operators.popularity as pop
+    ev = spark.createDataFrame([(u, f"i{(u * 7 + j) % 23}") for u in range(40) for j in range(u % 5 + 1)],
+                               "user_id long, recording_mbid string")
+    counts = interaction_counts(ev)
+    small = rows(popularity_topk(counts, beta=3, k=10))
+    monkeypatch.setattr(pop, "LIMIT_TOPK_MAX", 5)
+    assert rows(pop.popularity_topk(counts, beta=3, k=10)) == small
