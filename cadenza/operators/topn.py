@@ -7,20 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.operators.positions import rank_within
+
 
 def top_n_per_user(df: DataFrame, score_col: str, n: int = 100, user_col: str = "user_id",
                    item_col: str = "recording_mbid_index", rank_col: str = "rank",
                    tie_cols: Sequence[str] | None = None) -> DataFrame:
     """Rows ranked 1..n per user by ``score_col`` descending (ties by item).
 
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000),
     ``row_number() <= n`` plans as a WindowGroupLimit that keeps at most n rows
     per user inside every map task before the shuffle, so a hot user sends
-    n rows per task, not all of its rows.
+    n rows per task, not all of its rows. Larger n use the skew-safe
+    ``rank_within`` and keep rank <= n.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
     ties = list(tie_cols) if tie_cols is not None else [item_col]
     order = [F.col(score_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in ties]
+    limit_max = int(df.sparkSession.conf.get(
+        "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit_max:
+        ranked = rank_within(df, [user_col], order, "_cz_rank")
+        return (ranked.where(F.col("_cz_rank") <= F.lit(n))
+                .withColumnRenamed("_cz_rank", rank_col))
     w = Window.partitionBy(user_col).orderBy(*order)
     ranked = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
     return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))

@@ -240,3 +240,14 @@ def test_popularity_large_k_path(spark, monkeypatch):
     small = rows(popularity_topk(counts, beta=3, k=10))
     monkeypatch.setattr(pop, "LIMIT_TOPK_MAX", 5)
     assert rows(pop.popularity_topk(counts, beta=3, k=10)) == small
+
+
+def test_top_n_large_n_path(spark):
+    df = spark.createDataFrame([(u % 3, i, float((i * 37) % 11)) for u in range(6) for i in range(40)],
+                               "user_id long, recording_mbid_index long, rating double")
+    small = rows(top_n_per_user(df, "rating", 7))
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    try:
+        assert rows(top_n_per_user(df, "rating", 7)) == small
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
