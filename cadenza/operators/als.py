@@ -23,11 +23,19 @@ def als_fit(ratings: DataFrame, user_col: str = "user_id",
             item_col: str = "recording_mbid_index", rating_col: str = "rating",
             rank: int = 20, reg: float = 0.5, alpha: float = 5.0, max_iter: int = 10,
             nonnegative: bool = True, implicit: bool = False, seed: int = 42,
-            cold_start: str = "drop", checkpoint_interval: int = 5) -> ALSModel:
+            cold_start: str = "drop", checkpoint_interval: int = 5,
+            num_blocks: int | None = None) -> ALSModel:
     """Fit ALS. Explicit feedback by default, where ``alpha`` has no effect;
-    ``implicit=True`` switches to the confidence-weighted implicit form."""
-    ensure_checkpoint_dir(ratings.sparkSession)
+    ``implicit=True`` switches to the confidence-weighted implicit form.
+
+    User and item factors are split into ``num_blocks`` blocks each (default:
+    the cluster's default parallelism, at least 10 - MLlib's fixed default of 10
+    would leave most of a large cluster idle)."""
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
     als = ALS(
+        numUserBlocks=blocks, numItemBlocks=blocks,
         rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha,
         userCol=user_col, itemCol=item_col, ratingCol=rating_col,
         nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,

@@ -65,7 +65,7 @@ def pin(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def range_layout(df: DataFrame, order: Sequence[Column],
