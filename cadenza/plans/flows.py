@@ -113,8 +113,8 @@ def bias_evaluation(indexed: Indexed, fraction: float = 0.1, seed: int = 42,
                     damping: float = 5.0, n: int = 100) -> DataFrame:
     """Bias model (C12) fitted on an exact reproducible sample (C9) of the train
     ratings, scored on held-out pairs, evaluated by list MAP (C19)."""
-    sample = sample_fraction(indexed.train.select("user_id", "recording_mbid_index", "rating"),
-                             fraction, seed, keys=["user_id", "recording_mbid_index"])
+    sample = pin(sample_fraction(indexed.train.select("user_id", "recording_mbid_index", "rating"),
+                                 fraction, seed, keys=["user_id", "recording_mbid_index"]))
     model = bias_fit(sample, damping=damping)
     preds = bias_predict(model, indexed.validation.select("user_id", "recording_mbid_index", "rating"))
     return list_map(preds, indexed.validation, n=n)

@@ -315,8 +315,8 @@ def q_overlap_mean_100(spark, sf):
 def q_list_map(spark, sf):
     c = Chain(spark, sf)
     tr, va = c.train_idx, c.val_idx
-    sample = sample_fraction(tr.select("user_id", "recording_mbid_index", "rating"), 0.1, 42,
-                             keys=["user_id", "recording_mbid_index"])
+    sample = pin(sample_fraction(tr.select("user_id", "recording_mbid_index", "rating"), 0.1, 42,
+                                 keys=["user_id", "recording_mbid_index"]))
     model = bias_fit(sample)
     preds = bias_predict(model, va.select("user_id", "recording_mbid_index", "rating"))
     preds = preds.withColumn("prediction", F.round("prediction", DIGITS))
