@@ -134,6 +134,9 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     path of ``range_rank``. The hot keys are at most rows / hot_rows; beyond
     ``MAX_HOT_GROUPS`` of them everything takes the range path.
     Null group keys form their own group (null-safe equality), as in a window.
+
+    ``df`` is evaluated once for the group sizes and once per path, so pass a
+    stored table (``pin``) when it is expensive to compute.
     """
     group = list(group)
     if hot_rows is None:

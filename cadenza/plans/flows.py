@@ -55,8 +55,10 @@ class Split:
 
 def split_interactions(interactions: DataFrame, tracks: DataFrame, users: DataFrame,
                        ratio: float = 0.8, cut: bool = True) -> Split:
-    """Clean (C1) and split (C2) once; both halves read the same stored split."""
-    split = materialize(temporal_split(clean_interactions(interactions, tracks, users), ratio), cut)
+    """Clean (C1) and split (C2) once; both halves read the same stored split.
+    The cleaned events are stored first: the split reads them more than once."""
+    clean = materialize(clean_interactions(interactions, tracks, users), cut)
+    split = materialize(temporal_split(clean, ratio), cut)
     return Split(train_part(split), validation_part(split))
 
 

@@ -70,10 +70,10 @@ def _r(col: str) -> F.Column:
 
 class Chain:
     """The stages of one query, each built at most once (a query that needs the
-    train and the validation half reads one split, not two). The split and the
-    indexed rating tables - the hand-over tables between stages - are stored
-    once in the checkpoint folder, so later actions of the chain (model fits,
-    sampling, metrics) read them instead of recomputing the chain."""
+    train and the validation half reads one split, not two). The cleaned events,
+    the split and the indexed rating tables - the hand-over tables between
+    stages - are stored once in the checkpoint folder, so later actions of the
+    chain (model fits, sampling, metrics) read them instead of recomputing it."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
@@ -83,9 +83,15 @@ class Chain:
         s, sf = self.spark, self.sf
         return clean_interactions(load_interactions(s, sf), load_tracks(s, sf), load_users(s, sf))
 
+    @cached_property
+    def clean_stored(self) -> DataFrame:
+        """The cleaned events stored once: the split reads them more than once
+        (group sizes, then the numbering), so the joins run a single time."""
+        return pin(self.clean)
+
     @cached_property
     def split(self) -> DataFrame:
-        return pin(temporal_split(self.clean, RATIO))
+        return pin(temporal_split(self.clean_stored, RATIO))
 
     @cached_property
     def train(self) -> DataFrame:
