@@ -215,7 +215,9 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[st
     laid = range_layout(df, order, num_partitions, pinned)
     offsets = _partition_offsets(laid, {c: F.sum(c) for c in sum_cols})
     inside = Window.partitionBy(PID).orderBy(LOCAL).rowsBetween(Window.unboundedPreceding, -1)
-    local = laid.select(
+    # one partition id per task (hashing a few ids would pile several on one task)
+    by_pid = laid.repartitionByRange(_partitions(df, num_partitions), PID)
+    local = by_pid.select(
         "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_cz_in_{c}") for c in sum_cols])
     joined = local.join(F.broadcast(offsets), local[PID] == offsets["_cz_opid"], "inner")
     cols = [F.col(c) for c in df.columns]
