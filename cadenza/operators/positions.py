@@ -10,11 +10,10 @@ one task sort a third of the data.
 
 Here every position is computed in two passes that stay in the JVM:
 
-1. ``repartitionByRange(n, group, order)`` with an explicit partition count: bounds
-   come from a sample of the keys, so a hot group is cut across many partitions.
-   The count is fixed, so AQE never coalesces this exchange and partition ids are
-   stable. Each partition is sorted, and ``monotonically_increasing_id`` then
-   yields (partition id << 33) + local position.
+1. ``repartitionByRange(group, order)``: bounds come from a sample of the keys, so
+   a hot group is cut across many partitions. Each partition is sorted, and
+   ``monotonically_increasing_id`` then yields (partition id << 33) + local
+   position.
 2. A per-(partition, group) summary - one row per group per partition it touches,
    so at most #groups + #partitions rows - gives each slice its offset. It is
    joined back on (partition, group): AQE broadcasts it when the measured size is
@@ -73,9 +72,16 @@ def range_layout(df: DataFrame, order: Sequence[Column],
     """Range-partition ``df`` on ``order``, sort each partition, and tag every row
     with its partition id (``PID``) and 0-based position inside it (``LOCAL``).
 
-    The result is checkpointed (see module notes) unless ``pinned``."""
-    n = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    The layout is stored once (see module notes) unless ``pinned``. A stored
+    layout lets AQE merge adjacent small range partitions (each task still holds
+    one contiguous key range); without storing, the partition count is fixed so
+    that both passes see the same partition ids.
+    """
+    if num_partitions or pinned:
+        ranged = df.repartitionByRange(_partitions(df, num_partitions), *order)
+    else:
+        ranged = df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order)
     tagged = ranged.withColumn(_MONO, F.monotonically_increasing_id())
     laid = tagged.select(
         *[F.col(c) for c in df.columns],
@@ -216,7 +222,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[st
     offsets = _partition_offsets(laid, {c: F.sum(c) for c in sum_cols})
     inside = Window.partitionBy(PID).orderBy(LOCAL).rowsBetween(Window.unboundedPreceding, -1)
     # one partition id per task (hashing a few ids would pile several on one task)
-    by_pid = laid.repartitionByRange(_partitions(df, num_partitions), PID)
+    by_pid = laid.repartitionByRange(PID)
     local = by_pid.select(
         "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_cz_in_{c}") for c in sum_cols])
     joined = local.join(F.broadcast(offsets), local[PID] == offsets["_cz_opid"], "inner")

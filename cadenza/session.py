@@ -7,9 +7,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured stage sizes
-# (broadcast below the threshold, sort-merge above it) and splits skewed join
-# partitions; explicit-count range exchanges are left alone by it, which the
-# positional operators in ``operators.positions`` depend on.
+# (broadcast below the threshold, sort-merge above it), splits skewed join
+# partitions and merges small shuffle partitions.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
