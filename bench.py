@@ -45,20 +45,28 @@ def main() -> None:
     # warm the JVM and the scan path (not timed)
     QUERIES["split_points"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # report the failure, keep timing the rest
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
         print(f"{name}: {times[name]}s", file=sys.stderr)
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
-    print(json.dumps({
+    result = {
         "metric": "total_query_time",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": sf,
-    }))
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
