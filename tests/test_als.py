@@ -1,6 +1,5 @@
 """ALS: no exact oracle; check shape, repeatability and fit on planted factors."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators import als_fit, als_predict
