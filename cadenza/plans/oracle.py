@@ -329,6 +329,9 @@ SQL: dict[str, str] = {
     "overlap_mean": _overlap_mean("paired5"),
     "overlap_mean_100": _overlap_mean("paired100"),
     "list_map": f"SELECT count(*) AS users, round(avg(ap), {D}) AS list_map FROM s_ap",
+    "list_ap": f"SELECT user_id, round(ap, {D}) AS ap FROM s_ap",
+    "item_bias": f"SELECT recording_mbid_index, round(item_bias, {D}) AS item_bias FROM ib",
+    "user_bias": f"SELECT user_id, round(user_bias, {D}) AS user_bias FROM ub",
     "threshold_label": f"""SELECT user_id, recording_mbid_index, round(rating, {D}) AS rating,
                            CAST(CASE WHEN rating >= 4.0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
                            FROM val_idx""",

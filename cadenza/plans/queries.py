@@ -27,6 +27,7 @@ from cadenza.operators import (
     fit_item_index,
     interaction_counts,
     item_popularity,
+    list_average_precision,
     list_map,
     overlap_at_n,
     overlap_mean,
@@ -121,11 +122,25 @@ class Chain:
     def val_idx(self) -> DataFrame:
         return self.val_idx_all.where(F.col("recording_mbid_index").isNotNull())
 
+    @cached_property
+    def bias_model(self):
+        return bias_fit(self.train_idx)
+
     @cached_property
     def bias_scores(self) -> DataFrame:
         """Bias model fitted on all train ratings, scores of the held-out pairs
         (rounded before any ranking)."""
-        preds = bias_predict(bias_fit(self.train_idx), self.val_idx)
+        preds = bias_predict(self.bias_model, self.val_idx)
+        return preds.withColumn("prediction", F.round("prediction", DIGITS))
+
+    @cached_property
+    def sampled_bias_scores(self) -> DataFrame:
+        """Bias model fitted on the exact 10% sample (seed 42) of the train
+        ratings, scores of the held-out pairs (rounded before any ranking)."""
+        cols = ["user_id", "recording_mbid_index", "rating"]
+        sample = pin(sample_fraction(self.train_idx.select(*cols), 0.1, 42,
+                                     keys=["user_id", "recording_mbid_index"]))
+        preds = bias_predict(bias_fit(sample), self.val_idx.select(*cols))
         return preds.withColumn("prediction", F.round("prediction", DIGITS))
 
     def top_list(self, beta: float = BETA) -> DataFrame:
@@ -320,13 +335,22 @@ def q_overlap_mean_100(spark, sf):
 
 def q_list_map(spark, sf):
     c = Chain(spark, sf)
-    tr, va = c.train_idx, c.val_idx
-    sample = pin(sample_fraction(tr.select("user_id", "recording_mbid_index", "rating"), 0.1, 42,
-                                 keys=["user_id", "recording_mbid_index"]))
-    model = bias_fit(sample)
-    preds = bias_predict(model, va.select("user_id", "recording_mbid_index", "rating"))
-    preds = preds.withColumn("prediction", F.round("prediction", DIGITS))
-    return list_map(preds, va, n=LIST_SIZE).select("users", _r("list_map"))
+    return list_map(c.sampled_bias_scores, c.val_idx, n=LIST_SIZE).select(
+        "users", _r("list_map"))
+
+
+def q_list_ap(spark, sf):
+    c = Chain(spark, sf)
+    return list_average_precision(c.sampled_bias_scores, c.val_idx, n=LIST_SIZE).select(
+        "user_id", _r("ap"))
+
+
+def q_item_bias(spark, sf):
+    return Chain(spark, sf).bias_model.item_bias.select("recording_mbid_index", _r("item_bias"))
+
+
+def q_user_bias(spark, sf):
+    return Chain(spark, sf).bias_model.user_bias.select("user_id", _r("user_bias"))
 
 
 def q_threshold_label(spark, sf):
