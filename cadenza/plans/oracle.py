@@ -327,6 +327,9 @@ SQL: dict[str, str] = {
     "top_n_by_prediction": "SELECT user_id, recording_mbid_index, prediction, CAST(rank AS BIGINT) AS rank FROM pred5",
     "overlap_at_5": _overlap_cols("paired5"),
     "overlap_mean": _overlap_mean("paired5"),
+    "overlap_percent_at_5": f"""SELECT user_id,
+        round(CASE WHEN true_count > 0 THEN common_count / true_count * 100.0 END, {D})
+            AS common_percentage FROM ({_overlap_rows("paired5")})""",
     "overlap_mean_100": _overlap_mean("paired100"),
     "list_map": f"SELECT count(*) AS users, round(avg(ap), {D}) AS list_map FROM s_ap",
     "list_ap": f"SELECT user_id, round(ap, {D}) AS ap FROM s_ap",

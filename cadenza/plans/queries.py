@@ -325,6 +325,12 @@ def q_overlap_at_5(spark, sf):
         "user_id", "common_count", "true_count", _r("common_percentage"))
 
 
+def q_overlap_percent_at_5(spark, sf):
+    c = Chain(spark, sf)
+    return overlap_at_n(c.val_idx, c.bias_scores, n=SMALL_N, percent=True).select(
+        "user_id", _r("common_percentage"))
+
+
 def q_overlap_mean(spark, sf):
     return overlap_mean(_overlap(spark, sf, SMALL_N)).select(_r("overlap"))
 
