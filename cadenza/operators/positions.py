@@ -33,6 +33,8 @@ skips this when the caller has already stored the input as a table.
 
 Rows that tie on every ordering column land in an arbitrary order among
 themselves; callers order by all columns that matter so such rows are identical.
+A per-row tiebreaker spreads such copies over partitions too, so a run of
+identical rows - even a third of the input - is split like any hot group.
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ from cadenza.session import ensure_checkpoint_dir
 PID = "_cz_pid"
 LOCAL = "_cz_local"
 _MONO = "_cz_mono"
+_SALT = "_cz_salt"
 _LOCAL_MASK = (1 << 33) - 1
 
 
@@ -76,11 +79,15 @@ def range_layout(df: DataFrame, order: Sequence[Column],
     one contiguous key range); without storing, the partition count is fixed so
     that both passes see the same partition ids.
     """
+    # A unique tiebreaker: rows equal on every ordering key (copies) would
+    # otherwise all fall into one range partition, however many there are.
+    salted = df.withColumn(_SALT, F.monotonically_increasing_id())
+    keys = list(order) + [F.col(_SALT)]
     if num_partitions or pinned:
-        ranged = df.repartitionByRange(_partitions(df, num_partitions), *order)
+        ranged = salted.repartitionByRange(_partitions(df, num_partitions), *keys)
     else:
-        ranged = df.repartitionByRange(*order)
-    ranged = ranged.sortWithinPartitions(*order)
+        ranged = salted.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     tagged = ranged.withColumn(_MONO, F.monotonically_increasing_id())
     laid = tagged.select(
         *[F.col(c) for c in df.columns],

@@ -77,3 +77,18 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "user long, ts long")
     assert rank_within(df, ["user"], [F.col("ts")], "rn").count() == 0
     assert global_index(df, [F.col("ts")], "i").count() == 0
+
+
+def test_identical_copies_are_split(spark):
+    from cadenza.operators.positions import PID, range_layout
+    copies = [(0, 5, "x")] * 1500
+    other = [(1 + i % 20, i % 9, f"y{i % 4}") for i in range(1500)]
+    df = spark.createDataFrame(copies + other, "user long, ts long, item string")
+    order = [F.col("user"), F.col("ts"), F.col("item")]
+    laid = range_layout(df, order, num_partitions=8)
+    biggest = laid.groupBy(PID).count().agg(F.max("count")).first()[0]
+    assert biggest < 1000  # the 1,500 copies do not share one partition
+    got = rank_within(df, ["user"], [F.col("ts"), F.col("item")], "rn", "n",
+                      num_partitions=8, hot_rows=100)
+    hot = sorted(r[0] for r in got.where("user = 0").select("rn").collect())
+    assert hot == list(range(1, 1501))
