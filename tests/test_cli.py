@@ -44,3 +44,27 @@ def test_cli_popularity_chain(spark):
     cli("bias", "--train", f"{d}/train_idx", "--test", f"{d}/val_idx", "--out", f"{d}/bias")
     row = spark.read.parquet(f"{d}/bias").collect()[0]
     assert row["users"] > 0 and 0 <= row["list_map"] <= 1
+
+
+def test_cli_recency_and_als(spark):
+    d = tempfile.mkdtemp(prefix="cz-cli-")
+    tr, va = Q.Chain(spark, SF).train_idx, Q.Chain(spark, SF).val_idx
+    tr.write.parquet(f"{d}/train_idx")
+    va.write.parquet(f"{d}/val_idx")
+    Q.Chain(spark, SF).train.write.parquet(f"{d}/train")
+
+    def cli(*argv):
+        run(spark, parser().parse_args(list(argv)))
+
+    cli("recency", "--input", f"{d}/train", "--out", f"{d}/recency")
+    rec = spark.read.parquet(f"{d}/recency")
+    assert rec.columns == ["user_id", "recording_mbid", "timestamp", "recency"]
+    assert rec.where("recency = 1.0").select("user_id").distinct().count() == \
+        rec.select("user_id").distinct().count()  # every user has one newest event
+    cli("als", "--train", f"{d}/train_idx", "--test", f"{d}/val_idx", "--n", "5",
+        "--out", f"{d}/als")
+    assert 0 <= spark.read.parquet(f"{d}/als").collect()[0]["overlap"] <= 1
+    cli("als", "--train", f"{d}/train_idx", "--test", f"{d}/val_idx", "--preset", "recency",
+        "--threshold", "1.5", "--out", f"{d}/auc")
+    auc = spark.read.parquet(f"{d}/auc").collect()[0]
+    assert auc["positives"] + auc["negatives"] > 0
