@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.positions import global_index
 
+_ACCURACY = 10000  # percentile_approx accuracy: rank error at most n / 10000
+_MARGIN = 2.0 / _ACCURACY  # band half-width in quantile terms
+
 
 def sample_key(keys: Sequence[str], seed: int) -> F.Column:
     """md5 of the '|'-joined key values and the seed: a deterministic shuffle order."""
@@ -20,10 +23,18 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42,
                     keys: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Rows of ``df`` kept with probability ``fraction``.
 
-    ``exact=True``: exactly round-half-even(fraction * n) rows - the first ones in
-    the order of ``sample_key(keys, seed)`` (keys default to all columns, so the
-    result does not depend on partitioning or retries). The order is a global
-    position computed by range partitioning, never a single-task sort or a limit.
+    ``exact=True``: exactly m = round-half-even(fraction * n) rows - the first m
+    in the order of ``sample_key(keys, seed)`` (then the keys). Keys default to
+    all columns and must identify rows deterministically; the result does not
+    depend on partitioning or retries.
+
+    No global sort of all rows: one pass finds n and approximate quantiles of the
+    key's leading 60 bits just around ``fraction``; a second pass counts the rows
+    certainly below that band and inside it. Rows below are taken as they are,
+    and only the band (a fraction of about 4 / 10,000 of the rows) is ordered by
+    ``global_index`` to take the remaining rows. If the approximate bounds miss
+    the m-th row (not expected), the whole input is ordered instead.
+
     ``exact=False``: Spark's Bernoulli ``sample`` (size varies).
     """
     if not 0.0 <= fraction <= 1.0:
@@ -31,8 +42,32 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42,
     if not exact:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     keys = list(keys or df.columns)
-    keyed = df.withColumn("_cz_h", sample_key(keys, seed))
-    order = [F.col("_cz_h").asc()] + [F.col(k).asc_nulls_first() for k in keys]
-    placed = global_index(keyed, order, "_cz_pos", "_cz_total")
-    wanted = F.bround(F.col("_cz_total") * F.lit(float(fraction)), 0)
-    return placed.where(F.col("_cz_pos") < wanted).select(*[F.col(c) for c in df.columns])
+    cols = [F.col(c) for c in df.columns]
+    keyed = (df.withColumn("_cz_h", sample_key(keys, seed))
+             .withColumn("_cz_hn", F.conv(F.substring("_cz_h", 1, 15), 16, 10).cast("long")))
+    order = [F.col("_cz_hn").asc(), F.col("_cz_h").asc()] + [F.col(k).asc_nulls_first() for k in keys]
+
+    q_lo, q_hi = max(0.0, fraction - _MARGIN), min(1.0, fraction + _MARGIN)
+    first = keyed.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("_cz_hn", [q_lo, q_hi], _ACCURACY).alias("q")).first()
+    n = first["n"]
+    m = round(fraction * n)  # half-even on the same double as bround(fraction * n)
+    if n == 0 or m == 0:
+        return df.limit(0)
+    if m == n:
+        return df
+    t_lo, t_hi = first["q"]
+    hn = F.col("_cz_hn")
+    below, in_band = hn < F.lit(t_lo), (hn >= F.lit(t_lo)) & (hn <= F.lit(t_hi))
+    counts = keyed.agg(
+        F.sum(F.when(below, 1).otherwise(0)).alias("lo"),
+        F.sum(F.when(in_band, 1).otherwise(0)).alias("band")).first()
+    lo, band = counts["lo"] or 0, counts["band"] or 0
+    if not lo <= m <= lo + band:
+        placed = global_index(keyed, order, "_cz_pos")
+        return placed.where(F.col("_cz_pos") < F.lit(m)).select(*cols)
+    taken_below = keyed.where(below).select(*cols)
+    banded = global_index(keyed.where(in_band), order, "_cz_pos")
+    taken_band = banded.where(F.col("_cz_pos") < F.lit(m - lo)).select(*cols)
+    return taken_below.unionByName(taken_band)

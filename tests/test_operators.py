@@ -251,3 +251,23 @@ def test_top_n_large_n_path(spark):
         assert rows(top_n_per_user(df, "rating", 7)) == small
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def _brute_sample(df, fraction, seed, keys):
+    import hashlib
+    pdf = df.toPandas()
+    pdf["h"] = ["|".join([str(v) for v in r] + [str(seed)]) for r in pdf[keys].values]
+    pdf["h"] = [hashlib.md5(x.encode()).hexdigest() for x in pdf["h"]]
+    pdf = pdf.sort_values(["h"] + keys)
+    m = round(fraction * len(pdf))
+    return sorted((tuple(int(x) for x in r) for r in pdf.head(m)[keys].values), key=repr)
+
+
+def test_sample_band_and_fallback_paths(spark, monkeypatch):
+    import cadenza.operators.sampling as smp
+    df = spark.createDataFrame([(u, i) for u in range(200) for i in range(60)], "u long, i long")
+    want = _brute_sample(df, 0.3, 42, ["u", "i"])
+    assert rows(sample_fraction(df, 0.3, 42)) == want  # band path
+    monkeypatch.setattr(smp, "_MARGIN", 0.0)
+    monkeypatch.setattr(smp, "_ACCURACY", 10)
+    assert rows(smp.sample_fraction(df, 0.3, 42)) == want  # bounds miss: full ordering
