@@ -80,8 +80,12 @@ def range_layout(df: DataFrame, order: Sequence[Column],
     that both passes see the same partition ids.
     """
     # A unique tiebreaker: rows equal on every ordering key (copies) would
-    # otherwise all fall into one range partition, however many there are.
-    salted = df.withColumn(_SALT, F.monotonically_increasing_id())
+    # otherwise all fall into one range partition, however many there are. The
+    # input partitions are sorted first (by every column, no shuffle) so that a
+    # recomputed map task assigns the same tiebreakers - rows that arrive from a
+    # shuffle come in a different order on every attempt.
+    stable = df.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in df.columns])
+    salted = stable.withColumn(_SALT, F.monotonically_increasing_id())
     keys = list(order) + [F.col(_SALT)]
     if num_partitions or pinned:
         ranged = salted.repartitionByRange(_partitions(df, num_partitions), *keys)
