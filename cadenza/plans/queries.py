@@ -73,8 +73,9 @@ class Chain:
     """The stages of one query, each built at most once (a query that needs the
     train and the validation half reads one split, not two). The cleaned events,
     the split and the indexed rating tables - the hand-over tables between
-    stages - are stored once in the checkpoint folder, so later actions of the
-    chain (model fits, sampling, metrics) read them instead of recomputing it."""
+    stages - are stored once in the checkpoint folder when later stages read
+    them several times (model fits, sampling, metrics); a query that reads the
+    split once uses its plan (``*_once``) and writes nothing extra."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
@@ -90,9 +91,15 @@ class Chain:
         (group sizes, then the numbering), so the joins run a single time."""
         return pin(self.clean)
 
+    @cached_property
+    def split_plan(self) -> DataFrame:
+        """The split as a plan (for queries that read it once)."""
+        return temporal_split(self.clean_stored, RATIO)
+
     @cached_property
     def split(self) -> DataFrame:
-        return pin(temporal_split(self.clean_stored, RATIO))
+        """The split stored once (for chains that read it several times)."""
+        return pin(self.split_plan)
 
     @cached_property
     def train(self) -> DataFrame:
@@ -102,6 +109,14 @@ class Chain:
     def validation(self) -> DataFrame:
         return validation_part(self.split)
 
+    @cached_property
+    def train_once(self) -> DataFrame:
+        return train_part(self.split_plan)
+
+    @cached_property
+    def validation_once(self) -> DataFrame:
+        return validation_part(self.split_plan)
+
     @cached_property
     def train_rated(self) -> DataFrame:
         return rated_counts(self.train)
@@ -143,8 +158,9 @@ class Chain:
         preds = bias_predict(bias_fit(sample), self.val_idx.select(*cols))
         return preds.withColumn("prediction", F.round("prediction", DIGITS))
 
-    def top_list(self, beta: float = BETA) -> DataFrame:
-        return popularity_topk(interaction_counts(self.train), beta=beta, k=LIST_SIZE)
+    def top_list(self, beta: float = BETA, once: bool = False) -> DataFrame:
+        train = self.train_once if once else self.train
+        return popularity_topk(interaction_counts(train), beta=beta, k=LIST_SIZE)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -188,15 +204,15 @@ def q_null_fallback(spark, sf):
 
 
 def q_temporal_split(spark, sf):
-    return Chain(spark, sf).split
+    return Chain(spark, sf).split_plan
 
 
 def q_train_rows(spark, sf):
-    return Chain(spark, sf).train
+    return Chain(spark, sf).train_once
 
 
 def q_validation_rows(spark, sf):
-    return Chain(spark, sf).validation
+    return Chain(spark, sf).validation_once
 
 
 def q_split_points(spark, sf):
@@ -204,35 +220,36 @@ def q_split_points(spark, sf):
 
 
 def q_interaction_counts(spark, sf):
-    return interaction_counts(Chain(spark, sf).train)
+    return interaction_counts(Chain(spark, sf).train_once)
 
 
 def q_validation_counts(spark, sf):
-    return interaction_counts(Chain(spark, sf).validation)
+    return interaction_counts(Chain(spark, sf).validation_once)
 
 
 def q_item_popularity(spark, sf):
-    return item_popularity(interaction_counts(Chain(spark, sf).train), beta=BETA)
+    return item_popularity(interaction_counts(Chain(spark, sf).train_once), beta=BETA)
 
 
 def q_popularity_topk_beta0(spark, sf):
-    return Chain(spark, sf).top_list(beta=0)
+    return Chain(spark, sf).top_list(beta=0, once=True)
 
 
 def q_popularity_topk_beta100(spark, sf):
-    return Chain(spark, sf).top_list(beta=100)
+    return Chain(spark, sf).top_list(beta=100, once=True)
 
 
 def q_popularity_topk(spark, sf):
-    return Chain(spark, sf).top_list()
+    return Chain(spark, sf).top_list(once=True)
 
 
 def q_compress_counts(spark, sf):
-    return Chain(spark, sf).train_rated.select("user_id", "recording_mbid", "count", _r("rating"))
+    return rated_counts(Chain(spark, sf).train_once).select(
+        "user_id", "recording_mbid", "count", _r("rating"))
 
 
 def _recency_input(spark, sf):
-    return Chain(spark, sf).train.select("user_id", "recording_mbid", "timestamp")
+    return Chain(spark, sf).train_once.select("user_id", "recording_mbid", "timestamp")
 
 
 def q_recency_weight(spark, sf):
