@@ -10,7 +10,14 @@ from cadenza.operators.listmap import list_average_precision, list_map
 from cadenza.operators.metrics import ideal_dcg, ranking_metrics, ranking_summary
 from cadenza.operators.overlap import overlap_at_n, overlap_mean
 from cadenza.operators.popularity import item_popularity, popularity_topk
-from cadenza.operators.positions import global_index, rank_within, running_totals
+from cadenza.operators.positions import (
+    global_index,
+    pin,
+    range_rank,
+    rank_within,
+    running_totals,
+    window_rank,
+)
 from cadenza.operators.rating import compress_rating, recency_weight, threshold_label
 from cadenza.operators.sampling import sample_fraction
 from cadenza.operators.split import split_points, temporal_split, train_part, validation_part
@@ -26,7 +33,7 @@ __all__ = [
     "ideal_dcg", "ranking_metrics", "ranking_summary",
     "overlap_at_n", "overlap_mean",
     "item_popularity", "popularity_topk",
-    "global_index", "rank_within", "running_totals",
+    "global_index", "pin", "range_rank", "rank_within", "running_totals", "window_rank",
     "compress_rating", "recency_weight", "threshold_label",
     "sample_fraction",
     "split_points", "temporal_split", "train_part", "validation_part",

@@ -29,6 +29,8 @@ class BiasModel:
 def bias_fit(ratings: DataFrame, user_col: str = "user_id",
              item_col: str = "recording_mbid_index", rating_col: str = "rating",
              damping: float = 5.0) -> BiasModel:
+    """Fit the model; the global mean is computed when called (one job), the
+    bias tables stay lazy."""
     rated = ratings.where(F.col(rating_col).isNotNull()).select(user_col, item_col, rating_col)
     mu = rated.agg(F.avg(rating_col)).first()[0]
     if mu is None:

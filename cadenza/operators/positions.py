@@ -31,6 +31,10 @@ readable with column pruning) and both passes read that copy; a lost executor
 then re-reads it instead of recomputing a different layout. ``pinned=True``
 skips this when the caller has already stored the input as a table.
 
+Eager steps: ``rank_within`` runs one aggregation job when called (group
+sizes), and every stored layout is written when the function is called; the
+returned DataFrames are otherwise lazy.
+
 Rows that tie on every ordering column land in an arbitrary order among
 themselves; callers order by all columns that matter so such rows are identical.
 A per-row tiebreaker spreads such copies over partitions too, so a run of
