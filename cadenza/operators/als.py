@@ -8,10 +8,13 @@ folder so long fits survive lost executors.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.positions import global_index, pin
 from cadenza.session import ensure_checkpoint_dir
 
 # Fixed parameter sets of the two evaluations.
@@ -19,35 +22,76 @@ COUNTS_PRESET = {"rank": 20, "reg": 0.5, "alpha": 5.0, "max_iter": 10}
 RECENCY_PRESET = {"rank": 10, "reg": 0.05, "alpha": 40.0, "max_iter": 10}
 
 
+INT_MAX = 2**31 - 1
+_DENSE_USER = "_cz_user_index"
+
+
+@dataclass
+class DenseUserALS:
+    """An ALS model trained on dense user ids, with the map from the original ids."""
+    model: ALSModel
+    users: DataFrame  # user_col, _cz_user_index (int)
+    user_col: str
+
+
+def _needs_dense_users(ratings: DataFrame, user_col: str) -> bool:
+    lo, hi = ratings.agg(F.min(user_col), F.max(user_col)).first()
+    return lo is not None and (lo < 0 or hi > INT_MAX)
+
+
 def als_fit(ratings: DataFrame, user_col: str = "user_id",
             item_col: str = "recording_mbid_index", rating_col: str = "rating",
             rank: int = 20, reg: float = 0.5, alpha: float = 5.0, max_iter: int = 10,
             nonnegative: bool = True, implicit: bool = False, seed: int = 42,
             cold_start: str = "drop", checkpoint_interval: int = 5,
-            num_blocks: int | None = None) -> ALSModel:
+            num_blocks: int | None = None,
+            dense_users: bool | None = None) -> ALSModel | DenseUserALS:
     """Fit ALS. Explicit feedback by default, where ``alpha`` has no effect;
     ``implicit=True`` switches to the confidence-weighted implicit form.
 
     User and item factors are split into ``num_blocks`` blocks each (default:
     the cluster's default parallelism, at least 10 - MLlib's fixed default of 10
-    would leave most of a large cluster idle)."""
+    would leave most of a large cluster idle).
+
+    MLlib needs ids in the 32-bit range. Items are dense indexes already; user
+    ids outside that range (checked with one aggregate when ``dense_users`` is
+    None) are replaced by dense ids 0..n-1 from the skew-safe ``global_index``,
+    and the returned ``DenseUserALS`` maps them back in ``als_predict``."""
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
+    data = ratings.where(F.col(user_col).isNotNull() & F.col(item_col).isNotNull()
+                         & F.col(rating_col).isNotNull())
+    if dense_users is None:
+        dense_users = _needs_dense_users(data, user_col)
+    users = None
+    fit_user_col = user_col
+    if dense_users:
+        distinct = data.select(user_col).distinct()
+        users = global_index(distinct, [F.col(user_col).asc()], _DENSE_USER)
+        users = pin(users.withColumn(_DENSE_USER, F.col(_DENSE_USER).cast("int")))
+        data = data.join(users, user_col, "inner")
+        fit_user_col = _DENSE_USER
     blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
     als = ALS(
         numUserBlocks=blocks, numItemBlocks=blocks,
         rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha,
-        userCol=user_col, itemCol=item_col, ratingCol=rating_col,
+        userCol=fit_user_col, itemCol=item_col, ratingCol=rating_col,
         nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,
         coldStartStrategy=cold_start, checkpointInterval=checkpoint_interval,
     )
-    data = ratings.where(F.col(user_col).isNotNull() & F.col(item_col).isNotNull()
-                         & F.col(rating_col).isNotNull())
-    return als.fit(data)
+    model = als.fit(data)
+    return DenseUserALS(model, users, user_col) if dense_users else model
 
 
-def als_predict(model: ALSModel, pairs: DataFrame, out: str = "prediction") -> DataFrame:
+def als_predict(model: ALSModel | DenseUserALS, pairs: DataFrame,
+                out: str = "prediction") -> DataFrame:
     """Score (user, item) pairs; pairs with an unseen user or item are dropped
     (cold-start "drop"); the score is returned as double."""
-    scored = model.transform(pairs)
-    return scored.withColumn(out, F.col(model.getPredictionCol()).cast("double"))
+    if isinstance(model, DenseUserALS):
+        mapped = pairs.join(model.users, model.user_col, "inner")
+        scored = model.model.transform(mapped).drop(_DENSE_USER)
+        pred_col = model.model.getPredictionCol()
+    else:
+        scored = model.transform(pairs)
+        pred_col = model.getPredictionCol()
+    return scored.withColumn(out, F.col(pred_col).cast("double"))
