@@ -24,13 +24,13 @@ CTES: dict[str, str] = {
                CASE WHEN p_partkey % 5 = 0 THEN NULL
                     ELSE 'b' || CAST(p_partkey % 1000 AS VARCHAR) END AS recording_mbid
         FROM part""",
-    "users": "SELECT c_custkey AS user_id FROM customer",
+    "user_dim": "SELECT c_custkey AS user_id FROM customer",
     "clean": """
         SELECT i.user_id, i.recording_msid AS interactions_msid, i."timestamp",
                COALESCE(t.recording_mbid, t.recording_msid) AS recording_mbid
         FROM interactions i
         JOIN tracks t ON i.recording_msid = t.recording_msid
-        JOIN users u ON i.user_id = u.user_id""",
+        JOIN user_dim u ON i.user_id = u.user_id""",
     "ranked": """
         SELECT *,
                row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" ASC NULLS FIRST,
