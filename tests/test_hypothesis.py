@@ -18,7 +18,7 @@ def test_rank_within_random(spark, data, parts, hot):
     got = rank_within(df, ["g"], [F.col("t").asc(), F.col("v").desc()], "rn", "n",
                       num_partitions=parts, hot_rows=hot).toPandas()
     pdf = pd.DataFrame(data, columns=["g", "t", "v"])
-    pdf["gk"] = pdf["g"].fillna(-1)
+    pdf["gk"] = pdf["g"].astype("float64").fillna(-1)
     pdf = pdf.sort_values(["gk", "t", "v"], ascending=[True, True, False])
     pdf["rn"] = pdf.groupby("gk").cumcount() + 1
     pdf["n"] = pdf.groupby("gk")["t"].transform("size")
