@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.session import ensure_checkpoint_dir
 
@@ -27,6 +31,35 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callable],
+                drop=()) -> DataFrame:
+    """``df`` without ``drop`` plus ``fields``, computed per Arrow batch.
+
+    ``prepare()`` runs once per task and returns a function from the lists of
+    values of ``inputs`` to one sequence per field. Other columns pass through
+    untouched, whatever their types and nulls.
+    """
+    added = T._parse_datatype_string(fields).fields
+    names = {f.name for f in added}
+    kept = [c for c in df.columns if c not in names and c not in drop]
+    source = df.select(*kept, *(F.col(c).alias(f"__in{i}") for i, c in enumerate(inputs)))
+    schema = T.StructType(source.schema.fields[:len(kept)] + added)
+    width = len(kept)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds = [to_arrow_type(f.dataType) for f in added]
+        compute = prepare()
+        for batch in batches:
+            made = compute(*(batch.column(width + i).to_pylist() for i in range(len(inputs))))
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[:width] + [pa.array(m, k) for m, k in zip(made, kinds)],
+                names=schema.names)
+
+    return source.mapInArrow(run, schema)
+
+
 def code_points(texts) -> tuple[np.ndarray, np.ndarray]:
     """Concatenated UTF-32 code points of ``texts`` and their n + 1 bounds."""
     bounds = np.zeros(len(texts) + 1, dtype=np.int64)

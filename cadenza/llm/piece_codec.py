@@ -23,6 +23,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.llm.common import add_columns
+
 MARK = "▁"
 CACHE_ENTRIES = 400_000  # remembered cuts per Python worker
 CACHE_CHARS = 48  # longer cuts are encoded each time
@@ -254,26 +256,23 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", keep=(
     are kept; other columns are not read. The vocabulary (a fixed file) is sent
     to the workers once; rows never shuffle.
     """
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(_vocabulary(model_path))
-    source = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    outputs = ("ids string, decoded string" if with_text
-               else "ids_sha256 string, decoded_sha256 string")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-
-    def run(batches):
+    shared = df.sparkSession.sparkContext.broadcast(_vocabulary(model_path))
+    fields = ("n_tokens long, ids string, decoded string" if with_text
+              else "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+    def digest(text: str) -> str:
+        return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+    def prepare():
         codec = _codec(shared.value)
-        for batch in batches:
-            both = [codec.round_trip(t) for t in batch.pop("__text")]
-            batch["n_tokens"] = [ids.count(" ") + 1 for ids, _ in both]
-            if with_text:
-                batch["ids"] = [ids for ids, _ in both]
-                batch["decoded"] = [text for _, text in both]
-            else:
-                batch["ids_sha256"] = [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in both]
-                batch["decoded_sha256"] = [
-                    hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
-                    for _, text in both]
-            yield batch
 
-    return source.mapInPandas(run, f"{fields}, n_tokens long, {outputs}")
+        def compute(texts):
+            both = [codec.round_trip(t or "") for t in texts]
+            out = both if with_text else [(digest(ids), digest(text)) for ids, text in both]
+            return ([ids.count(" ") + 1 for ids, _ in both],
+                    [ids for ids, _ in out], [text for _, text in out])
+
+        return compute
+
+    return add_columns(df.select(*keep, F.col(text_col).alias("__text")), ["__text"], fields,
+                       prepare, drop=["__text"])

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
+from cadenza.llm import lang_bayes
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -20,8 +22,16 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = documents.withColumn("held_out", lang_bayes.held_out(4, 2))
+    model = lang_bayes.fit(rows.where(~F.col("held_out")))
+    return lang_bayes.predict(rows.drop("lang"), model, drop=["text"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
