@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
-from cadenza.llm import lang_bayes
+from cadenza.llm import lang_bayes, scaled_sketch
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -22,6 +22,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     rows = documents.withColumn("held_out", lang_bayes.held_out(4, 2))
@@ -31,6 +35,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_scaled_sketch": op5_scaled_sketch,
     "op7_language_id": op7_language_id,
 }
 
