@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
-from cadenza.llm import lang_bayes, scaled_sketch
+from cadenza.llm import lang_bayes, poisson_mix, scaled_sketch
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -33,10 +33,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_bayes.predict(rows.drop("lang"), model, drop=["text"])
 
 
+def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix.poisson_mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op5_scaled_sketch": op5_scaled_sketch,
     "op7_language_id": op7_language_id,
+    "op8_poisson_mix": op8_poisson_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_poisson_mix": poisson_mix.oracle_sql(),
+}
