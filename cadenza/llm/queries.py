@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
-from cadenza.llm import lang_bayes, poisson_mix, scaled_sketch
+from cadenza.llm import lang_bayes, poisson_mix, scaled_sketch, secret_markov
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -26,6 +26,20 @@ def op5_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def _has_kind(kind: int):
+    return lambda span: span["kind"] == kind
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_markov.scan(documents, secret_markov.fit(documents))
+    n_kind = [F.size(F.filter("base", _has_kind(k))).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(secret_markov.KINDS[:3])]
+    return found.select(
+        "doc_id", *n_kind, F.sha2(secret_markov.span_text(F.col("base")), 256).alias("base_sha256"),
+        secret_markov.span_text(F.col("spans")).alias("spans"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     rows = documents.withColumn("held_out", lang_bayes.held_out(4, 2))
@@ -40,6 +54,7 @@ def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op5_scaled_sketch": op5_scaled_sketch,
+    "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_poisson_mix": op8_poisson_mix,
 }
