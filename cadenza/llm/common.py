@@ -60,6 +60,46 @@ def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callab
     return source.mapInArrow(run, schema)
 
 
+def map_groups(df: DataFrame, keys: list[str], fields: str, handle: Callable) -> DataFrame:
+    """Apply ``handle`` to the rows of each combination of the integer ``keys``.
+
+    ``handle`` takes one Arrow table and returns one sequence per field. Groups
+    must be bounded by the caller; one task sees its groups one after another.
+    """
+    laid = df.repartition(*keys).sortWithinPartitions(*keys)
+    schema = T._parse_datatype_string(fields)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        layout = to_arrow_schema(schema)
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def close():
+            made = handle(pa.Table.from_batches(held))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(m, f.type) for m, f in zip(made, layout)], schema=layout)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+            cuts = [0, *(np.flatnonzero((own[:, 1:] != own[:, :-1]).any(axis=0)) + 1).tolist(),
+                    batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                key = own[:, a].tolist()
+                if held and key != last:
+                    yield close()
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = key
+        if held:
+            yield close()
+
+    return laid.mapInArrow(run, schema)
+
+
 def code_points(texts) -> tuple[np.ndarray, np.ndarray]:
     """Concatenated UTF-32 code points of ``texts`` and their n + 1 bounds."""
     bounds = np.zeros(len(texts) + 1, dtype=np.int64)
