@@ -31,6 +31,18 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+SLICE_BYTES = 8 << 20  # of an Arrow batch worked on at once in a Python worker
+
+
+def slices(batches):
+    """The rows of ``batches`` in pieces of about ``SLICE_BYTES``, one row at least."""
+    for batch in batches:
+        if batch.num_rows:
+            step = max(1, int(SLICE_BYTES * batch.num_rows // max(1, batch.nbytes)))
+            for start in range(0, batch.num_rows, step):
+                yield batch.slice(start, step)
+
+
 def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callable],
                 drop=()) -> DataFrame:
     """``df`` without ``drop`` plus ``fields``, computed per Arrow batch.
@@ -51,7 +63,7 @@ def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callab
 
         kinds = [to_arrow_type(f.dataType) for f in added]
         compute = prepare()
-        for batch in batches:
+        for batch in slices(batches):
             made = compute(*(batch.column(width + i).to_pylist() for i in range(len(inputs))))
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:width] + [pa.array(m, k) for m, k in zip(made, kinds)],

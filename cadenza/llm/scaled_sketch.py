@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import code_points, mix64, text_slices
+from cadenza.llm.common import code_points, mix64, slices, text_slices
 
 SHINGLE = 16
 SCALE = 16
@@ -130,7 +130,7 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
         layout = to_arrow_schema(schema)
         held = None  # the last row so far: its successor is in the next batch
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column("id"), batch.column("text").to_pylist()
             flags = batch.column("ahead").to_pylist()
             if held is not None:
