@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
-from cadenza.llm import hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov
+from cadenza.llm import hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov, subspace_join
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -22,6 +22,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_subspace_join": op3_subspace_join,
     "op4_hyperminhash": op4_hyperminhash,
     "op5_scaled_sketch": op5_scaled_sketch,
     "op6_secret_scan": op6_secret_scan,
