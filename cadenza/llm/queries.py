@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
-from cadenza.llm import hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov, subspace_join
+from cadenza.llm import html_extract, hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov, subspace_join
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -18,6 +18,10 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -60,6 +64,7 @@ def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_suffix_array": op1_html_suffix_array,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_subspace_join": op3_subspace_join,
     "op4_hyperminhash": op4_hyperminhash,
