@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table
-from cadenza.llm import html_extract, hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov, subspace_join
+from cadenza.llm import html_extract, hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov, subspace_join, toxic_viterbi
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -63,6 +63,16 @@ def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.poisson_mix(read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxic_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~lang_bayes.held_out(4, 2))
+    language = toxic_viterbi.fit_language(documents)
+    lexicon = toxic_viterbi.fit_lexicon(documents, labels, language)
+    rows = documents.withColumn("held_out", lang_bayes.held_out(4, 2))
+    return (toxic_viterbi.score(rows, language, lexicon, drop=["text"])
+            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_suffix_array": op1_html_suffix_array,
     "op2_sentencepiece": op2_sentencepiece,
@@ -72,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_poisson_mix": op8_poisson_mix,
+    "op9_toxic_viterbi": op9_toxic_viterbi,
 }
 
 ORACLE_SQL: dict[str, str] = {

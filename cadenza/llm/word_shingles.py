@@ -30,6 +30,14 @@ def _power_tables(size: int):
     return _powers
 
 
+def hash_runs(data: np.ndarray, first: np.ndarray, ends) -> list[np.ndarray]:
+    """64-bit hashes of the bytes from each ``first`` up to each of ``ends``."""
+    power, inverse = _power_tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * power[:len(data)], out=total[1:])
+    return [mix64((total[last] - total[first]) * inverse[first]) for last in ends]
+
+
 def _words(raws) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of all texts, and each text's first word (n + 1 bounds)."""
     data = np.frombuffer(b"\n".join(raws) + b"\n", dtype=np.uint8)
@@ -37,11 +45,7 @@ def _words(raws) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[data]
     before = np.concatenate([[True], space[:-1]])
     first = np.flatnonzero(~space & before)
-    last = np.flatnonzero(space & ~before)
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * power[:len(data)], out=total[1:])
-    value = mix64((total[last] - total[first]) * inverse[first])
+    (value,) = hash_runs(data, first, [np.flatnonzero(space & ~before)])
     return value, np.concatenate([[0], np.searchsorted(first, ends)])
 
 
