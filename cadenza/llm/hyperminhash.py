@@ -9,11 +9,12 @@ the probability of their Jaccard similarity, small sets included.
 Texts with equal shingle sets are one class with its smallest id as
 representative. Representatives that share a band of registers are candidates.
 They are never expanded into all pairs: first every member of a band group is
-checked against the group's smallest id, the links found are closed to
+checked against one leader of the group, the links found are closed to
 components, and only members of different components of a group are compared
-further, in blocks. The similarity estimated from the registers, corrected for
-chance collisions, rejects hopeless candidates with a margin of
-``MARGIN`` standard errors; all others are confirmed on the full shingle sets.
+further, in blocks that return one link per pair of components joined. The
+similarity estimated from the registers, corrected for chance collisions,
+rejects hopeless candidates with a margin of ``MARGIN`` standard errors; all
+others are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ BANDS = 44  # 0.75 alike: all bands differ with probability (1 - 0.75 ** 5) ** 4
 MARGIN = 4.5
 NUMERATOR, DENOMINATOR = 75, 100
 BLOCK = 256  # members of a band group in one comparison block
+LEADERS = 6  # orders of the ids that leaders are taken from, so that they differ
 BROADCAST_IDS = 1_000_000
 
 _random = np.random.Generator(np.random.PCG64(11))
@@ -147,11 +149,16 @@ def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
                        drop=["na", "ra", "nb", "rb"]).where("hopeful").select("a", "b")
 
 
+def _alike(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two full sets share enough of their union."""
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    return DENOMINATOR * shared >= NUMERATOR * (len(one) + len(two) - shared)
+
+
 def _confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Pairs whose full shingle sets are alike enough; ``pairs`` is stored."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        sized_broadcast(wanted, BROADCAST_IDS), "id", "left_semi")
+    texts = _texts(df, wanted, id_col, text_col)
 
     def prepare():
         def compute(left, right):
@@ -159,12 +166,7 @@ def _confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str) -> D
             at = [(place.setdefault(x, len(place)), place.setdefault(y, len(place)))
                   for x, y in zip(left, right)]
             sets = shingle_sets(list(place))
-            out = []
-            for x, y in at:
-                one, two = sets[x], sets[y]
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                out.append(DENOMINATOR * shared >= NUMERATOR * (len(one) + len(two) - shared))
-            return (out,)
+            return ([_alike(sets[x], sets[y]) for x, y in at],)
         return compute
 
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
@@ -173,19 +175,39 @@ def _confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str) -> D
                        drop=["ta", "tb"]).where("linked").select("a", "b")
 
 
+def _order(key, number):
+    """A number of the id in one of ``LEADERS`` orders, chosen by key; its own inverse."""
+    return F.col(number).bitwiseXOR(F.xxhash64(F.pmod(key, F.lit(LEADERS))))
+
+
+def _leaders(bands: DataFrame) -> DataFrame:
+    """(key, leader) of the band groups with two members or more."""
+    return (bands.groupBy("key").agg(F.min(_order(F.col("key"), "id")).alias("low"),
+                                     F.max(_order(F.col("key"), "id")).alias("high"))
+            .where("low <> high").select("key", _order(F.col("key"), "low").alias("leader")))
+
+
 def _leader_pairs(groups: DataFrame, rows: DataFrame) -> DataFrame:
-    return (rows.join(groups.select("key", "leader"), "key").where("id <> leader")
-            .select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
+    return (rows.join(groups, "key").where("id <> leader")
+            .select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
+            .distinct())
 
 
-def _cross_pairs(rows: DataFrame, linked: DataFrame, signed: DataFrame) -> DataFrame:
-    """Hopeful pairs of one band group but of different components.
+def _texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts of the stored distinct ``ids``; the ids are broadcast up to a bound."""
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        sized_broadcast(ids, BROADCAST_IDS), "id", "left_semi")
+
+
+def _cross_links(rows: DataFrame, linked: DataFrame, reps: DataFrame, df: DataFrame,
+                 id_col: str, text_col: str) -> DataFrame:
+    """Confirmed links between members of one band group but of different components.
 
     In each group the members outside its largest component are compared with
-    all members, block by block; a block holds at most 2 * ``BLOCK`` members.
+    all members, block by block; a block holds at most 2 * ``BLOCK`` members and
+    returns at most one link of a member to each component.
     """
-    known = linked.select("id", "component")
-    own = stored(rows.join(known, "id", "left").select(
+    own = stored(rows.join(linked, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp")))
     sizes = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = stored(sizes.groupBy("key").agg(
@@ -196,19 +218,27 @@ def _cross_pairs(rows: DataFrame, linked: DataFrame, signed: DataFrame) -> DataF
                 F.ceil((F.col("g") - F.col("top.n")) / BLOCK).cast("int").alias("high")))
     if mixed.isEmpty():
         return rows.sparkSession.createDataFrame([], "a bigint, b bigint")
-    members = own.join(mixed, "key")
+    members = stored(own.join(mixed, "key"))
+    wanted = stored(members.select("id").distinct())
+
+    def prepare():
+        return lambda texts: ([s.tobytes() for s in shingle_sets(texts)],)
+
+    sets = add_columns(_texts(df, wanted, id_col, text_col), ["text"], "hashes binary", prepare,
+                       drop=["text"]).join(reps.select("id", "regs"), "id")
     place = F.abs(F.xxhash64("id"))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    base = members.select("key", "id", "comp", (place % F.col("wide")).cast("int").alias("col"),
-                          spread("high").alias("row"), F.lit(False).alias("probe"))
+    base = members.select(
+        "key", "id", "comp", (place % F.col("wide")).cast("int").alias("col"),
+        F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("row"), F.lit(False).alias("probe"))
     probe = members.where("comp <> main").select(
-        "key", "id", "comp", spread("wide").alias("col"),
+        "key", "id", "comp", F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("col"),
         (place % F.col("high")).cast("int").alias("row"), F.lit(True).alias("probe"))
-    blocks = base.union(probe.select(base.columns)).join(signed.select("id", "n", "regs"), "id")
 
     def handle(table):
         probe = np.array(table.column("probe").to_pylist())
-        ids, comp, n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
+        ids, comp = table.column("id").to_numpy(), table.column("comp").to_numpy()
+        own = [np.frombuffer(h, dtype=np.uint64) for h in table.column("hashes").to_pylist()]
+        n = np.array([len(h) for h in own])
         regs = np.frombuffer(b"".join(table.column("regs").to_pylist()),
                              dtype=np.uint16).reshape(-1, BUCKETS)
         base = np.flatnonzero(~probe)
@@ -217,11 +247,16 @@ def _cross_pairs(rows: DataFrame, linked: DataFrame, signed: DataFrame) -> DataF
             other = base[comp[base] != comp[k]]
             same = (regs[other] == regs[k]).mean(axis=1)
             other = other[_hopeful(same, np.full(len(other), n[k]), n[other])]
-            left += np.minimum(ids[other], ids[k]).tolist()
-            right += np.maximum(ids[other], ids[k]).tolist()
+            joined = set()
+            for o in other:
+                if comp[o] not in joined and _alike(own[k], own[o]):
+                    joined.add(comp[o])
+                    left.append(ids[k])
+                    right.append(ids[o])
         return left, right
 
-    return map_groups(blocks, ["key", "col", "row"], "a bigint, b bigint", handle).distinct()
+    return map_groups(base.union(probe).join(sets, "id"), ["key", "col", "row"],
+                      "a bigint, b bigint", handle)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,16 +277,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reps = stored(able.select("id", "n", "regs").join(
         classes.select(F.col("rep").alias("id")), "id", "left_semi"))
     bands = _band_rows(reps)
-    groups = stored(bands.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-                    .where("leader <> last").select("key", "leader"))
+    groups = stored(_leaders(bands))
     shared = stored(bands.join(groups.select("key"), "key", "left_semi"))
     first = stored(_confirmed(stored(_estimated(_leader_pairs(groups, shared), reps)),
                               df, id_col, text_col))
     linked = components(first)
-    cross = stored(_cross_pairs(shared, linked, reps))
+    cross = stored(_cross_links(shared, linked, reps, df, id_col, text_col))
     if not cross.isEmpty():
-        second = _confirmed(cross, df, id_col, text_col)
-        linked = components(first.union(second))
+        linked = components(first.union(cross))
     named = (classes.join(linked.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .select("n", "c1", "c2", F.coalesce("component", "rep").alias("component")))
     return (signed.join(named, ["n", "c1", "c2"], "left")
