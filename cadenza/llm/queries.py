@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import read_table
-from cadenza.llm import html_extract, hyperminhash, lang_bayes, poisson_mix, scaled_sketch, secret_markov, subspace_join, toxic_viterbi
+from cadenza.llm.common import read_table, stored
+from cadenza.llm import html_extract, hyperminhash, lang_bayes, poisson_mix, quality_rank, scaled_sketch, secret_markov, subspace_join, toxic_viterbi
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -73,6 +73,15 @@ def op9_toxic_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
 
 
+def op10_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~lang_bayes.held_out(3, 1))
+    rows = stored(quality_rank.featured(documents, drop=["text"]))
+    ranking = quality_rank.fit(rows, labels)
+    return (quality_rank.score(rows.withColumn("held_out", lang_bayes.held_out(3, 1)), ranking)
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_suffix_array": op1_html_suffix_array,
     "op2_sentencepiece": op2_sentencepiece,
@@ -83,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_toxic_viterbi": op9_toxic_viterbi,
+    "op10_quality_rank": op10_quality_rank,
 }
 
 ORACLE_SQL: dict[str, str] = {
