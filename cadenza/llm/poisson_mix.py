@@ -82,14 +82,16 @@ def poisson_mix(df: DataFrame, weights: dict[str, float] | None = None, seed: st
     source is spread evenly.
     """
     rates = stored(source_rates(df, weights, text_col, source_col))
-    rates = sized_broadcast(rates.select("mix_source", "parts", "cumulative"), BROADCAST_SOURCES)
+    rates = sized_broadcast(rates.select(
+        F.col("mix_source").alias("__source"), F.col("parts").alias("__parts"),
+        F.col("cumulative").alias("__below")), BROADCAST_SOURCES)
     id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda part: F.size(F.filter(
-        F.col("cumulative"),
+    draws = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda part: F.size(F.filter(
+        F.col("__below"),
         lambda c: c <= _uniform(F.lit(seed), id_text, part.cast("string")))))
     count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
     kept = [c for c in df.columns if c not in ("copy_no", "mix_key")]
-    copies = (df.select(*kept).join(rates, F.col(source_col).eqNullSafe(F.col("mix_source")))
+    copies = (df.select(*kept).join(rates, F.col(source_col).eqNullSafe(F.col("__source")))
               .withColumn("__n", count).where("__n > 0")
               .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__n")))))
     key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), id_text, F.col("copy_no").cast("string")))

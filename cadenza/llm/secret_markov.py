@@ -33,7 +33,8 @@ TRAIN_TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 SCORE_TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 MIN_RATIO = 15.0  # nats over the whole token
 MIN_MEAN = 0.6  # nats per character pair
-SMOOTHING = 0.5
+SMOOTHING = 0.5  # added to the count of each character
+FALLBACK = 4.0  # weight of the second character alone in the pair's share
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -91,16 +92,20 @@ def fit(df: DataFrame, text_col: str = "text") -> list[float]:
         F.sequence(F.lit(1), F.length("s.token") - 1)).alias("at"))
         .groupBy("random", F.substring("token", F.col("at"), F.lit(2)).alias("pair"))
         .count().collect())
-    size = len(ALPHABET)
     chains = {}
     for label in (True, False):
-        table = [[SMOOTHING] * 128 for _ in range(128)]
-        for row in counts:
-            if row["random"] == label:
-                a, b = map(ord, row["pair"])
-                table[a][b] += row["count"]
-        chains[label] = [[math.log(n / (sum(own) - (128 - size) * SMOOTHING)) for n in own]
-                         for own in table]
+        pairs = {r["pair"]: r["count"] for r in counts if r["random"] == label}
+        seconds = {c: SMOOTHING for c in ALPHABET}
+        firsts = dict.fromkeys(ALPHABET, 0)
+        for pair, n in pairs.items():
+            firsts[pair[0]] += n
+            seconds[pair[1]] += n
+        every = sum(seconds.values())
+        chains[label] = [[0.0] * 128 for _ in range(128)]
+        for a in ALPHABET:
+            for b in ALPHABET:  # a pair unseen so far falls back on its second character
+                own = pairs.get(a + b, 0) + FALLBACK * seconds[b] / every
+                chains[label][ord(a)][ord(b)] = math.log(own / (firsts[a] + FALLBACK))
     return [chains[True][a][b] - chains[False][a][b] for a in range(128) for b in range(128)]
 
 
