@@ -41,7 +41,9 @@ def main() -> None:
     parts = os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)
     spark = build_session(f"local[{cpus}]", app_name="cadenza-bench",
                           shuffle_partitions=int(parts),
-                          conf={"spark.driver.memory": "16g"})
+                          conf={"spark.driver.memory": "16g", "spark.ui.enabled": "false",
+                                "spark.ui.showConsoleProgress": "false"})
+    spark.sparkContext.setLogLevel("ERROR")
     # warm the JVM and the scan path (not timed)
     QUERIES["split_points"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

@@ -1,8 +1,9 @@
 """cadenza: recommendation analytics on interaction logs, written as Spark jobs.
 
 Every public operator takes and returns DataFrames and is built from Spark SQL
-expressions (joins, aggregates, windows, range partitioning). Nothing is
-collected to the driver except single scalars.
+expressions (joins, aggregates, windows, range partitioning). What reaches the
+driver is bounded whatever the input: single scalars, 65,536 counts in the exact
+sample, 63 cut points in the exact AUC.
 
 Sub-packages:
 
@@ -10,7 +11,6 @@ Sub-packages:
 * ``functions`` - column expressions (compression, decay, labels, fallback)
 * ``operators`` - the relational operators (clean, split, counts, ranking, ...)
 * ``plans``     - compositions of operators end to end, and the registered queries
-* ``streaming`` - the count operators applied to a Structured Streaming source
 """
 
 from cadenza.session import build_session, ensure_checkpoint_dir

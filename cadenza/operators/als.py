@@ -2,8 +2,8 @@
 
 MLlib ALS is already a distributed, block-partitioned trainer (factor blocks
 shuffled each round); this module pins the parameters used by the evaluations,
-fixes the seed and checkpoints factor lineage into the session's checkpoint
-folder so long fits survive lost executors.
+the seed and the number of factor blocks, and checkpoints factor lineage into
+the session's checkpoint folder so long fits survive lost executors.
 """
 
 from __future__ import annotations
@@ -21,77 +21,79 @@ from cadenza.session import ensure_checkpoint_dir
 COUNTS_PRESET = {"rank": 20, "reg": 0.5, "alpha": 5.0, "max_iter": 10}
 RECENCY_PRESET = {"rank": 10, "reg": 0.05, "alpha": 40.0, "max_iter": 10}
 
+# Factor blocks. The block layout decides MLlib's factor initialisation, so the
+# number is part of the model like the seed and never follows the cluster size.
+# Raise it for tables whose blocks would not fit a task (it changes the model).
+NUM_BLOCKS = 16
 
-INT_MAX = 2**31 - 1
-_DENSE_USER = "_cz_user_index"
+_USER = "_cz_user_index"
+_ITEM = "_cz_item_index"
 
 
 @dataclass
-class DenseUserALS:
-    """An ALS model trained on dense user ids, with the map from the original ids."""
+class RatingModel:
+    """Factors on dense ids, with the maps from the caller's ids."""
     model: ALSModel
     users: DataFrame  # user_col, _cz_user_index (int)
+    items: DataFrame  # item_col, _cz_item_index (int)
     user_col: str
+    item_col: str
 
+    def user_factors(self) -> DataFrame:
+        """``user_col``, ``features``."""
+        return self.users.join(self.model.userFactors.withColumnRenamed("id", _USER), _USER).drop(_USER)
 
-def _needs_dense_users(ratings: DataFrame, user_col: str) -> bool:
-    lo, hi = ratings.agg(F.min(user_col), F.max(user_col)).first()
-    return lo is not None and (lo < 0 or hi > INT_MAX)
+    def item_factors(self) -> DataFrame:
+        """``item_col``, ``features``."""
+        return self.items.join(self.model.itemFactors.withColumnRenamed("id", _ITEM), _ITEM).drop(_ITEM)
+
+
+def _dense(data: DataFrame, col: str, out: str) -> DataFrame:
+    """Distinct values of ``col`` with dense 32-bit ids in sort order."""
+    ids = global_index(data.select(col).distinct(), [F.col(col).asc()], out)
+    return pin(ids.withColumn(out, F.col(out).cast("int")))
+
+
+def mean_ratings(events: DataFrame, user_col: str = "user_id",
+                 item_col: str = "recording_mbid_index", rating_col: str = "rating") -> DataFrame:
+    """One rating per (user, item): the mean of its rows.
+
+    A user's many events of one item then reach the trainer as one row, so the
+    size of a user's block follows the number of its items, not of its events.
+    """
+    return events.groupBy(user_col, item_col).agg(F.avg(rating_col).alias(rating_col))
 
 
 def als_fit(ratings: DataFrame, user_col: str = "user_id",
             item_col: str = "recording_mbid_index", rating_col: str = "rating",
             rank: int = 20, reg: float = 0.5, alpha: float = 5.0, max_iter: int = 10,
             nonnegative: bool = True, implicit: bool = False, seed: int = 42,
-            cold_start: str = "drop", checkpoint_interval: int = 5,
-            num_blocks: int | None = None,
-            dense_users: bool | None = None) -> ALSModel | DenseUserALS:
+            checkpoint_interval: int = 5, num_blocks: int = NUM_BLOCKS) -> RatingModel:
     """Fit ALS. Explicit feedback by default, where ``alpha`` has no effect;
     ``implicit=True`` switches to the confidence-weighted implicit form.
 
-    User and item factors are split into ``num_blocks`` blocks each (default:
-    the cluster's default parallelism, at least 10 - MLlib's fixed default of 10
-    would leave most of a large cluster idle).
-
-    MLlib needs ids in the 32-bit range. Items are dense indexes already; user
-    ids outside that range (checked with one aggregate when ``dense_users`` is
-    None) are replaced by dense ids 0..n-1 from the skew-safe ``global_index``,
-    and the returned ``DenseUserALS`` maps them back in ``als_predict``."""
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    data = ratings.where(F.col(user_col).isNotNull() & F.col(item_col).isNotNull()
-                         & F.col(rating_col).isNotNull())
-    if dense_users is None:
-        dense_users = _needs_dense_users(data, user_col)
-    users = None
-    fit_user_col = user_col
-    if dense_users:
-        distinct = data.select(user_col).distinct()
-        users = global_index(distinct, [F.col(user_col).asc()], _DENSE_USER)
-        users = pin(users.withColumn(_DENSE_USER, F.col(_DENSE_USER).cast("int")))
-        data = data.join(users, user_col, "inner")
-        fit_user_col = _DENSE_USER
-    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
+    MLlib needs ids in the 32-bit range, so users and items are always mapped to
+    dense ids with the skew-safe ``global_index``; ``als_predict`` maps them back.
+    Rows with a null user, item or rating are left out.
+    """
+    ensure_checkpoint_dir(ratings.sparkSession)
+    data = ratings.select(user_col, item_col, rating_col).dropna()
+    users, items = _dense(data, user_col, _USER), _dense(data, item_col, _ITEM)
+    data = data.join(users, user_col).join(items, item_col).select(_USER, _ITEM, rating_col)
     als = ALS(
-        numUserBlocks=blocks, numItemBlocks=blocks,
+        numUserBlocks=num_blocks, numItemBlocks=num_blocks,
         rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha,
-        userCol=fit_user_col, itemCol=item_col, ratingCol=rating_col,
+        userCol=_USER, itemCol=_ITEM, ratingCol=rating_col,
         nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,
-        coldStartStrategy=cold_start, checkpointInterval=checkpoint_interval,
+        coldStartStrategy="drop", checkpointInterval=checkpoint_interval,
     )
-    model = als.fit(data)
-    return DenseUserALS(model, users, user_col) if dense_users else model
-
-
-def als_predict(model: ALSModel | DenseUserALS, pairs: DataFrame,
-                out: str = "prediction") -> DataFrame:
-    """Score (user, item) pairs; pairs with an unseen user or item are dropped
-    (cold-start "drop"); the score is returned as double."""
-    if isinstance(model, DenseUserALS):
-        mapped = pairs.join(model.users, model.user_col, "inner")
-        scored = model.model.transform(mapped).drop(_DENSE_USER)
-        pred_col = model.model.getPredictionCol()
-    else:
-        scored = model.transform(pairs)
-        pred_col = model.getPredictionCol()
-    return scored.withColumn(out, F.col(pred_col).cast("double"))
+    return RatingModel(als.fit(data), users, items, user_col, item_col)
+
+
+def als_predict(model: RatingModel, pairs: DataFrame, out: str = "prediction") -> DataFrame:
+    """Score (user, item) pairs; pairs with an unknown user or item - any id, in
+    range or not, or null - are dropped; the score is returned as double."""
+    mapped = pairs.join(model.users, model.user_col).join(model.items, model.item_col)
+    scored = model.model.transform(mapped)
+    score = F.col(model.model.getPredictionCol()).cast("double")
+    return scored.select(*[F.col(c) for c in pairs.columns if c != out], score.alias(out))

@@ -5,7 +5,8 @@
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
 Scores are first aggregated to one row per distinct score (map-side partial
-counts), then ``neg(< s)`` is a distributed prefix sum. Every term is a multiple
+counts). ``neg(< s)`` is a running sum inside each of ``BUCKETS`` score ranges, cut
+at approximate quantiles of the distinct scores, plus one offset per range. Every term is a multiple
 of 1/2, so the sum is exact in double precision up to 2^52 pairs.
 
 ``evaluator_auc`` is MLlib's ``BinaryClassificationEvaluator`` (binned, so
@@ -15,10 +16,12 @@ approximate on many distinct scores), kept for parity with that evaluator.
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import running_totals
+from cadenza.operators.positions import pin
+
+BUCKETS = 64
 
 
 def exact_auc(df: DataFrame, score_col: str = "prediction", label_col: str = "label") -> DataFrame:
@@ -26,11 +29,25 @@ def exact_auc(df: DataFrame, score_col: str = "prediction", label_col: str = "la
     ``negatives``. Label 1.0 is positive, any other value negative."""
     scored = df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
     is_pos = F.col(label_col) == F.lit(1.0)
-    per_score = scored.groupBy(F.col(score_col).cast("double").alias("_cz_s")).agg(
+    per_score = pin(scored.groupBy(F.col(score_col).cast("double").alias("_cz_s")).agg(
         F.sum(F.when(is_pos, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(is_pos, 0).otherwise(1)).cast("bigint").alias("neg"),
-    )
-    ordered = running_totals(per_score, [F.col("_cz_s").asc()], ["neg"], prefix="before_")
+    ))
+    shares = [k / BUCKETS for k in range(1, BUCKETS)]
+    cuts = per_score.agg(F.percentile_approx("_cz_s", shares, 100 * BUCKETS)).first()[0] or []
+    bucket = F.lit(0)
+    for cut in sorted(set(cuts)):
+        bucket = bucket + F.when(F.col("_cz_s") > F.lit(cut), 1).otherwise(0)
+    placed = per_score.withColumn("_cz_b", bucket)
+    earlier = Window.orderBy("_cz_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_cz_b").agg(F.sum("neg").alias("_cz_n")).select(
+        "_cz_b", F.coalesce(F.sum("_cz_n").over(earlier), F.lit(0)).alias("_cz_off"))
+    inside = (Window.partitionBy("_cz_b").orderBy("_cz_s")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    running = placed.withColumn("_cz_in", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    # one row per range: at most BUCKETS
+    ordered = running.join(F.broadcast(offsets), "_cz_b").withColumn(
+        "before_neg", F.col("_cz_off") + F.col("_cz_in"))
     totals = ordered.agg(
         F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") * F.lit(0.5))).alias("_cz_u"),
         F.sum("pos").cast("bigint").alias("positives"),

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.positions import pin
+
 
 @dataclass
 class BiasModel:
@@ -29,20 +31,20 @@ class BiasModel:
 def bias_fit(ratings: DataFrame, user_col: str = "user_id",
              item_col: str = "recording_mbid_index", rating_col: str = "rating",
              damping: float = 5.0) -> BiasModel:
-    """Fit the model; the global mean is computed when called (one job), the
-    bias tables stay lazy."""
+    """Fit the model. Runs when called: one job for the global mean, one for each
+    bias table (stored, as scoring and evaluation read them several times)."""
     rated = ratings.where(F.col(rating_col).isNotNull()).select(user_col, item_col, rating_col)
     mu = rated.agg(F.avg(rating_col)).first()[0]
     if mu is None:
         raise ValueError("no ratings to fit")
     mu_c = F.lit(float(mu))
     d = F.lit(float(damping))
-    item_bias = rated.groupBy(item_col).agg(
-        (F.sum(F.col(rating_col) - mu_c) / (F.count(F.lit(1)) + d)).alias("item_bias"))
+    item_bias = pin(rated.groupBy(item_col).agg(
+        (F.sum(F.col(rating_col) - mu_c) / (F.count(F.lit(1)) + d)).alias("item_bias")))
     with_item = rated.join(item_bias, item_col, "left")
-    user_bias = with_item.groupBy(user_col).agg(
+    user_bias = pin(with_item.groupBy(user_col).agg(
         (F.sum(F.col(rating_col) - mu_c - F.coalesce(F.col("item_bias"), F.lit(0.0)))
-         / (F.count(F.lit(1)) + d)).alias("user_bias"))
+         / (F.count(F.lit(1)) + d)).alias("user_bias")))
     return BiasModel(float(mu), item_bias, user_bias, user_col, item_col)
 
 

@@ -27,3 +27,19 @@ def apply_item_index(df: DataFrame, index: DataFrame, item_col: str = "recording
     """
     joined = df.join(index.select(item_col, index_col), on=item_col, how=how)
     return joined if keep_key else joined.drop(item_col)
+
+
+def extend_item_index(index: DataFrame, held_out: DataFrame, item_col: str = "recording_mbid",
+                      index_col: str = "recording_mbid_index") -> DataFrame:
+    """``index`` plus the items of ``held_out`` it lacks, numbered on in sort order.
+
+    Held-out rows of items unseen in training then keep an identity of their own:
+    they stay in the truth of an evaluation, and models score them as unknown.
+    """
+    known = index.select(item_col, index_col)
+    unseen = held_out.select(item_col).distinct().join(
+        known.withColumnRenamed(item_col, "_cz_known"),
+        F.col(item_col).eqNullSafe(F.col("_cz_known")), "left_anti")
+    start = known.agg(F.coalesce(F.max(index_col) + 1, F.lit(0))).first()[0]
+    added = global_index(unseen, [F.col(item_col).asc_nulls_first()], index_col)
+    return known.union(added.select(item_col, (F.col(index_col) + F.lit(start)).alias(index_col)))

@@ -21,17 +21,16 @@ def list_average_precision(predictions: DataFrame, truth: DataFrame, n: int = 10
     p = top_n_per_user(predictions, pred_score, n, user_col, item_col).select(
         user_col, item_col, "rank")
     t = top_n_per_user(truth, truth_score, n, user_col, item_col).select(user_col, item_col)
-    t_len = t.groupBy(user_col).agg(F.count(F.lit(1)).alias("_cz_tlen"))
-    hits = p.join(t.distinct(), [user_col, item_col], "inner").select(user_col, "rank")
-    hits = hits.withColumn("_cz_hit", F.row_number().over(
-        Window.partitionBy(user_col).orderBy("rank")))
-    ap_sum = hits.groupBy(user_col).agg(F.sum(F.col("_cz_hit") / F.col("rank")).alias("_cz_s"))
-    users = p.select(user_col).distinct()
-    per_user = users.join(ap_sum, user_col, "left").join(t_len, user_col, "left")
+    # one row per truth item, with the length of its user's list (duplicates count)
+    length = F.count(F.lit(1)).over(Window.partitionBy(user_col))
+    t = t.withColumn("_cz_tlen", length).distinct()
+    by_rank = Window.partitionBy(user_col).orderBy("rank")
+    hits = (p.join(t, [user_col, item_col], "left")
+            .withColumn("_cz_hit", F.count("_cz_tlen").over(by_rank)))
+    gain = F.when(F.col("_cz_tlen").isNotNull(), F.col("_cz_hit") / F.col("rank"))
+    per_user = hits.groupBy(user_col).agg(F.sum(gain).alias("_cz_s"), F.max("_cz_tlen").alias("_cz_len"))
     return per_user.select(
-        user_col,
-        F.when(F.col("_cz_s").isNotNull(), F.col("_cz_s") / F.col("_cz_tlen"))
-         .otherwise(F.lit(0.0)).alias("ap"))
+        user_col, F.coalesce(F.col("_cz_s") / F.col("_cz_len"), F.lit(0.0)).alias("ap"))
 
 
 def list_map(predictions: DataFrame, truth: DataFrame, n: int = 100, **kwargs) -> DataFrame:

@@ -13,57 +13,61 @@ Definitions kept from the evaluation being rebuilt:
 
 Everything is joins and aggregates: the ranked list (bounded - it is a top-k
 list) is joined to the events, hits are numbered within a user (at most
-list-length rows per user), and IDCG comes from a distributed prefix-sum table
-instead of a per-user array of n elements.
+list-length rows per user), and IDCG is looked up per distinct n instead of summed
+per user. Only the metrics asked for are computed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import discount
+from cadenza.operators.positions import pin
 
-_CHUNK_BITS = 20  # 2^20 terms per chunk of the ideal-DCG prefix sum
+_CHUNK_BITS = 12  # terms of the ideal DCG are summed in chunks of 4096
+METRICS = ("ap", "pk", "ndcg")
 
 
 def ideal_dcg(n_values: DataFrame, n_col: str = "n_actual", out: str = "idcg") -> DataFrame:
     """For each distinct ``n`` in ``n_values``: sum_{i=1..n} 1/log2(i + 1).
 
-    Built as one prefix sum over i = 1..max(n) (a ``spark.range``): terms are
-    summed in order inside chunks of 2^20 (a window per chunk), and chunk totals
-    are offset by a window over at most max(n) / 2^20 rows. The work grows with
-    the largest group, not with groups x their size, and no row holds an array.
+    Whole chunks of 4096 terms are summed by a map-side aggregate of a
+    ``spark.range`` up to the largest n, so one row per chunk is shuffled, never a
+    term; a distinct n adds the terms of its last, partial chunk itself.
     """
     spark = n_values.sparkSession
-    needed = n_values.select(F.col(n_col).cast("bigint").alias(n_col)).where(
-        F.col(n_col) >= 1).distinct()
+    needed = pin(n_values.select(F.col(n_col).cast("bigint").alias(n_col)).where(
+        F.col(n_col) >= 1).distinct())
     max_n = needed.agg(F.max(n_col)).first()[0]
     if max_n is None:
         return needed.select(n_col, F.lit(0.0).alias(out))
-    terms = (spark.range(1, int(max_n) + 1).withColumnRenamed("id", "_cz_i")
-             .withColumn("_cz_chunk", F.shiftright(F.col("_cz_i") - 1, _CHUNK_BITS))
-             .withColumn("_cz_g", discount("_cz_i")))
-    within = Window.partitionBy("_cz_chunk").orderBy("_cz_i").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    terms = terms.withColumn("_cz_run", F.sum("_cz_g").over(within))
-    chunks = terms.groupBy("_cz_chunk").agg(F.sum("_cz_g").alias("_cz_tot"))
-    before = Window.orderBy("_cz_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunk_off = chunks.select(
-        F.col("_cz_chunk").alias("_cz_c2"),
-        F.coalesce(F.sum("_cz_tot").over(before), F.lit(0.0)).alias("_cz_off"))
-    # one row per 2^20 terms: bounded by max(n) / 2^20
-    table = terms.join(F.broadcast(chunk_off), terms["_cz_chunk"] == chunk_off["_cz_c2"])
-    table = table.select(F.col("_cz_i").alias(n_col),
-                         (F.col("_cz_off") + F.col("_cz_run")).alias(out))
-    return table.join(needed, n_col, "inner")
+    full = int(max_n) >> _CHUNK_BITS  # whole chunks up to the largest n
+    chunks = (spark.range(1, (full << _CHUNK_BITS) + 1)
+              .groupBy(F.shiftright(F.col("id") - 1, _CHUNK_BITS).alias("_cz_chunk"))
+              .agg(F.sum(discount("id")).alias("_cz_sum")))
+    upto = Window.orderBy("_cz_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per 4096 terms
+    offsets = chunks.select((F.col("_cz_chunk") + 1).alias("_cz_full"),
+                            F.sum("_cz_sum").over(upto).alias("_cz_off"))
+    start = F.shiftleft(F.col("_cz_full"), _CHUNK_BITS) + 1
+    rest = F.when(F.col(n_col) >= start, F.aggregate(
+        F.sequence(start, F.col(n_col)), F.lit(0.0),
+        lambda acc, i: acc + F.lit(1.0) / F.log2(i + F.lit(1)))).otherwise(0.0)
+    return (needed.withColumn("_cz_full", F.shiftright(F.col(n_col), _CHUNK_BITS))
+            .join(offsets, "_cz_full", "left")
+            .select(n_col, (F.coalesce("_cz_off", F.lit(0.0)) + rest).alias(out)))
 
 
 def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
                     user_col: str = "user_id", item_col: str = "recording_mbid",
                     position_col: str = "position", dedupe: bool = False,
-                    truncate_ideal: bool = False) -> DataFrame:
-    """Per user of ``actual``: ``ap``, ``pk`` (precision@k) and ``ndcg`` (NDCG@k).
+                    truncate_ideal: bool = False,
+                    metrics: Sequence[str] = METRICS) -> DataFrame:
+    """Per user of ``actual`` the chosen ``metrics``: ``ap``, ``pk`` (precision@k)
+    and ``ndcg`` (NDCG@k).
 
     ``actual``: one row per held-out event (user, item). ``ranked``: the shared
     list, one row per item with its 1-based ``position`` (e.g. ``popularity_topk``).
@@ -89,19 +93,19 @@ def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
         F.sum(F.when(in_k, F.lit(1)).otherwise(F.lit(0))).alias("_cz_hk"),
         F.sum(F.when(in_k, discount("_cz_pos")).otherwise(F.lit(0.0))).alias("_cz_dcg"),
     )
-    n_ideal = F.least(F.col("n_actual"), F.lit(k)) if truncate_ideal else F.col("n_actual")
-    n_actual = n_actual.withColumn("_cz_nideal", n_ideal)
-    idcg = ideal_dcg(n_actual, "_cz_nideal", "_cz_idcg")
-    out = (n_actual.join(per_user, user_col, "left")
-           .join(idcg, "_cz_nideal", "left"))
-    return out.select(
-        F.col(user_col),
-        (F.coalesce(F.col("_cz_ap"), F.lit(0.0)) / F.col("n_actual")).alias("ap"),
-        (F.coalesce(F.col("_cz_hk"), F.lit(0)).cast("double") / F.lit(float(k))).alias("pk"),
-        F.when(F.col("_cz_idcg") > 0,
-               F.coalesce(F.col("_cz_dcg"), F.lit(0.0)) / F.col("_cz_idcg"))
-         .otherwise(F.lit(0.0)).alias("ndcg"),
-    )
+    out = n_actual.join(per_user, user_col, "left")
+    columns = {
+        "ap": F.coalesce(F.col("_cz_ap"), F.lit(0.0)) / F.col("n_actual"),
+        "pk": F.coalesce(F.col("_cz_hk"), F.lit(0)).cast("double") / F.lit(float(k)),
+    }
+    if "ndcg" in metrics:
+        n_ideal = F.least(F.col("n_actual"), F.lit(k)) if truncate_ideal else F.col("n_actual")
+        out = out.withColumn("_cz_nideal", n_ideal.cast("bigint"))
+        out = out.join(ideal_dcg(n_actual.select(n_ideal.alias("_cz_nideal")), "_cz_nideal", "_cz_idcg"),
+                       "_cz_nideal", "left")
+        columns["ndcg"] = F.when(F.col("_cz_idcg") > 0, F.coalesce(
+            F.col("_cz_dcg"), F.lit(0.0)) / F.col("_cz_idcg")).otherwise(F.lit(0.0))
+    return out.select(user_col, *[columns[m].alias(m) for m in metrics])
 
 
 def ranking_summary(per_user: DataFrame) -> DataFrame:

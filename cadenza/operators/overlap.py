@@ -26,15 +26,15 @@ def overlap_at_n(truth: DataFrame, predictions: DataFrame, n: int = 100,
         user_col, "rank", F.col(item_col).alias("_cz_pred"))
     paired = t.join(p, [user_col, "rank"], "inner")
     per_user = paired.groupBy(user_col).agg(
-        F.size(F.array_intersect(F.collect_list("_cz_true"), F.collect_list("_cz_pred")))
+        # items are wrapped, so a null item stays in its list and counts
+        F.size(F.array_intersect(F.collect_list(F.array("_cz_true")), F.collect_list(F.array("_cz_pred"))))
          .cast("bigint").alias("common_count"),
-        F.count("_cz_true").alias("true_count"),
+        F.count(F.lit(1)).alias("true_count"),
     )
     scale = F.lit(100.0 if percent else 1.0)
     return per_user.withColumn(
         "common_percentage",
-        F.when(F.col("true_count") > 0,
-               F.col("common_count") / F.col("true_count") * scale))
+        F.col("common_count") / F.col("true_count") * scale)
 
 
 def overlap_mean(per_user: DataFrame) -> DataFrame:

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.positions import global_index
 
-# Above this many items, the list is cut from a global position instead of a
-# merged per-task top-k (which would hold k rows in one task).
-LIMIT_TOPK_MAX = 100_000
-
 
 def item_popularity(counts: DataFrame, beta: float = 100000, item_col: str = "recording_mbid",
                     user_col: str = "user_id", count_col: str = "count") -> DataFrame:
@@ -33,17 +29,12 @@ def popularity_topk(counts: DataFrame, beta: float = 100000, k: int = 100,
     """The ``k`` items with the highest ``average_count`` (ties by item id), with
     an explicit 1-based ``position`` so the order survives storage.
 
-    For k up to ``LIMIT_TOPK_MAX``, ``orderBy().limit(k)`` plans as a per-task
-    top-k merged once, so only k rows per task move and the position window sees
-    at most k rows. Larger lists take the range-partitioned ``global_index``.
+    The list is cut from the range-partitioned ``global_index`` of the items, so
+    for any k no task holds more than its share of them.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     ranked_by = [F.col("average_count").desc_nulls_last(), F.col(item_col).asc_nulls_first()]
     scored = item_popularity(counts, beta, item_col, user_col, count_col)
-    if k > LIMIT_TOPK_MAX:
-        placed = global_index(scored, ranked_by, "_cz_pos")
-        return (placed.where(F.col("_cz_pos") < F.lit(k))
-                .withColumn("position", F.col("_cz_pos") + F.lit(1)).drop("_cz_pos"))
-    top = scored.orderBy(*ranked_by).limit(k)
-    return top.withColumn("position", F.row_number().over(Window.orderBy(*ranked_by)).cast("bigint"))
+    placed = global_index(scored, ranked_by, "_cz_pos").where(F.col("_cz_pos") < F.lit(k))
+    return placed.withColumn("position", F.col("_cz_pos") + F.lit(1)).drop("_cz_pos")

@@ -1,14 +1,11 @@
-"""Skew-safe positions: a global dense index, a per-group row number, running totals.
-
-``rank_within`` numbers rows of bounded groups with a plain window and sends only
-the rows of hot groups through the range-partitioned form described below.
+"""Skew-safe positions: a global dense index and a per-group row number.
 
 The textbook forms - ``dense_rank() OVER (ORDER BY k)`` or ``row_number() OVER
 (PARTITION BY user ORDER BY ts)`` - put one whole group in one task: the global
 window runs on a single partition, and a user holding a third of all rows makes
 one task sort a third of the data.
 
-Here every position is computed in two passes that stay in the JVM:
+Here every position is computed the same way whatever the group sizes:
 
 1. ``repartitionByRange(group, order)``: bounds come from a sample of the keys, so
    a hot group is cut across many partitions. Each partition is sorted, and
@@ -18,36 +15,30 @@ Here every position is computed in two passes that stay in the JVM:
    so at most #groups + #partitions rows - gives each slice its offset. It is
    joined back on (partition, group): AQE broadcasts it when the measured size is
    small, otherwise it is a sort-merge join on a key that is never hot (a hot
-   group is already split by partition). Tables with one row per partition are
-   bounded by the partition count and are broadcast explicitly.
-
-Both passes must see one and the same layout. The range bounds are sampled from
-the input, and a shuffled input arrives in a different order on every
-evaluation (and may hold values from floating sums that differ in the last
-bit), so two evaluations can disagree. The tagged layout is therefore written
-once as a Parquet table in the session's checkpoint folder (columnar and
-compressed, so far cheaper than an RDD checkpoint of serialized rows, and
-readable with column pruning) and both passes read that copy; a lost executor
-then re-reads it instead of recomputing a different layout. ``pinned=True``
-skips this when the caller has already stored the input as a table.
-
-Eager steps: ``rank_within`` runs one aggregation job when called (group
-sizes), and every stored layout is written when the function is called; the
-returned DataFrames are otherwise lazy.
+   group is already split by partition). The table of the global index has one
+   row per partition, so it is bounded by the partition count and broadcast.
+
+Both passes must see one and the same layout, but range bounds are sampled from
+the input, which arrives in a different order on each evaluation. The tagged
+layout is therefore computed once, when the function is called, and written to
+the session's checkpoint folder; a lost executor re-reads it.
 
 Rows that tie on every ordering column land in an arbitrary order among
 themselves; callers order by all columns that matter so such rows are identical.
 A per-row tiebreaker spreads such copies over partitions too, so a run of
 identical rows - even a third of the input - is split like any hot group.
+
+Ordering columns must have orderable types; an unorderable one (a map) is
+rejected when the function is called. Other columns may have any type.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.session import ensure_checkpoint_dir
 
@@ -55,149 +46,92 @@ PID = "_cz_pid"
 LOCAL = "_cz_local"
 _MONO = "_cz_mono"
 _SALT = "_cz_salt"
+_HASH = "_cz_hash"
 _LOCAL_MASK = (1 << 33) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def pin(df: DataFrame) -> DataFrame:
+    """Evaluate ``df`` once into the shared checkpoint folder (a lineage cut that
+    survives lost executors).
 
+    Spark owns the files: with ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    (set by ``build_session``) they are deleted once no DataFrame that reads them
+    is left.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-def pin(df: DataFrame) -> DataFrame:
-    """Evaluate ``df`` once into a Parquet table under the shared checkpoint
-    folder and return the table (a lineage cut that survives lost executors)."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cadenza-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def range_layout(df: DataFrame, order: Sequence[Column],
-                 num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Range-partition ``df`` on ``order``, sort each partition, and tag every row
     with its partition id (``PID``) and 0-based position inside it (``LOCAL``).
 
-    The layout is stored once (see module notes) unless ``pinned``. A stored
-    layout lets AQE merge adjacent small range partitions (each task still holds
-    one contiguous key range); without storing, the partition count is fixed so
-    that both passes see the same partition ids.
+    The layout is stored once (see module notes); AQE may merge adjacent small
+    range partitions before (each task still holds one contiguous key range).
     """
     # A unique tiebreaker: rows equal on every ordering key (copies) would
     # otherwise all fall into one range partition, however many there are. The
-    # input partitions are sorted first (by every column, no shuffle) so that a
-    # recomputed map task assigns the same tiebreakers - rows that arrive from a
-    # shuffle come in a different order on every attempt.
-    stable = df.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in df.columns])
+    # input partitions are sorted first (no shuffle) by the keys and a hash of
+    # the row, so that a recomputed map task assigns the same tiebreakers - rows
+    # that arrive from a shuffle come in a different order on every attempt.
+    content = [F.col(f.name) for f in df.schema if _hashable(f.dataType)]
+    keys = [*order, F.col(_HASH).asc()]
+    stable = df.withColumn(_HASH, F.xxhash64(*content) if content else F.lit(0)).sortWithinPartitions(*keys)
     salted = stable.withColumn(_SALT, F.monotonically_increasing_id())
-    keys = list(order) + [F.col(_SALT)]
-    if num_partitions or pinned:
-        ranged = salted.repartitionByRange(_partitions(df, num_partitions), *keys)
-    else:
-        ranged = salted.repartitionByRange(*keys)
-    ranged = ranged.sortWithinPartitions(*keys)
+    keys.append(F.col(_SALT).asc())
+    count = [num_partitions] if num_partitions else []
+    ranged = salted.repartitionByRange(*count, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn(_MONO, F.monotonically_increasing_id())
-    laid = tagged.select(
+    return pin(tagged.select(
         *[F.col(c) for c in df.columns],
         F.shiftright(F.col(_MONO), 33).cast("int").alias(PID),
         F.col(_MONO).bitwiseAND(F.lit(_LOCAL_MASK)).alias(LOCAL),
-    )
-    return laid if pinned else pin(laid)
-
-
-def _partition_offsets(laid: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """Per partition: totals of ``sums`` over all earlier partitions and overall.
-
-    One row per range partition, so its size is bounded by the partition count.
-    """
-    per_part = laid.groupBy(PID).agg(*[expr.alias(name) for name, expr in sums.items()])
-    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    cols = [F.col(PID).alias("_cz_opid")]
-    for name in sums:
-        cols.append(F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_cz_off_{name}"))
-        cols.append(F.sum(name).over(everything).alias(f"_cz_tot_{name}"))
-    return per_part.select(*cols)
+    ))
 
 
 def global_index(df: DataFrame, order: Sequence[Column], out_col: str,
                  total_col: str | None = None,
-                 num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 0-based position of each row in ``order`` (and optionally
-    ``total_col`` = the row count), without a single-partition window."""
-    laid = range_layout(df, order, num_partitions, pinned)
-    offsets = _partition_offsets(laid, {"n": F.count(F.lit(1))})
+    ``total_col`` = the row count), without a single-partition window over rows."""
+    laid = range_layout(df, order, num_partitions)
+    per_part = laid.groupBy(PID).agg(F.count(F.lit(1)).alias("_cz_n"))
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition: bounded by the partition count
+    offsets = per_part.select(
+        F.col(PID).alias("_cz_opid"),
+        F.coalesce(F.sum("_cz_n").over(before), F.lit(0)).alias("_cz_off"),
+        F.sum("_cz_n").over(Window.partitionBy()).alias("_cz_tot"))
     joined = laid.join(F.broadcast(offsets), laid[PID] == offsets["_cz_opid"], "inner")
     cols = [F.col(c) for c in df.columns]
-    cols.append((F.col("_cz_off_n") + F.col(LOCAL)).alias(out_col))
+    cols.append((F.col("_cz_off") + F.col(LOCAL)).alias(out_col))
     if total_col:
-        cols.append(F.col("_cz_tot_n").alias(total_col))
+        cols.append(F.col("_cz_tot").alias(total_col))
     return joined.select(*cols)
 
 
-HOT_ROWS_CONF = "spark.cadenza.hotGroupRows"
-DEFAULT_HOT_ROWS = 1_000_000
-MAX_HOT_GROUPS = 100_000  # keys of hot groups held on the driver and broadcast
-
-
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                 rank_col: str, count_col: str | None = None,
-                num_partitions: int | None = None, pinned: bool = False,
-                hot_rows: int | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = row_number() over (partition by group order by order),
     1-based, and optionally ``count_col`` = rows in the row's group.
 
-    Group sizes are counted first (a partial aggregate). Groups of at most
-    ``hot_rows`` rows (default ``spark.cadenza.hotGroupRows`` or 1,000,000) are
-    numbered by a plain window - one shuffle, and no task holds more than that
-    many rows of one group. Rows of larger groups take the range-partitioned
-    path of ``range_rank``. The hot keys are at most rows / hot_rows; beyond
-    ``MAX_HOT_GROUPS`` of them everything takes the range path.
-    Null group keys form their own group (null-safe equality), as in a window.
-
-    ``df`` is evaluated once for the group sizes and once per path, so pass a
-    stored table (``pin``) when it is expensive to compute.
+    One path for groups of any size: range layout plus per-(partition, group)
+    offsets joined back on a key that is never hot. Null group keys form their
+    own group (null-safe equality), as in a window.
     """
     group = list(group)
-    if hot_rows is None:
-        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_cz_gn"))
-    hot = sizes.where(F.col("_cz_gn") > F.lit(hot_rows)).select(
-        *[F.col(g).alias(f"_cz_h{i}") for i, g in enumerate(group)])
-    keys = hot.limit(MAX_HOT_GROUPS + 1).collect()
-    if not keys:
-        return window_rank(df, group, order, rank_col, count_col)
-    if len(keys) > MAX_HOT_GROUPS:
-        return range_rank(df, group, order, rank_col, count_col, num_partitions, pinned)
-    hot_keys = F.broadcast(df.sparkSession.createDataFrame(keys, hot.schema))
-    cond = None
-    for i, g in enumerate(group):
-        c = df[g].eqNullSafe(hot_keys[f"_cz_h{i}"])
-        cond = c if cond is None else cond & c
-    cold_part = df.join(hot_keys, cond, "left_anti")
-    hot_part = df.join(hot_keys, cond, "left_semi")
-    return window_rank(cold_part, group, order, rank_col, count_col).unionByName(
-        range_rank(hot_part, group, order, rank_col, count_col, num_partitions, pinned))
-
-
-def window_rank(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                rank_col: str, count_col: str | None = None) -> DataFrame:
-    """The plain window form (use where every group is known to be bounded)."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    out = df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    if count_col:
-        out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*group)))
-    return out
-
-
-def range_rank(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-               rank_col: str, count_col: str | None = None,
-               num_partitions: int | None = None, pinned: bool = False) -> DataFrame:
-    """``rank_within`` for any group size: range layout + per-(partition, group)
-    offsets joined back on a key that is never hot."""
-    group = list(group)
     keys = [F.col(g).asc_nulls_first() for g in group] + list(order)
-    laid = range_layout(df, keys, num_partitions, pinned)
+    laid = range_layout(df, keys, num_partitions)
 
     stats = laid.groupBy(PID, *group).agg(
         F.min(LOCAL).alias("_cz_first"), F.count(F.lit(1)).alias("_cz_cnt"))
@@ -222,24 +156,11 @@ def range_rank(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     return joined.select(*cols)
 
 
-def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: Sequence[str],
-                   prefix: str = "before_", num_partitions: int | None = None,
-                   pinned: bool = False) -> DataFrame:
-    """Add ``prefix + c`` = sum of ``c`` over all rows strictly before each row in
-    ``order``, for every ``c`` in ``sum_cols`` (a distributed exclusive prefix sum).
-
-    Inside a range partition the running sum is a window on the partition id
-    (bounded by the partition size); the per-partition offsets are one row per
-    partition and are broadcast.
-    """
-    laid = range_layout(df, order, num_partitions, pinned)
-    offsets = _partition_offsets(laid, {c: F.sum(c) for c in sum_cols})
-    inside = Window.partitionBy(PID).orderBy(LOCAL).rowsBetween(Window.unboundedPreceding, -1)
-    # one partition id per task (hashing a few ids would pile several on one task)
-    by_pid = laid.repartitionByRange(PID)
-    local = by_pid.select(
-        "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_cz_in_{c}") for c in sum_cols])
-    joined = local.join(F.broadcast(offsets), local[PID] == offsets["_cz_opid"], "inner")
-    cols = [F.col(c) for c in df.columns]
-    cols += [(F.col(f"_cz_off_{c}") + F.col(f"_cz_in_{c}")).alias(prefix + c) for c in sum_cols]
-    return joined.select(*cols)
+def window_rank(df: DataFrame, group: Sequence[str], order: Sequence[Column],
+                rank_col: str, count_col: str | None = None) -> DataFrame:
+    """The plain window form (use where every group is known to be bounded)."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    out = df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    if count_col:
+        out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    return out

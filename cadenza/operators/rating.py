@@ -18,9 +18,11 @@ def compress_rating(df: DataFrame, col: str = "count", out: str = "rating") -> D
 
 def recency_weight(df: DataFrame, user_col: str = "user_id", time_col: str = "timestamp",
                    item_col: str = "recording_mbid", per_item: bool = False,
-                   tie_cols: Sequence[str] | None = None, out: str = "recency") -> DataFrame:
+                   tie_cols: Sequence[str] | None = None, out: str = "recency",
+                   position: str | None = None) -> DataFrame:
     """``out`` = exp(1 - i) where i numbers a user's events newest first (1.0 for
-    the newest, e^-1 for the next, ...). One value per event.
+    the newest, e^-1 for the next, ...). One value per event; ``position`` names
+    an optional column for i itself (the weight is 0 in doubles from i = 747 on).
 
     ``per_item=True`` numbers events per (user, item) instead. Ties on the time
     are broken by ``tie_cols`` (default: the other columns in frame order).
@@ -31,7 +33,8 @@ def recency_weight(df: DataFrame, user_col: str = "user_id", time_col: str = "ti
         tie_cols = [c for c in df.columns if c not in (*group, time_col)]
     order = [F.col(time_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_cols]
     ranked = rank_within(df, group, order, "_cz_index")
-    return ranked.select(*[F.col(c) for c in df.columns], decay("_cz_index").alias(out))
+    extra = [F.col("_cz_index").alias(position)] if position else []
+    return ranked.select(*[F.col(c) for c in df.columns], *extra, decay("_cz_index").alias(out))
 
 
 def threshold_label(df: DataFrame, col: str = "rating", t: float = 4.0,

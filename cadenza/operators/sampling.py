@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import global_index
-
-_ACCURACY = 10000  # percentile_approx accuracy: rank error at most n / 10000
-_MARGIN = 2.0 / _ACCURACY  # band half-width in quantile terms
+_BIN_DIGITS = 4  # leading hex digits of the key: 65,536 bins
 
 
 def sample_key(keys: Sequence[str], seed: int) -> F.Column:
@@ -28,12 +25,11 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42,
     all columns and must identify rows deterministically; the result does not
     depend on partitioning or retries.
 
-    No global sort of all rows: one pass finds n and approximate quantiles of the
-    key's leading 60 bits just around ``fraction``; a second pass counts the rows
-    certainly below that band and inside it. Rows below are taken as they are,
-    and only the band (a fraction of about 4 / 10,000 of the rows) is ordered by
-    ``global_index`` to take the remaining rows. If the approximate bounds miss
-    the m-th row (not expected), the whole input is ordered instead.
+    No global sort of all rows: one pass counts rows by the leading 16 bits of the
+    key (65,536 counts reach the driver), which gives n and the bin that holds the
+    m-th row. Rows of lower bins are taken by a filter, and only that bin - about
+    n / 65,536 rows - is ordered. ``df`` is read twice, so it must be
+    deterministic; pass a stored table if it is not or if it is expensive.
 
     ``exact=False``: Spark's Bernoulli ``sample`` (size varies).
     """
@@ -44,30 +40,18 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42,
     keys = list(keys or df.columns)
     cols = [F.col(c) for c in df.columns]
     keyed = (df.withColumn("_cz_h", sample_key(keys, seed))
-             .withColumn("_cz_hn", F.conv(F.substring("_cz_h", 1, 15), 16, 10).cast("long")))
-    order = [F.col("_cz_hn").asc(), F.col("_cz_h").asc()] + [F.col(k).asc_nulls_first() for k in keys]
-
-    q_lo, q_hi = max(0.0, fraction - _MARGIN), min(1.0, fraction + _MARGIN)
-    first = keyed.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_cz_hn", [q_lo, q_hi], _ACCURACY).alias("q")).first()
-    n = first["n"]
+             .withColumn("_cz_bin", F.substring("_cz_h", 1, _BIN_DIGITS)))
+    counts = sorted(tuple(r) for r in keyed.groupBy("_cz_bin").count().collect())
+    n = sum(c for _, c in counts)
     m = round(fraction * n)  # half-even on the same double as bround(fraction * n)
-    if n == 0 or m == 0:
+    if m == 0:
         return df.limit(0)
-    if m == n:
-        return df
-    t_lo, t_hi = first["q"]
-    hn = F.col("_cz_hn")
-    below, in_band = hn < F.lit(t_lo), (hn >= F.lit(t_lo)) & (hn <= F.lit(t_hi))
-    counts = keyed.agg(
-        F.sum(F.when(below, 1).otherwise(0)).alias("lo"),
-        F.sum(F.when(in_band, 1).otherwise(0)).alias("band")).first()
-    lo, band = counts["lo"] or 0, counts["band"] or 0
-    if not lo <= m <= lo + band:
-        placed = global_index(keyed, order, "_cz_pos")
-        return placed.where(F.col("_cz_pos") < F.lit(m)).select(*cols)
-    taken_below = keyed.where(below).select(*cols)
-    banded = global_index(keyed.where(in_band), order, "_cz_pos")
-    taken_band = banded.where(F.col("_cz_pos") < F.lit(m - lo)).select(*cols)
-    return taken_below.unionByName(taken_band)
+    taken = 0
+    for name, count in counts:
+        if taken + count >= m:
+            break
+        taken += count
+    below = keyed.where(F.col("_cz_bin") < F.lit(name)).select(*cols)
+    order = [F.col("_cz_h").asc()] + [F.col(k).asc_nulls_first() for k in keys]
+    border = keyed.where(F.col("_cz_bin") == F.lit(name)).orderBy(*order).limit(m - taken)
+    return below.unionByName(border.select(*cols))

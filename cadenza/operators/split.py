@@ -29,8 +29,8 @@ def temporal_split(df: DataFrame, ratio: float = 0.8, user_col: str = "user_id",
     user drop out, as they do in an equi-join with per-user split points.
 
     The numbering uses the skew-safe ``rank_within``: a user with a third of all
-    events is spread over many tasks. It counts events per user when called (one
-    aggregation job) and reads ``df`` more than once, so pass a stored table.
+    events is spread over many tasks, and the numbered layout is stored when this
+    is called. ``tie_cols`` must have orderable types.
     """
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must be in [0, 1]")

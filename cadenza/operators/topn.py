@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import rank_within
+_SPREAD = 64  # slices of a user that are cut to n rows each before the final cut
 
 
 def top_n_per_user(df: DataFrame, score_col: str, n: int = 100, user_col: str = "user_id",
@@ -15,22 +15,20 @@ def top_n_per_user(df: DataFrame, score_col: str, n: int = 100, user_col: str =
                    tie_cols: Sequence[str] | None = None) -> DataFrame:
     """Rows ranked 1..n per user by ``score_col`` descending (ties by item).
 
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000),
-    ``row_number() <= n`` plans as a WindowGroupLimit that keeps at most n rows
-    per user inside every map task before the shuffle, so a hot user sends
-    n rows per task, not all of its rows. Larger n use the skew-safe
-    ``rank_within`` and keep rank <= n.
+    Cut in two stages: the n best rows of each of ``_SPREAD`` slices of a user,
+    then the n best of those. A hot user is ranked by many tasks, and the last one
+    gets at most ``_SPREAD`` * n of its rows, however many tasks hold them. Where
+    Spark plans a WindowGroupLimit (``row_number() <= n`` up to its own limit on
+    n), each stage is also cut inside the map tasks before its shuffle.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
     ties = list(tie_cols) if tie_cols is not None else [item_col]
     order = [F.col(score_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in ties]
-    limit_max = int(df.sparkSession.conf.get(
-        "spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit_max:
-        ranked = rank_within(df, [user_col], order, "_cz_rank")
-        return (ranked.where(F.col("_cz_rank") <= F.lit(n))
-                .withColumnRenamed("_cz_rank", rank_col))
+    slices = Window.partitionBy(user_col, "_cz_slice").orderBy(*order)
+    best = (df.withColumn("_cz_slice", F.pmod(F.xxhash64(item_col), F.lit(_SPREAD)))
+            .withColumn("_cz_rank", F.row_number().over(slices))
+            .where(F.col("_cz_rank") <= n).drop("_cz_rank", "_cz_slice"))
     w = Window.partitionBy(user_col).orderBy(*order)
-    ranked = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    ranked = best.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
     return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))

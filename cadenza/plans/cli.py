@@ -11,7 +11,7 @@ hand-over tables between them.
     python -m cadenza.plans.cli recency --input TR --out TRW
     python -m cadenza.plans.cli index --train TRR --apply VAR --out-train TRI --out-apply VAI
     python -m cadenza.plans.cli als --train TRI --test VAI [--preset counts|recency] [--n 100] [--out P]
-    python -m cadenza.plans.cli bias --train TRI --test VAI [--fraction 0.1 --seed 42] [--out P]
+    python -m cadenza.plans.cli bias --train TRI --test VAI [--format csv] [--fraction 0.1 --seed 42] [--out P]
 
 Sinks fail when the target exists unless ``--overwrite`` is given.
 """
@@ -22,12 +22,12 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cadenza import operators as op
 from cadenza.plans import flows
+from cadenza.schemas import RATINGS_CSV
 from cadenza.session import build_session
-from cadenza.sources import read_parquet, write_parquet
+from cadenza.sources import read_csv, read_parquet, write_parquet
 
 
 def _mode(args) -> str:
@@ -48,7 +48,7 @@ def run(spark: SparkSession, args) -> None:
         _out(op.clean_interactions(read(args.interactions), read(args.tracks), read(args.users)),
              args.out, args)
     elif cmd == "split":
-        split = flows.materialize(op.temporal_split(read(args.input), args.ratio))
+        split = op.temporal_split(read(args.input), args.ratio)
         _out(op.train_part(split), args.train, args)
         _out(op.validation_part(split), args.validation, args)
     elif cmd == "counts":
@@ -66,22 +66,23 @@ def run(spark: SparkSession, args) -> None:
              args.out, args)
     elif cmd == "index":
         train = read(args.train)
-        index = flows.materialize(op.fit_item_index(train))
+        index = op.pin(op.fit_item_index(train))
         _out(op.apply_item_index(train, index), args.out_train, args)
-        if args.apply:
-            _out(op.apply_item_index(read(args.apply), index), args.out_apply, args)
+        if args.apply:  # items unseen in train are numbered after those of train
+            held_out = read(args.apply)
+            _out(op.apply_item_index(held_out, op.extend_item_index(index, held_out)),
+                 args.out_apply, args)
     elif cmd == "als":
-        indexed = flows.Indexed(read(args.train), read(args.test)
-                                .where(F.col("recording_mbid_index").isNotNull()))
+        indexed = flows.Indexed(read(args.train), read(args.test), None)
         if args.preset == "recency":
-            preds = op.als_predict(op.als_fit(indexed.train, **op.RECENCY_PRESET), indexed.validation)
-            result = op.exact_auc(op.threshold_label(preds, "rating", args.threshold))
+            result = op.exact_auc(flows.recency_scores(indexed, args.threshold, args.per_event))
         else:
             result = flows.als_evaluation(indexed, n=args.n)
         _out(result, args.out, args)
     elif cmd == "bias":
-        indexed = flows.Indexed(read(args.train), read(args.test)
-                                .where(F.col("recording_mbid_index").isNotNull()))
+        if args.format == "csv":
+            read = lambda p: read_csv(spark, p, RATINGS_CSV)
+        indexed = flows.Indexed(read(args.train), read(args.test), None)
         _out(flows.bias_evaluation(indexed, args.fraction, args.seed, n=args.n), args.out, args)
     else:  # pragma: no cover - argparse rejects unknown commands
         raise ValueError(cmd)
@@ -133,10 +134,12 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--preset", choices=["counts", "recency"], default="counts")
     s.add_argument("--n", type=int, default=100)
     s.add_argument("--threshold", type=float, default=4.0)
+    s.add_argument("--per-event", action="store_true")
     s.add_argument("--out")
     s = sub.add_parser("bias")
     s.add_argument("--train", required=True)
     s.add_argument("--test", required=True)
+    s.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     s.add_argument("--fraction", type=float, default=0.1)
     s.add_argument("--seed", type=int, default=42)
     s.add_argument("--n", type=int, default=100)

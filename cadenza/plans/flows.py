@@ -1,9 +1,14 @@
 """The four evaluations end to end, as compositions of the operators.
 
-Each returns small result DataFrames; intermediate tables that are read more
-than once (the split, the indexed ratings) are written as Parquet tables into
+Each returns small result DataFrames. Tables that are read more than once (the
+numbered events, the indexed ratings, the sample, the bias tables) are stored in
 the session's checkpoint folder, so a lost executor costs a re-read, not a
-recomputation of the whole chain.
+recomputation of the whole chain; Spark deletes them when nothing reads them any
+longer (see ``pin``).
+
+The truth of every evaluation is the whole held-out half: items unseen in
+training keep an index of their own and stay in each user's list. Only the
+pairs a factor model can not score drop out of its predictions.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from pyspark.sql import functions as F
 from cadenza.operators import (
     COUNTS_PRESET,
     RECENCY_PRESET,
+    BiasModel,
+    RatingModel,
     als_fit,
     als_predict,
     apply_item_index,
@@ -24,11 +31,15 @@ from cadenza.operators import (
     clean_interactions,
     compress_rating,
     exact_auc,
+    extend_item_index,
     fit_item_index,
     interaction_counts,
+    list_average_precision,
     list_map,
+    mean_ratings,
     overlap_at_n,
     overlap_mean,
+    pin,
     popularity_topk,
     ranking_metrics,
     ranking_summary,
@@ -39,12 +50,9 @@ from cadenza.operators import (
     train_part,
     validation_part,
 )
-from cadenza.operators.positions import pin
-
 
-def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Store ``df`` as a table in the shared checkpoint folder, or return it unchanged."""
-    return pin(df) if enabled else df
+PAIR = ["user_id", "recording_mbid_index"]
+EVENT = ["user_id", "recording_mbid", "timestamp"]
 
 
 @dataclass
@@ -54,69 +62,109 @@ class Split:
 
 
 def split_interactions(interactions: DataFrame, tracks: DataFrame, users: DataFrame,
-                       ratio: float = 0.8, cut: bool = True) -> Split:
-    """Clean (C1) and split (C2) once; both halves read the same stored split.
-    The cleaned events are stored first: the split reads them more than once."""
-    clean = materialize(clean_interactions(interactions, tracks, users), cut)
-    split = materialize(temporal_split(clean, ratio), cut)
+                       ratio: float = 0.8) -> Split:
+    """Clean (C1) and split (C2); both halves read the same stored numbering."""
+    split = temporal_split(clean_interactions(interactions, tracks, users), ratio)
     return Split(train_part(split), validation_part(split))
 
 
+def rated_counts(events: DataFrame) -> DataFrame:
+    """Counts (C3) with compressed ratings."""
+    return compress_rating(interaction_counts(events))
+
+
 @dataclass
 class Indexed:
     train: DataFrame       # user_id, count, rating, recording_mbid_index
-    validation: DataFrame  # same columns, items unseen in train removed
+    validation: DataFrame  # same columns; items unseen in train are numbered after those of train
+    index: DataFrame       # recording_mbid, recording_mbid_index of the train items
+
+
+def indexed_ratings(split: Split) -> Indexed:
+    """Rated counts of both halves with the item index fitted on train."""
+    return index_halves(rated_counts(split.train), rated_counts(split.validation))
 
 
-def indexed_ratings(split: Split, cut: bool = True) -> Indexed:
-    """Counts (C3) -> compressed ratings (C5) -> item index fitted on train
-    and applied to both halves (C8); validation rows of unseen items dropped."""
-    train = compress_rating(interaction_counts(split.train))
-    val = compress_rating(interaction_counts(split.validation))
-    index = materialize(fit_item_index(train), cut)
-    tr = apply_item_index(train, index)
-    va = apply_item_index(val, index).where(F.col("recording_mbid_index").isNotNull())
-    return Indexed(materialize(tr, cut), materialize(va, cut))
+def index_halves(train: DataFrame, validation: DataFrame) -> Indexed:
+    """Replace items by the index of ``train``, extended by unseen held-out items."""
+    index = pin(fit_item_index(train))
+    every = extend_item_index(index, validation)
+    return Indexed(pin(apply_item_index(train, index)), pin(apply_item_index(validation, every)), index)
+
+
+def popularity_metrics(split: Split, beta: float = 100000, list_size: int = 100, k: int = 10,
+                       metrics=("ap", "pk", "ndcg")) -> DataFrame:
+    """Per user: the top-``list_size`` damped popularity list (C4) scored against
+    every held-out event (C14-C16)."""
+    top = popularity_topk(interaction_counts(split.train), beta=beta, k=list_size)
+    return ranking_metrics(split.validation, top, k=k, metrics=metrics)
 
 
 def popularity_evaluation(split: Split, beta: float = 100000, list_size: int = 100,
                           k: int = 10) -> DataFrame:
-    """Top-``list_size`` damped popularity list (C4) scored against every held-out
-    event (C14-C17): one row mean_map, mean_pk, mean_ndcg."""
-    top = popularity_topk(interaction_counts(split.train), beta=beta, k=list_size)
-    return ranking_summary(ranking_metrics(split.validation, top, k=k))
+    """C17: one row mean_map, mean_pk, mean_ndcg."""
+    return ranking_summary(popularity_metrics(split, beta, list_size, k))
+
+
+def als_scores(indexed: Indexed, **params) -> tuple[RatingModel, DataFrame]:
+    """ALS on compressed counts (C10) and its scores of the held-out pairs (C11)."""
+    model = als_fit(indexed.train, **{**COUNTS_PRESET, **params})
+    return model, als_predict(model, indexed.validation)
 
 
 def als_evaluation(indexed: Indexed, n: int = 100, **params) -> DataFrame:
-    """ALS on compressed counts (C10/C11), scored by top-n overlap."""
-    settings = {**COUNTS_PRESET, **params}
-    model = als_fit(indexed.train, **settings)
-    preds = als_predict(model, indexed.validation)
-    return overlap_mean(overlap_at_n(indexed.validation, preds, n=n))
+    """ALS scores against the whole truth by top-n overlap."""
+    _, scores = als_scores(indexed, **params)
+    return overlap_mean(overlap_at_n(indexed.validation, scores, n=n))
+
+
+def recency_ratings(split: Split) -> Indexed:
+    """Recency weights (C6) of both halves as ratings, one row per event, indexed."""
+    train, validation = (recency_weight(half.select(*EVENT)).withColumn("rating", F.col("recency"))
+                         for half in (split.train, split.validation))
+    return index_halves(train, validation)
 
 
-def recency_evaluation(split: Split, threshold: float = 4.0, cut: bool = True,
+def recency_scores(indexed: Indexed, threshold: float = 4.0, per_event: bool = False,
+                   **params) -> DataFrame:
+    """ALS on recency ratings, scored held-out events with labels rating >=
+    ``threshold`` (C20). The model is fitted on one mean rating per (user, item);
+    ``per_event=True`` feeds it a row per event instead."""
+    train = indexed.train if per_event else mean_ratings(indexed.train)
+    model = als_fit(train, **{**RECENCY_PRESET, **params})
+    return threshold_label(als_predict(model, indexed.validation), "rating", threshold)
+
+
+def recency_evaluation(split: Split, threshold: float = 4.0, per_event: bool = False,
                        **params) -> DataFrame:
-    """ALS on recency weights (C6, rating := recency), labels rating >= threshold
-    (C20), exact AUC of the predictions (C21)."""
-    cols = ["user_id", "recording_mbid", "timestamp"]
-    train = recency_weight(split.train.select(*cols)).withColumn("rating", F.col("recency"))
-    val = recency_weight(split.validation.select(*cols)).withColumn("rating", F.col("recency"))
-    index = materialize(fit_item_index(train), cut)
-    tr = apply_item_index(train, index)
-    va = apply_item_index(val, index).where(F.col("recording_mbid_index").isNotNull())
-    settings = {**RECENCY_PRESET, **params}
-    model = als_fit(materialize(tr, cut), **settings)
-    preds = als_predict(model, va)
-    return exact_auc(threshold_label(preds, "rating", threshold), "prediction", "label")
+    """Exact AUC (C21) of the recency model."""
+    scores = recency_scores(recency_ratings(split), threshold, per_event, **params)
+    return exact_auc(scores, "prediction", "label")
+
+
+def sampled_bias_model(indexed: Indexed, fraction: float = 0.1, seed: int = 42,
+                       damping: float = 5.0) -> BiasModel:
+    """Bias model (C12) fitted on an exact reproducible sample (C9) of the train ratings."""
+    sample = sample_fraction(indexed.train.select(*PAIR, "rating"), fraction, seed, keys=PAIR)
+    return bias_fit(pin(sample), damping=damping)
+
+
+def bias_scores(model: BiasModel, indexed: Indexed, digits: int | None = None) -> DataFrame:
+    """Scores of every held-out pair, unseen items included (bias 0); with
+    ``digits`` rounded, so that ranking does not depend on summation order."""
+    scores = bias_predict(model, indexed.validation)
+    return scores if digits is None else scores.withColumn("prediction", F.round("prediction", digits))
+
+
+def bias_list_precision(indexed: Indexed, fraction: float = 0.1, seed: int = 42, damping: float = 5.0,
+                        n: int = 100, digits: int | None = None) -> DataFrame:
+    """Per user: average precision of the sampled bias model's list."""
+    scores = bias_scores(sampled_bias_model(indexed, fraction, seed, damping), indexed, digits)
+    return list_average_precision(scores, indexed.validation, n=n)
 
 
 def bias_evaluation(indexed: Indexed, fraction: float = 0.1, seed: int = 42,
-                    damping: float = 5.0, n: int = 100) -> DataFrame:
-    """Bias model (C12) fitted on an exact reproducible sample (C9) of the train
-    ratings, scored on held-out pairs, evaluated by list MAP (C19)."""
-    sample = pin(sample_fraction(indexed.train.select("user_id", "recording_mbid_index", "rating"),
-                                 fraction, seed, keys=["user_id", "recording_mbid_index"]))
-    model = bias_fit(sample, damping=damping)
-    preds = bias_predict(model, indexed.validation.select("user_id", "recording_mbid_index", "rating"))
-    return list_map(preds, indexed.validation, n=n)
+                    damping: float = 5.0, n: int = 100, digits: int | None = None) -> DataFrame:
+    """List MAP (C19) of the bias model fitted on a sample."""
+    scores = bias_scores(sampled_bias_model(indexed, fraction, seed, damping), indexed, digits)
+    return list_map(scores, indexed.validation, n=n)

@@ -62,7 +62,16 @@ CTES: dict[str, str] = {
     "val_idx_all": """
         SELECT r.user_id, r."count", r.rating, x.recording_mbid_index
         FROM val_rated r LEFT JOIN item_index x ON r.recording_mbid = x.recording_mbid""",
-    "val_idx": "SELECT * FROM val_idx_all WHERE recording_mbid_index IS NOT NULL",
+    # held-out items unseen in train are numbered after those of train
+    "item_index_every": """
+        SELECT * FROM item_index UNION ALL
+        SELECT recording_mbid, (SELECT count(*) FROM item_index)
+               + row_number() OVER (ORDER BY recording_mbid ASC NULLS FIRST) - 1
+        FROM (SELECT DISTINCT recording_mbid FROM val_rated) v
+        WHERE recording_mbid NOT IN (SELECT recording_mbid FROM item_index)""",
+    "val_idx": """
+        SELECT r.user_id, r."count", r.rating, x.recording_mbid_index
+        FROM val_rated r LEFT JOIN item_index_every x ON r.recording_mbid = x.recording_mbid""",
     "pop": """
         SELECT recording_mbid, CAST(sum("count") AS BIGINT) AS recording_count,
                count(user_id) AS user_count
@@ -130,17 +139,12 @@ CTES: dict[str, str] = {
             row_number() OVER (PARTITION BY user_id ORDER BY rating DESC NULLS LAST,
                                recording_mbid_index ASC NULLS FIRST) AS rank FROM val_idx)
         WHERE rank <= 100""",
-    "pred100": """
-        SELECT * FROM (SELECT user_id, recording_mbid_index, prediction,
-            row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC NULLS LAST,
-                               recording_mbid_index ASC NULLS FIRST) AS rank FROM bias_pred)
-        WHERE rank <= 100""",
     "paired5": """
         SELECT t.user_id, t.recording_mbid_index AS true_item, p.recording_mbid_index AS pred_item
         FROM truth5 t JOIN pred5 p ON t.user_id = p.user_id AND t.rank = p.rank""",
     "paired100": """
         SELECT t.user_id, t.recording_mbid_index AS true_item, p.recording_mbid_index AS pred_item
-        FROM truth100 t JOIN pred100 p ON t.user_id = p.user_id AND t.rank = p.rank""",
+        FROM truth100 t JOIN seen100 p ON t.user_id = p.user_id AND t.rank = p.rank""",
     # exact 10% sample of the indexed train ratings, seed 42
     "sample10": """
         SELECT user_id, recording_mbid_index, "count", rating FROM (
@@ -185,6 +189,35 @@ CTES: dict[str, str] = {
           ON u.user_id = h.user_id
         LEFT JOIN (SELECT user_id, count(*) AS tlen FROM truth100 GROUP BY user_id) l
           ON u.user_id = l.user_id""",
+    "truth_null": """
+        SELECT * FROM (SELECT user_id, recording_mbid_index, rating,
+            row_number() OVER (PARTITION BY user_id ORDER BY rating DESC NULLS LAST,
+                               recording_mbid_index ASC NULLS FIRST) AS rank FROM val_idx_all)
+        WHERE rank <= 5""",
+    "pred_null": """
+        SELECT * FROM (SELECT user_id, recording_mbid_index,
+            row_number() OVER (PARTITION BY user_id
+                               ORDER BY "count" % 3 + recording_mbid_index % 10 DESC NULLS LAST,
+                               recording_mbid_index ASC NULLS FIRST) AS rank FROM val_idx_all)
+        WHERE rank <= 5""",
+    "paired_null": """
+        SELECT t.user_id, t.recording_mbid_index AS true_item, p.recording_mbid_index AS pred_item
+        FROM truth_null t JOIN pred_null p ON t.user_id = p.user_id AND t.rank = p.rank""",
+    # predictions for the items of the train half only
+    "seen100": """
+        SELECT * FROM (SELECT user_id, recording_mbid_index,
+            row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC NULLS LAST,
+                               recording_mbid_index ASC NULLS FIRST) AS rank FROM bias_pred
+            WHERE recording_mbid_index IN (SELECT recording_mbid_index FROM item_index))
+        WHERE rank <= 100""",
+    "scorable": """
+        SELECT * FROM val_idx WHERE recording_mbid_index IN (SELECT recording_mbid_index FROM item_index)
+          AND user_id IN (SELECT user_id FROM train_idx)""",
+    "list_lengths": """
+        SELECT user_id, least(count(*), 5) AS n FROM val_idx GROUP BY user_id""",
+    "scored_lengths": """
+        SELECT user_id, least(count(*), 5) AS n FROM scorable GROUP BY user_id""",
+    "recency_val_in": 'SELECT user_id, recording_mbid, "timestamp" FROM validation',
     "recency_in": 'SELECT user_id, recording_mbid, "timestamp" FROM train',
     "labelled": """
         SELECT prediction, CASE WHEN "count" >= 2.0 THEN 1.0 ELSE 0.0 END AS label
@@ -206,13 +239,17 @@ def _recency(source: str, per_item: bool = False) -> str:
     part = "user_id, recording_mbid" if per_item else "user_id"
     ties = '' if per_item else ', recording_mbid ASC NULLS FIRST'
     return f"""
-        SELECT user_id, recording_mbid, "timestamp",
-               round(exp(1 - row_number() OVER (PARTITION BY {part}
-                     ORDER BY "timestamp" DESC NULLS LAST{ties})), {D}) AS recency
-        FROM {source}"""
+        SELECT user_id, recording_mbid, "timestamp", position, round(exp(1 - position), {D}) AS recency
+        FROM (SELECT *, row_number() OVER (PARTITION BY {part}
+                  ORDER BY "timestamp" DESC NULLS LAST{ties}) AS position FROM {source})"""
 
 
+for _name in ("s_top", "s_hits", "s_ap"):  # the list metrics with lists of 5
+    CTES[_name.replace("s_", "s5_")] = (
+        CTES[_name].replace("<= 100", "<= 5").replace("truth100", "truth5")
+        .replace("s_top", "s5_top").replace("s_hits", "s5_hits"))
 CTES["recency_rows"] = _recency("recency_in")
+CTES["recency_val_rows"] = _recency("recency_val_in")
 CTES["recency_item_rows"] = _recency("recency_in", per_item=True)
 CTES["event_log"] = """
     SELECT user_id, props AS recording_mbid, ts AS "timestamp" FROM events"""
@@ -225,15 +262,21 @@ def _refs(sql: str) -> list[str]:
     return [n for n in _NAMES if re.search(rf"\b{re.escape(n)}\b", sql)]
 
 
-def _with(body: str) -> str:
-    """Prefix ``body`` with the CTEs it needs, dependencies first."""
+def _with(body: str, unseen: bool = False) -> str:
+    """Prefix ``body`` with the CTEs it needs, dependencies first.
+
+    ``unseen`` leaves the items whose number 7 divides out of the train half.
+    """
+    ctes = dict(CTES)
+    if unseen:
+        ctes["train"] += " AND CAST(substr(recording_mbid, 2) AS BIGINT) % 7 <> 0"
     ordered: list[str] = []
 
     def visit(name: str, seen: set[str]) -> None:
         if name in ordered or name in seen:
             return
         seen.add(name)
-        for dep in _refs(CTES[name]):
+        for dep in _refs(ctes[name]):
             if dep != name:
                 visit(dep, seen)
         ordered.append(name)
@@ -242,7 +285,7 @@ def _with(body: str) -> str:
         visit(name, set())
     if not ordered:
         return body
-    defs = ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered)
+    defs = ",\n".join(f"{n} AS ({ctes[n]})" for n in ordered)
     return f"WITH {defs}\n{body}"
 
 
@@ -257,13 +300,14 @@ def _pop(beta: int) -> str:
 
 
 def _overlap_rows(paired: str) -> str:
-    """Per user: distinct true items also predicted (among paired rows) / paired rows."""
+    """Per user: distinct true items also predicted (among paired rows; a null item is
+    an item like any other) / paired rows."""
     return f"""
         SELECT a.user_id,
                count(DISTINCT CASE WHEN EXISTS (SELECT 1 FROM {paired} b
-                     WHERE b.user_id = a.user_id AND b.pred_item = a.true_item)
-                     THEN a.true_item END) AS common_count,
-               count(a.true_item) AS true_count
+                     WHERE b.user_id = a.user_id AND b.pred_item IS NOT DISTINCT FROM a.true_item)
+                     THEN coalesce(a.true_item, -1) END) AS common_count,
+               count(*) AS true_count
         FROM {paired} a GROUP BY a.user_id"""
 
 
@@ -298,6 +342,10 @@ SQL: dict[str, str] = {
     "popularity_topk": _pop(100000),
     "compress_counts": f'SELECT user_id, recording_mbid, "count", round(rating, {D}) AS rating FROM train_rated',
     "recency_weight": "SELECT * FROM recency_rows",
+    "recency_validation": "SELECT * FROM recency_val_rows",
+    "recency_ratings": """
+        SELECT r.user_id, x.recording_mbid_index, r."timestamp", r.recency AS rating
+        FROM recency_val_rows r LEFT JOIN item_index_every x ON r.recording_mbid = x.recording_mbid""",
     "recency_per_item": "SELECT * FROM recency_item_rows",
     "recency_events": "SELECT * FROM recency_event_rows",
     "compress_recency": f"""
@@ -336,7 +384,7 @@ SQL: dict[str, str] = {
     "item_bias": f"SELECT recording_mbid_index, round(item_bias, {D}) AS item_bias FROM ib",
     "user_bias": f"SELECT user_id, round(user_bias, {D}) AS user_bias FROM ub",
     "threshold_label": f"""SELECT user_id, recording_mbid_index, round(rating, {D}) AS rating,
-                           CAST(CASE WHEN rating >= 4.0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
+                           CAST(CASE WHEN "count" >= 2 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
                            FROM val_idx""",
     "auc_exact": f"""
         SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
@@ -347,4 +395,28 @@ SQL: dict[str, str] = {
         FROM auc_terms""",
 }
 
-ORACLE_SQL: dict[str, str] = {name: _with(body) for name, body in SQL.items()}
+# the same statements over a train half without some items
+SQL_UNSEEN: dict[str, str] = {
+    "unseen_item_index": f"""SELECT user_id, "count", round(rating, {D}) AS rating,
+                             recording_mbid_index FROM val_idx""",
+    "unseen_bias_predict": SQL["bias_predict"],
+    "unseen_overlap_at_5": SQL["overlap_at_5"],
+    "unseen_list_map": SQL["list_map"].replace("s_ap", "s5_ap"),
+    "unseen_list_ap": SQL["list_ap"].replace("s_ap", "s5_ap"),
+    "overlap_mean_100": SQL.pop("overlap_mean_100"),
+    "overlap_null_items": _overlap_cols("paired_null"),
+    "als_predict": f"""SELECT user_id, recording_mbid_index, "count", round(rating, {D}) AS rating,
+                       true AS nonnegative, true AS is_product FROM scorable""",
+    "als_overlap": """SELECT l.user_id, least(l.n, s.n) AS true_count, true AS within
+                      FROM list_lengths l JOIN scored_lengths s ON l.user_id = s.user_id""",
+    "als_recency_auc": """
+        SELECT count(*) FILTER (WHERE position <= 3) AS positives,
+               count(*) FILTER (WHERE position > 3) AS negatives, true AS auc_defined
+        FROM recency_val_rows r JOIN item_index x ON r.recording_mbid = x.recording_mbid
+        WHERE r.user_id IN (SELECT user_id FROM train)""",
+}
+
+ORACLE_SQL: dict[str, str] = {
+    **{name: _with(body) for name, body in SQL.items()},
+    **{name: _with(body, unseen=True) for name, body in SQL_UNSEEN.items()},
+}

@@ -7,44 +7,34 @@ so the results do not depend on summation order.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza import schemas
 from cadenza.operators import (
-    als_fit,
-    als_predict,
     apply_item_index,
     bias_fit,
-    bias_predict,
     clean_interactions,
     compress_rating,
     exact_auc,
     fit_item_index,
     interaction_counts,
     item_popularity,
-    list_average_precision,
-    list_map,
     overlap_at_n,
     overlap_mean,
     popularity_topk,
-    ranking_metrics,
-    ranking_summary,
     recency_weight,
     sample_fraction,
     split_points,
-    temporal_split,
     threshold_label,
     top_n_per_user,
-    train_part,
-    validation_part,
 )
-from cadenza.operators.als import COUNTS_PRESET, RECENCY_PRESET
-from cadenza.operators.positions import pin
+from cadenza.plans import flows
+from cadenza.plans.flows import Indexed, Split
 from cadenza.session import ensure_checkpoint_dir
 from cadenza.sources import (
     load_events,
@@ -61,366 +51,320 @@ K = 10            # cutoff of P@k and NDCG@k
 SMALL_N = 5       # per-user list length where n = 100 would keep every held-out pair
 BETA = 100000
 RATIO = 0.8
+RATING_CUT = math.log(4)       # compressed rating of two plays
+RECENCY_CUT = math.exp(-2)     # recency weight of a user's third newest event
+LEFT_OUT = 7                   # the unseen_* queries train without items whose number it divides
 
 
 def _r(col: str) -> F.Column:
     return F.round(F.col(col), DIGITS).alias(col)
 
 
-# ---- shared chains -------------------------------------------------------
-
-class Chain:
-    """The stages of one query, each built at most once (a query that needs the
-    train and the validation half reads one split, not two). The cleaned events,
-    the split and the indexed rating tables - the hand-over tables between
-    stages - are stored once in the checkpoint folder when later stages read
-    them several times (model fits, sampling, metrics); a query that reads the
-    split once uses its plan (``*_once``) and writes nothing extra."""
-
-    def __init__(self, spark: SparkSession, sf: str):
-        self.spark, self.sf = spark, sf
+# ---- inputs through the flows --------------------------------------------
 
-    @cached_property
-    def clean(self) -> DataFrame:
-        s, sf = self.spark, self.sf
-        return clean_interactions(load_interactions(s, sf), load_tracks(s, sf), load_users(s, sf))
+def clean(spark: SparkSession, sf: str) -> DataFrame:
+    return clean_interactions(load_interactions(spark, sf), load_tracks(spark, sf), load_users(spark, sf))
 
-    @cached_property
-    def clean_stored(self) -> DataFrame:
-        """The cleaned events stored once: the split reads them more than once
-        (group sizes, then the numbering), so the joins run a single time."""
-        return pin(self.clean)
 
-    @cached_property
-    def split_plan(self) -> DataFrame:
-        """The split as a plan (for queries that read it once)."""
-        return temporal_split(self.clean_stored, RATIO)
+def split(spark: SparkSession, sf: str) -> Split:
+    return flows.split_interactions(load_interactions(spark, sf), load_tracks(spark, sf),
+                                    load_users(spark, sf), RATIO)
 
-    @cached_property
-    def split(self) -> DataFrame:
-        """The split stored once (for chains that read it several times)."""
-        return pin(self.split_plan)
 
-    @cached_property
-    def train(self) -> DataFrame:
-        return train_part(self.split)
+def indexed(spark: SparkSession, sf: str) -> Indexed:
+    return flows.indexed_ratings(split(spark, sf))
 
-    @cached_property
-    def validation(self) -> DataFrame:
-        return validation_part(self.split)
 
-    @cached_property
-    def train_once(self) -> DataFrame:
-        return train_part(self.split_plan)
+def unseen_split(spark: SparkSession, sf: str) -> Split:
+    """The split with some items missing from the train half, so that the held-out
+    half has items no model has seen."""
+    halves = split(spark, sf)
+    number = F.substring("recording_mbid", 2, 20).cast("bigint")
+    return Split(halves.train.where(number % LEFT_OUT != 0), halves.validation)
 
-    @cached_property
-    def validation_once(self) -> DataFrame:
-        return validation_part(self.split_plan)
 
-    @cached_property
-    def train_rated(self) -> DataFrame:
-        return rated_counts(self.train)
+def unseen_indexed(spark: SparkSession, sf: str) -> Indexed:
+    return flows.indexed_ratings(unseen_split(spark, sf))
 
-    @cached_property
-    def index(self) -> DataFrame:
-        return fit_item_index(self.train_rated)
 
-    @cached_property
-    def train_idx(self) -> DataFrame:
-        return pin(apply_item_index(self.train_rated, self.index))
-
-    @cached_property
-    def val_idx_all(self) -> DataFrame:
-        return pin(apply_item_index(rated_counts(self.validation), self.index))
-
-    @cached_property
-    def val_idx(self) -> DataFrame:
-        return self.val_idx_all.where(F.col("recording_mbid_index").isNotNull())
-
-    @cached_property
-    def val_idx_all_once(self) -> DataFrame:
-        """Held-out indexed ratings as a plan (for queries that read them once)."""
-        return apply_item_index(rated_counts(self.validation), self.index)
-
-    @cached_property
-    def val_idx_once(self) -> DataFrame:
-        return self.val_idx_all_once.where(F.col("recording_mbid_index").isNotNull())
-
-    @cached_property
-    def bias_model(self):
-        return bias_fit(self.train_idx)
-
-    @cached_property
-    def bias_scores(self) -> DataFrame:
-        """Bias model fitted on all train ratings, scores of the held-out pairs
-        (rounded before any ranking)."""
-        preds = bias_predict(self.bias_model, self.val_idx)
-        return preds.withColumn("prediction", F.round("prediction", DIGITS))
-
-    @cached_property
-    def sampled_bias_scores(self) -> DataFrame:
-        """Bias model fitted on the exact 10% sample (seed 42) of the train
-        ratings, scores of the held-out pairs (rounded before any ranking)."""
-        cols = ["user_id", "recording_mbid_index", "rating"]
-        sample = pin(sample_fraction(self.train_idx.select(*cols), 0.1, 42,
-                                     keys=["user_id", "recording_mbid_index"]))
-        preds = bias_predict(bias_fit(sample), self.val_idx.select(*cols))
-        return preds.withColumn("prediction", F.round("prediction", DIGITS))
-
-    def top_list(self, beta: float = BETA, once: bool = False) -> DataFrame:
-        train = self.train_once if once else self.train
-        return popularity_topk(interaction_counts(train), beta=beta, k=LIST_SIZE)
-
-    @cached_property
-    def metrics(self) -> DataFrame:
-        return ranking_metrics(self.validation, self.top_list(), k=K)
-
-
-def rated_counts(events: DataFrame) -> DataFrame:
-    return compress_rating(interaction_counts(events))
-
-
-def clean(spark, sf):
-    return Chain(spark, sf).clean
-
-
-def split(spark, sf):
-    return Chain(spark, sf).split
-
-
-def train(spark, sf):
-    return Chain(spark, sf).train
-
-
-def validation(spark, sf):
-    return Chain(spark, sf).validation
-
-
-def top_list(spark, sf, beta=BETA):
-    return Chain(spark, sf).top_list(beta)
+def full_bias_scores(data: Indexed) -> DataFrame:
+    """Bias model on all train ratings, rounded scores of the held-out pairs."""
+    return flows.bias_scores(bias_fit(data.train), data, DIGITS)
 
 
 # ---- queries -------------------------------------------------------------
 
 def q_clean_interactions(spark, sf):
-    return Chain(spark, sf).clean
+    return clean(spark, sf)
 
 
 def q_null_fallback(spark, sf):
-    c = Chain(spark, sf).clean
-    fell_back = c.where(F.col("recording_mbid") == F.col("interactions_msid"))
+    fell_back = clean(spark, sf).where(F.col("recording_mbid") == F.col("interactions_msid"))
     return fell_back.groupBy("recording_mbid").agg(F.count(F.lit(1)).alias("events"))
 
 
 def q_temporal_split(spark, sf):
-    return Chain(spark, sf).split_plan
+    halves = split(spark, sf)
+    return (halves.train.withColumn("is_train", F.lit(True))
+            .union(halves.validation.withColumn("is_train", F.lit(False))))
 
 
 def q_train_rows(spark, sf):
-    return Chain(spark, sf).train_once
+    return split(spark, sf).train
 
 
 def q_validation_rows(spark, sf):
-    return Chain(spark, sf).validation_once
+    return split(spark, sf).validation
 
 
 def q_split_points(spark, sf):
-    return split_points(Chain(spark, sf).clean, RATIO)
+    return split_points(clean(spark, sf), RATIO)
 
 
 def q_interaction_counts(spark, sf):
-    return interaction_counts(Chain(spark, sf).train_once)
+    return interaction_counts(split(spark, sf).train)
 
 
 def q_validation_counts(spark, sf):
-    return interaction_counts(Chain(spark, sf).validation_once)
+    return interaction_counts(split(spark, sf).validation)
 
 
 def q_item_popularity(spark, sf):
-    return item_popularity(interaction_counts(Chain(spark, sf).train_once), beta=BETA)
+    return item_popularity(interaction_counts(split(spark, sf).train), beta=BETA)
+
+
+def _top_list(spark, sf, beta):
+    return popularity_topk(interaction_counts(split(spark, sf).train), beta=beta, k=LIST_SIZE)
 
 
 def q_popularity_topk_beta0(spark, sf):
-    return Chain(spark, sf).top_list(beta=0, once=True)
+    return _top_list(spark, sf, 0)
 
 
 def q_popularity_topk_beta100(spark, sf):
-    return Chain(spark, sf).top_list(beta=100, once=True)
+    return _top_list(spark, sf, 100)
 
 
 def q_popularity_topk(spark, sf):
-    return Chain(spark, sf).top_list(once=True)
+    return _top_list(spark, sf, BETA)
 
 
 def q_compress_counts(spark, sf):
-    return rated_counts(Chain(spark, sf).train_once).select(
+    return flows.rated_counts(split(spark, sf).train).select(
         "user_id", "recording_mbid", "count", _r("rating"))
 
 
-def _recency_input(spark, sf):
-    return Chain(spark, sf).train_once.select("user_id", "recording_mbid", "timestamp")
+def _recency(events, per_item=False):
+    return recency_weight(events, per_item=per_item, position="position").select(
+        "user_id", "recording_mbid", "timestamp", "position", _r("recency"))
 
 
 def q_recency_weight(spark, sf):
-    return recency_weight(_recency_input(spark, sf)).select(
-        "user_id", "recording_mbid", "timestamp", _r("recency"))
+    return _recency(split(spark, sf).train.select(*flows.EVENT))
+
+
+def q_recency_validation(spark, sf):
+    return _recency(split(spark, sf).validation.select(*flows.EVENT))
 
 
 def q_recency_per_item(spark, sf):
-    return recency_weight(_recency_input(spark, sf), per_item=True).select(
-        "user_id", "recording_mbid", "timestamp", _r("recency"))
+    return _recency(split(spark, sf).train.select(*flows.EVENT), per_item=True)
 
 
 def q_recency_events(spark, sf):
-    return recency_weight(load_events(spark, sf)).select(
-        "user_id", "recording_mbid", "timestamp", _r("recency"))
+    return _recency(load_events(spark, sf))
 
 
 def q_compress_recency(spark, sf):
-    rec = recency_weight(_recency_input(spark, sf))
+    rec = recency_weight(split(spark, sf).train.select(*flows.EVENT))
     return compress_rating(rec, "recency").select(
         "user_id", "recording_mbid", "timestamp", _r("recency"), _r("rating"))
 
 
+def q_recency_ratings(spark, sf):
+    """The ratings of the recency flow: weights of the held-out events, indexed."""
+    return flows.recency_ratings(split(spark, sf)).validation.select(
+        "user_id", "recording_mbid_index", "timestamp", _r("rating"))
+
+
 def q_item_index(spark, sf):
-    return Chain(spark, sf).index
+    return fit_item_index(flows.rated_counts(split(spark, sf).train))
 
 
 def q_apply_item_index(spark, sf):
-    va = Chain(spark, sf).val_idx_all_once
-    return va.select("user_id", "count", _r("rating"), "recording_mbid_index")
+    halves = split(spark, sf)
+    index = fit_item_index(flows.rated_counts(halves.train))
+    return apply_item_index(flows.rated_counts(halves.validation), index).select(
+        "user_id", "count", _r("rating"), "recording_mbid_index")
+
+
+def q_unseen_item_index(spark, sf):
+    """Held-out ratings with unseen items numbered after those of the train half."""
+    return unseen_indexed(spark, sf).validation.select(
+        "user_id", "count", _r("rating"), "recording_mbid_index")
 
 
 def q_sample_exact(spark, sf):
-    tr = Chain(spark, sf).train_idx
-    s = sample_fraction(tr.select("user_id", "recording_mbid_index", "count"), 0.1, 42,
-                        keys=["user_id", "recording_mbid_index"])
-    return s
+    return sample_fraction(indexed(spark, sf).train.select(*flows.PAIR, "count"), 0.1, 42, keys=flows.PAIR)
 
 
 def q_csv_ratings(spark, sf):
     """Indexed train ratings through the CSV interchange (header, explicit schema):
     written into the checkpoint folder, read back."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}.csv"
-    tr = Chain(spark, sf).train_idx.select("user_id", "recording_mbid_index", "rating")
-    write_csv(tr, path)
+    write_csv(indexed(spark, sf).train.select(*flows.PAIR, "rating"), path)
     back = read_csv(spark, path, schemas.RATINGS_CSV)
-    return back.select("user_id", "recording_mbid_index", _r("rating"))
+    return back.select(*flows.PAIR, _r("rating"))
 
 
 def q_top_n_by_rating(spark, sf):
-    va = Chain(spark, sf).val_idx_once
-    return top_n_per_user(va, "rating", SMALL_N).select(
-        "user_id", "recording_mbid_index", "count", _r("rating"), "rank")
+    return top_n_per_user(indexed(spark, sf).validation, "rating", SMALL_N).select(
+        *flows.PAIR, "count", _r("rating"), "rank")
 
 
 def q_average_precision(spark, sf):
-    return Chain(spark, sf).metrics.select("user_id", _r("ap"))
+    return flows.popularity_metrics(split(spark, sf), BETA, LIST_SIZE, K, ["ap"]).select("user_id", _r("ap"))
 
 
 def q_precision_at_k(spark, sf):
-    return Chain(spark, sf).metrics.select("user_id", _r("pk"))
+    return flows.popularity_metrics(split(spark, sf), BETA, LIST_SIZE, K, ["pk"]).select("user_id", _r("pk"))
 
 
 def q_ndcg_at_k(spark, sf):
-    return Chain(spark, sf).metrics.select("user_id", _r("ndcg"))
+    return flows.popularity_metrics(split(spark, sf), BETA, LIST_SIZE, K, ["ndcg"]).select(
+        "user_id", _r("ndcg"))
 
 
 def q_ranking_summary(spark, sf):
-    return ranking_summary(Chain(spark, sf).metrics).select(
+    return flows.popularity_evaluation(split(spark, sf), BETA, LIST_SIZE, K).select(
         _r("mean_map"), _r("mean_pk"), _r("mean_ndcg"))
 
 
+def _bias_rows(data):
+    return full_bias_scores(data).select(*flows.PAIR, "count", _r("rating"), "prediction")
+
+
 def q_bias_predict(spark, sf):
-    return Chain(spark, sf).bias_scores.select(
-        "user_id", "recording_mbid_index", "count", _r("rating"), "prediction")
+    return _bias_rows(indexed(spark, sf))
+
+
+def q_unseen_bias_predict(spark, sf):
+    return _bias_rows(unseen_indexed(spark, sf))
 
 
 def q_top_n_by_prediction(spark, sf):
-    return top_n_per_user(Chain(spark, sf).bias_scores, "prediction", SMALL_N).select(
-        "user_id", "recording_mbid_index", "prediction", "rank")
+    return top_n_per_user(full_bias_scores(indexed(spark, sf)), "prediction", SMALL_N).select(
+        *flows.PAIR, "prediction", "rank")
 
 
-def _overlap(spark, sf, n):
-    c = Chain(spark, sf)
-    return overlap_at_n(c.val_idx, c.bias_scores, n=n)
+def _overlap(data, n, percent=False):
+    return overlap_at_n(data.validation, full_bias_scores(data), n=n, percent=percent)
 
 
 def q_overlap_at_5(spark, sf):
-    return _overlap(spark, sf, SMALL_N).select(
+    return _overlap(indexed(spark, sf), SMALL_N).select(
+        "user_id", "common_count", "true_count", _r("common_percentage"))
+
+
+def q_unseen_overlap_at_5(spark, sf):
+    return _overlap(unseen_indexed(spark, sf), SMALL_N).select(
         "user_id", "common_count", "true_count", _r("common_percentage"))
 
 
 def q_overlap_percent_at_5(spark, sf):
-    c = Chain(spark, sf)
-    return overlap_at_n(c.val_idx, c.bias_scores, n=SMALL_N, percent=True).select(
-        "user_id", _r("common_percentage"))
+    return _overlap(indexed(spark, sf), SMALL_N, percent=True).select("user_id", _r("common_percentage"))
 
 
 def q_overlap_mean(spark, sf):
-    return overlap_mean(_overlap(spark, sf, SMALL_N)).select(_r("overlap"))
+    return overlap_mean(_overlap(indexed(spark, sf), SMALL_N)).select(_r("overlap"))
 
 
 def q_overlap_mean_100(spark, sf):
-    return overlap_mean(_overlap(spark, sf, LIST_SIZE)).select(_r("overlap"))
+    """Lists of up to 100 against the whole truth, with predictions for the items
+    of the train half only (as a factor model drops the others)."""
+    data = unseen_indexed(spark, sf)
+    seen = full_bias_scores(data).join(data.index.select("recording_mbid_index"), "recording_mbid_index")
+    return overlap_mean(overlap_at_n(data.validation, seen, n=LIST_SIZE)).select(_r("overlap"))
+
+
+def q_overlap_null_items(spark, sf):
+    """Overlap where held-out items unseen in training have no number at all."""
+    halves = unseen_split(spark, sf)
+    index = fit_item_index(flows.rated_counts(halves.train))
+    truth = apply_item_index(flows.rated_counts(halves.validation), index)
+    scores = truth.withColumn("prediction", F.col("count") % 3 + F.col("recording_mbid_index") % 10)
+    return overlap_at_n(truth, scores, n=SMALL_N).select(
+        "user_id", "common_count", "true_count", _r("common_percentage"))
 
 
 def q_list_map(spark, sf):
-    c = Chain(spark, sf)
-    return list_map(c.sampled_bias_scores, c.val_idx, n=LIST_SIZE).select(
+    return flows.bias_evaluation(indexed(spark, sf), n=LIST_SIZE, digits=DIGITS).select(
         "users", _r("list_map"))
 
 
 def q_list_ap(spark, sf):
-    c = Chain(spark, sf)
-    return list_average_precision(c.sampled_bias_scores, c.val_idx, n=LIST_SIZE).select(
+    return flows.bias_list_precision(indexed(spark, sf), n=LIST_SIZE, digits=DIGITS).select(
+        "user_id", _r("ap"))
+
+
+def q_unseen_list_map(spark, sf):
+    return flows.bias_evaluation(unseen_indexed(spark, sf), n=SMALL_N, digits=DIGITS).select(
+        "users", _r("list_map"))
+
+
+def q_unseen_list_ap(spark, sf):
+    return flows.bias_list_precision(unseen_indexed(spark, sf), n=SMALL_N, digits=DIGITS).select(
         "user_id", _r("ap"))
 
 
 def q_item_bias(spark, sf):
-    return Chain(spark, sf).bias_model.item_bias.select("recording_mbid_index", _r("item_bias"))
+    return bias_fit(indexed(spark, sf).train).item_bias.select("recording_mbid_index", _r("item_bias"))
 
 
 def q_user_bias(spark, sf):
-    return Chain(spark, sf).bias_model.user_bias.select("user_id", _r("user_bias"))
+    return bias_fit(indexed(spark, sf).train).user_bias.select("user_id", _r("user_bias"))
 
 
 def q_threshold_label(spark, sf):
-    va = Chain(spark, sf).val_idx_once
-    return threshold_label(va, "rating", 4.0).select(
-        "user_id", "recording_mbid_index", _r("rating"), "label")
+    return threshold_label(indexed(spark, sf).validation, "rating", RATING_CUT - 1e-9).select(
+        *flows.PAIR, _r("rating"), "label")
 
 
 def q_auc_exact(spark, sf):
-    labelled = threshold_label(Chain(spark, sf).bias_scores, "count", 2.0)
+    labelled = threshold_label(full_bias_scores(indexed(spark, sf)), "count", 2.0)
     return exact_auc(labelled, "prediction", "label").select(_r("auc"), "positives", "negatives")
 
 
-# ---- model queries without an SQL form (rows-only check) ------------------
+# ---- factor models: SQL checks what does not depend on the fit -------------
 
 def q_als_predict(spark, sf):
-    c = Chain(spark, sf)
-    model = als_fit(c.train_idx, **COUNTS_PRESET)
-    return als_predict(model, c.val_idx).select("user_id", "recording_mbid_index", "rating", "prediction")
+    """Scored held-out pairs, and whether each score is the dot product of the
+    stored non-negative factors of its user and item."""
+    model, scores = flows.als_scores(unseen_indexed(spark, sf))
+    factors = (scores.join(model.user_factors().withColumnRenamed("features", "uf"), "user_id")
+               .join(model.item_factors().withColumnRenamed("features", "vf"), "recording_mbid_index"))
+    product = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")),
+                          F.lit(0.0), lambda acc, x: acc + x)
+    return factors.select(
+        *flows.PAIR, "count", _r("rating"),
+        (F.col("prediction") >= 0).alias("nonnegative"),
+        (F.abs(F.col("prediction") - product) < 1e-5).alias("is_product"))
 
 
 def q_als_overlap(spark, sf):
-    c = Chain(spark, sf)
-    model = als_fit(c.train_idx, **COUNTS_PRESET)
-    return overlap_mean(overlap_at_n(c.val_idx, als_predict(model, c.val_idx), n=LIST_SIZE))
+    """Per user the length of the paired lists (cold pairs dropped from the
+    predictions, not from the truth) and whether the overlap lies within it."""
+    data = unseen_indexed(spark, sf)
+    _, scores = flows.als_scores(data)
+    found = overlap_at_n(data.validation, scores, n=SMALL_N)
+    return found.select("user_id", "true_count",
+                        F.col("common_count").between(0, F.col("true_count")).alias("within"))
 
 
 def q_als_recency_auc(spark, sf):
-    c = Chain(spark, sf)
-    cols = ["user_id", "recording_mbid", "timestamp"]
-    tr = recency_weight(c.train.select(*cols)).withColumn("rating", F.col("recency"))
-    va = recency_weight(c.validation.select(*cols)).withColumn("rating", F.col("recency"))
-    index = fit_item_index(tr)
-    tr_i = apply_item_index(tr, index)
-    va_i = apply_item_index(va, index).where(F.col("recording_mbid_index").isNotNull())
-    model = als_fit(tr_i, **RECENCY_PRESET)
-    labelled = threshold_label(als_predict(model, va_i), "rating", 4.0)
-    return exact_auc(labelled, "prediction", "label")
+    """Label counts of the scored held-out events and whether the AUC is defined."""
+    auc = flows.recency_evaluation(unseen_split(spark, sf), threshold=RECENCY_CUT - 1e-9)
+    return auc.select("positives", "negatives", F.col("auc").between(0.0, 1.0).alias("auc_defined"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

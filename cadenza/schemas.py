@@ -21,13 +21,6 @@ USERS = T.StructType([
     T.StructField("user_name", T.StringType(), True),
 ])
 
-CLEAN = T.StructType([
-    T.StructField("user_id", T.LongType(), True),
-    T.StructField("interactions_msid", T.StringType(), True),
-    T.StructField("timestamp", T.TimestampNTZType(), True),
-    T.StructField("recording_mbid", T.StringType(), True),
-])
-
 COUNTS = T.StructType([
     T.StructField("user_id", T.LongType(), True),
     T.StructField("recording_mbid", T.StringType(), True),
@@ -40,10 +33,3 @@ RATINGS_CSV = T.StructType([
     T.StructField("recording_mbid_index", T.LongType(), True),
     T.StructField("rating", T.DoubleType(), True),
 ])
-
-METRICS = T.StructType([
-    T.StructField("user_id", T.LongType(), True),
-    T.StructField("ap", T.DoubleType(), True),
-    T.StructField("pk", T.DoubleType(), True),
-    T.StructField("ndcg", T.DoubleType(), True),
-])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured stage sizes
@@ -16,9 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -28,18 +27,32 @@ def build_session(
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Return a session with the settings above (existing keys win over defaults)."""
+    """Return a session with the settings above where the caller has set none.
+
+    ``conf`` wins over what is configured elsewhere (spark-defaults, --conf, an
+    active session), which wins over ``DEFAULT_CONF``. The web UI and the log
+    level are left to the caller.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
+    settings = dict(conf or {})
     if shuffle_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in settings.items():
         builder = builder.config(key, value)
+    active = SparkSession.getActiveSession()
+    if active is None:
+        # start the JVM first: what spark-submit or spark-defaults set is known there
+        SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(settings.items()))
+        given = dict(SparkConf().getAll())
+    else:
+        given = {**dict(active.sparkContext.getConf().getAll()), **active.conf.getAll}
+    for key, value in DEFAULT_CONF.items():
+        if key not in settings and key not in given and (
+                active is None or active.conf.isModifiable(key)):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -10,7 +10,8 @@ from cadenza.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="cadenza-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app_name="cadenza-tests", shuffle_partitions=4, conf={
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
 

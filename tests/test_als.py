@@ -1,8 +1,12 @@
-"""ALS: no exact oracle; check shape, repeatability and fit on planted factors."""
+"""ALS: repeatability, cold pairs, ids of any size, fit on planted factors."""
+
+import inspect
 
 from pyspark.sql import functions as F
 
-from cadenza.operators import als_fit, als_predict
+from cadenza.operators import RatingModel, als_fit, als_predict, mean_ratings
+from cadenza.operators.als import NUM_BLOCKS
+from conftest import rows
 
 
 def _planted(spark):
@@ -32,21 +36,44 @@ def test_als_fit_predict_repeatable(spark):
 
 def test_als_nonnegative_factors(spark):
     model = als_fit(_planted(spark), rank=2, reg=0.1, max_iter=4)
-    assert model.itemFactors.where(F.exists("features", lambda x: x < 0)).count() == 0
+    assert model.item_factors().where(F.exists("features", lambda x: x < 0)).count() == 0
 
 
-def test_als_with_64bit_user_ids(spark):
-    from cadenza.operators.als import DenseUserALS
+def test_als_ids_of_any_size(spark):
     base = _planted(spark)
-    big = base.withColumn("user_id", F.col("user_id") + F.lit(10**12))
-    m_small = als_fit(base, rank=3, reg=0.01, max_iter=6)
-    m_big = als_fit(big, rank=3, reg=0.01, max_iter=6)
-    assert isinstance(m_big, DenseUserALS)
-    pairs = spark.createDataFrame([(u, i) for u in range(0, 20, 3) for i in range(0, 30, 7)],
-                                  "user_id long, recording_mbid_index long")
-    a = {(r[0], r[1]): r[2] for r in als_predict(m_small, pairs).collect()}
-    b = {(r[0] - 10**12, r[1]): r[2] for r in als_predict(
-        m_big, pairs.withColumn("user_id", F.col("user_id") + F.lit(10**12))).collect()}
-    assert a.keys() == b.keys()
-    # dense ids keep the user order, so the same blocks and seed give the same fit
-    assert max(abs(a[k] - b[k]) for k in a) < 1e-4
+    big = base.select((F.col("user_id") - F.lit(10**12)).alias("user_id"),
+                      (F.col("recording_mbid_index") + F.lit(2**40)).alias("recording_mbid_index"), "rating")
+    pairs = [(u, i) for u in range(0, 20, 3) for i in range(0, 30, 7)]
+    odd = [(10**12, 1), (-5, 1), (1, 2**33), (None, 1), (1, None)]
+    schema = "user_id long, recording_mbid_index long"
+    got = []
+    for df, du, di in ((base, 0, 0), (big, -10**12, 2**40)):
+        model = als_fit(df, rank=3, reg=0.01, max_iter=6)
+        assert type(model) is RatingModel
+        held = spark.createDataFrame([(u + du, i + di) for u, i in pairs] + odd, schema)
+        got.append({(r[0] - du, r[1] - di): r[2] for r in als_predict(model, held).collect()})
+    assert got[0].keys() == got[1].keys() == set(pairs)  # unknown ids are cold pairs
+    # dense ids keep the order, so the same blocks and seed give the same fit
+    assert max(abs(got[0][k] - got[1][k]) for k in pairs) < 1e-4
+
+
+def test_als_does_not_follow_the_cluster_size(spark):
+    df = _planted(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in ("2", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            model = als_fit(df.repartition(int(parts)), rank=3, max_iter=5, **{"reg": 0.05})
+            got.append({(r[0], r[1]): r[3] for r in als_predict(model, df).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(abs(got[0][k] - got[1][k]) for k in got[0]) < 1e-6
+    # the block count is part of the model
+    assert inspect.signature(als_fit).parameters["num_blocks"].default == NUM_BLOCKS
+
+
+def test_mean_ratings(spark):
+    df = spark.createDataFrame([(1, 5, 1.0), (1, 5, 0.5), (2, 5, 3.0)],
+                               "user_id long, recording_mbid_index long, rating double")
+    assert rows(mean_ratings(df)) == [(1, 5, 0.75), (2, 5, 3.0)]

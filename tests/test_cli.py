@@ -5,9 +5,10 @@ import tempfile
 
 import pytest
 
+from cadenza.plans import flows
 from cadenza.plans import queries as Q
 from cadenza.plans.cli import parser, run
-from cadenza.sources import load_interactions, load_tracks, load_users
+from cadenza.sources import load_interactions, load_tracks, load_users, write_csv
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables missing")
@@ -43,15 +44,26 @@ def test_cli_popularity_chain(spark):
         "--out-train", f"{d}/train_idx", "--out-apply", f"{d}/val_idx")
     cli("bias", "--train", f"{d}/train_idx", "--test", f"{d}/val_idx", "--out", f"{d}/bias")
     row = spark.read.parquet(f"{d}/bias").collect()[0]
-    assert row["users"] > 0 and 0 <= row["list_map"] <= 1
+    want = Q.QUERIES["list_map"](spark, SF).collect()[0]
+    assert row["users"] == want["users"] and row["list_map"] == pytest.approx(want["list_map"], abs=0.02)
+
+    for name in ("train_idx", "val_idx"):  # the same stage from the CSV interchange
+        write_csv(spark.read.parquet(f"{d}/{name}").select("user_id", "recording_mbid_index", "rating"),
+                  f"{d}/{name}.csv")
+    cli("bias", "--format", "csv", "--train", f"{d}/train_idx.csv", "--test", f"{d}/val_idx.csv",
+        "--out", f"{d}/bias_csv")
+    again = spark.read.parquet(f"{d}/bias_csv").collect()[0]
+    assert again["users"] == row["users"] and again["list_map"] == pytest.approx(row["list_map"], abs=1e-9)
 
 
 def test_cli_recency_and_als(spark):
     d = tempfile.mkdtemp(prefix="cz-cli-")
-    tr, va = Q.Chain(spark, SF).train_idx, Q.Chain(spark, SF).val_idx
+    halves = Q.split(spark, SF)
+    data = flows.indexed_ratings(halves)
+    tr, va = data.train, data.validation
     tr.write.parquet(f"{d}/train_idx")
     va.write.parquet(f"{d}/val_idx")
-    Q.Chain(spark, SF).train.write.parquet(f"{d}/train")
+    halves.train.write.parquet(f"{d}/train")
 
     def cli(*argv):
         run(spark, parser().parse_args(list(argv)))

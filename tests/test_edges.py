@@ -55,7 +55,10 @@ def test_overlap_null_true_item(spark):
     pred = spark.createDataFrame([(1, 7, 0.9), (1, 8, 0.8)],
                                  "user_id long, recording_mbid_index long, prediction double")
     row = overlap_at_n(truth, pred, n=5).collect()[0]
-    # paired by rank: (null, 7) and (7, 8); one non-null true item, shared {7}
-    assert (row["common_count"], row["true_count"], row["common_percentage"]) == (1, 1, 1.0)
-    none = overlap_at_n(truth.where(F.col("recording_mbid_index").isNull()), pred, n=5)
-    assert none.collect()[0]["common_percentage"] is None  # no true item: undefined
+    # paired by rank: (null, 7) and (7, 8); two true items, shared {7}
+    assert (row["common_count"], row["true_count"], row["common_percentage"]) == (1, 2, 0.5)
+    null = truth.where(F.col("recording_mbid_index").isNull())
+    alone = overlap_at_n(null, pred, n=5).collect()[0]
+    assert (alone["common_count"], alone["true_count"], alone["common_percentage"]) == (0, 1, 0.0)
+    both = overlap_at_n(null, null.withColumnRenamed("rating", "prediction"), n=5).collect()[0]
+    assert both["common_percentage"] == 1.0  # a null item is an item like any other

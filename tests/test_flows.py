@@ -35,6 +35,8 @@ def test_popularity_evaluation_equals_query(spark, split):
 def test_indexed_ratings(indexed):
     assert indexed.train.columns == ["user_id", "count", "rating", "recording_mbid_index"]
     assert indexed.validation.where(F.col("recording_mbid_index").isNull()).count() == 0
+    known = indexed.index.count()
+    assert indexed.train.agg(F.max("recording_mbid_index")).first()[0] == known - 1
 
 
 def test_als_evaluation(indexed):
@@ -50,7 +52,23 @@ def test_recency_evaluation_single_class(split):
 
 def test_bias_evaluation(indexed):
     row = flows.bias_evaluation(indexed).collect()[0]
-    assert row["users"] > 0 and 0.0 <= row["list_map"] <= 1.0
+    assert row["users"] == indexed.validation.select("user_id").distinct().count()
+    assert 0.0 < row["list_map"] <= 1.0
+
+
+def test_evaluations_follow_model_and_seed(indexed):
+    # no result is a constant of the data
+    maps = {flows.bias_evaluation(indexed, seed=s, n=3).collect()[0]["list_map"] for s in (1, 2, 3)}
+    assert len(maps) > 1
+    overlaps = {flows.als_evaluation(indexed, n=3, max_iter=2, seed=s).collect()[0]["overlap"] for s in (1, 2)}
+    assert all(0 < o < 1 for o in overlaps)
+
+
+def test_recency_evaluation_inside_the_range(split):
+    row = flows.recency_evaluation(split, threshold=0.1, max_iter=3).collect()[0]
+    assert 0 < row["auc"] < 1 and row["positives"] > 0 and row["negatives"] > 0
+    events = flows.recency_evaluation(split, threshold=0.1, per_event=True, max_iter=3).collect()[0]
+    assert (events["positives"], events["negatives"]) == (row["positives"], row["negatives"])
 
 
 def test_evaluator_auc_close_to_exact(spark):

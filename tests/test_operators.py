@@ -232,25 +232,35 @@ def test_ranking_metrics_textbook_options(spark):
     assert m["ndcg"] == pytest.approx(1 / (1 + 1 / math.log2(3)))
 
 
-def test_popularity_large_k_path(spark, monkeypatch):
-    import cadenza.operators.popularity as pop
+def test_popularity_any_k(spark):
     ev = spark.createDataFrame([(u, f"i{(u * 7 + j) % 23}") for u in range(40) for j in range(u % 5 + 1)],
                                "user_id long, recording_mbid string")
     counts = interaction_counts(ev)
-    small = rows(popularity_topk(counts, beta=3, k=10))
-    monkeypatch.setattr(pop, "LIMIT_TOPK_MAX", 5)
-    assert rows(pop.popularity_topk(counts, beta=3, k=10)) == small
+    every = sorted(rows(popularity_topk(counts, beta=3, k=1000), "position", "recording_mbid"))
+    assert [p for p, _ in every] == list(range(1, 24))
+    assert sorted(rows(popularity_topk(counts, beta=3, k=10), "position", "recording_mbid")) == every[:10]
 
 
-def test_top_n_large_n_path(spark):
-    df = spark.createDataFrame([(u % 3, i, float((i * 37) % 11)) for u in range(6) for i in range(40)],
+def test_top_n_of_a_hot_user(spark):
+    df = spark.createDataFrame([(u % 3 if u < 6 else 0, i, float((i * 37) % 11)) for u in range(20)
+                                for i in range(40)],
                                "user_id long, recording_mbid_index long, rating double")
-    small = rows(top_n_per_user(df, "rating", 7))
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
-    try:
-        assert rows(top_n_per_user(df, "rating", 7)) == small
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    for n in (1, 7, 500, 2000):  # below and above Spark's own limit on partial cuts
+        want = {}
+        for r in df.collect():
+            want.setdefault(r[0], []).append((-r[2], r[1]))
+        want = sorted((u, i, k + 1) for u, own in want.items() for k, (_, i) in enumerate(sorted(own)[:n]))
+        got = rows(top_n_per_user(df, "rating", n), "user_id", "recording_mbid_index", "rank")
+        assert sorted(got) == want
+
+
+@pytest.mark.parametrize("largest", [1, 5, 4095, 4096, 4097, 20000])
+def test_ideal_dcg(spark, largest):
+    from cadenza.operators import ideal_dcg
+    ns = sorted({1, largest, max(1, largest // 2)})
+    got = dict(rows(ideal_dcg(spark.createDataFrame([(n,) for n in ns], "n_actual long"))))
+    for n in ns:
+        assert got[n] == pytest.approx(sum(1 / math.log2(i + 1) for i in range(1, n + 1)), rel=1e-12)
 
 
 def _brute_sample(df, fraction, seed, keys):
@@ -263,11 +273,29 @@ def _brute_sample(df, fraction, seed, keys):
     return sorted((tuple(int(x) for x in r) for r in pdf.head(m)[keys].values), key=repr)
 
 
-def test_sample_band_and_fallback_paths(spark, monkeypatch):
-    import cadenza.operators.sampling as smp
+@pytest.mark.parametrize("fraction", [0.0, 0.0001, 0.1, 0.3, 0.9999, 1.0])
+def test_sample_matches_full_sort(spark, fraction):
     df = spark.createDataFrame([(u, i) for u in range(200) for i in range(60)], "u long, i long")
-    want = _brute_sample(df, 0.3, 42, ["u", "i"])
-    assert rows(sample_fraction(df, 0.3, 42)) == want  # band path
-    monkeypatch.setattr(smp, "_MARGIN", 0.0)
-    monkeypatch.setattr(smp, "_ACCURACY", 10)
-    assert rows(smp.sample_fraction(df, 0.3, 42)) == want  # bounds miss: full ordering
+    assert rows(sample_fraction(df, fraction, 42)) == _brute_sample(df, fraction, 42, ["u", "i"])
+    assert sample_fraction(df.limit(0), fraction, 42).count() == 0
+
+
+def test_bernoulli_sample_size(spark):
+    df = spark.range(20_000)
+    got = sample_fraction(df, 0.1, 42, exact=False)
+    assert 1700 <= got.count() <= 2300  # 2000 expected, 42 is one standard deviation
+    assert rows(got) == rows(sample_fraction(df, 0.1, 42, exact=False))
+    assert got.distinct().count() == got.count()
+
+
+def test_unseen_held_out_items_stay_in_the_truth(spark):
+    from cadenza.plans.flows import bias_evaluation, index_halves
+    schema = "user_id long, recording_mbid string, rating double"
+    train = spark.createDataFrame([(1, "a", 1.0), (9, "b", 2.0)] * 20, schema)
+    held = spark.createDataFrame([(1, "a", 3.0), (1, "new1", 2.0), (1, "new2", 1.0),
+                                  (2, "new3", 1.0), (2, "new4", 2.0)], schema)
+    data = index_halves(train, held)
+    assert rows(data.validation, "user_id", "recording_mbid_index") == [(1, 0), (1, 2), (1, 3), (2, 4), (2, 5)]
+    row = bias_evaluation(data, fraction=1.0).collect()[0]
+    # every pair is scored, so both users' lists hold their whole truth
+    assert (row["users"], row["list_map"]) == (2, 1.0)

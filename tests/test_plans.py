@@ -28,6 +28,14 @@ def test_no_cartesian_join_and_no_python(spark, name):
     assert not re.search(FORBIDDEN, buf.getvalue())
 
 
+def test_no_ideal_gain_for_other_metrics(spark):
+    for name in ("average_precision", "precision_at_k"):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            QUERIES[name](spark, SF).explain()
+        assert not re.search(r"\bRange \(", buf.getvalue())
+
+
 def test_bench_prints_one_json_line():
     env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="4")
     out = subprocess.run([sys.executable, os.path.join(REPO, "bench.py")], env=env,

@@ -1,10 +1,19 @@
 """Skew-safe positions against the textbook window forms."""
 
+import contextlib
+import gc
+import io
+import os
+import re
+import time
+
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import global_index, range_rank, rank_within, running_totals
+from cadenza.operators.positions import global_index, rank_within
+from cadenza.session import ensure_checkpoint_dir
 from conftest import rows
 
 
@@ -22,11 +31,11 @@ def _events(spark, n=3000):
     return spark.createDataFrame(data, "user long, ts long, item string")
 
 
-@pytest.mark.parametrize("parts,hot", [(2, 100), (7, 100), (16, 100), (4, None), (5, 0)])
-def test_rank_within_matches_row_number(spark, parts, hot):
+@pytest.mark.parametrize("parts", [1, 2, 7, 16, None])
+def test_rank_within_matches_row_number(spark, parts):
     df = _events(spark)
     order = [F.col("ts").asc(), F.col("item").asc()]
-    got = rank_within(df, ["user"], order, "rn", "n", num_partitions=parts, hot_rows=hot)
+    got = rank_within(df, ["user"], order, "rn", "n", num_partitions=parts)
     w = Window.partitionBy("user").orderBy(*order)
     want = (df.withColumn("rn", F.row_number().over(w).cast("long"))
             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("user"))))
@@ -41,7 +50,7 @@ def test_rank_within_matches_row_number(spark, parts, hot):
 def test_rank_within_hot_group_is_split(spark):
     df = _events(spark, 6000)
     order = [F.col("ts").asc(), F.col("item").asc()]
-    got = rank_within(df, ["user"], order, "rn", num_partitions=8, hot_rows=500)
+    got = rank_within(df, ["user"], order, "rn", num_partitions=8)
     hot = got.where(F.col("user") == 0)
     assert sorted(r[0] for r in hot.select("rn").collect()) == list(range(1, 2001))
 
@@ -55,22 +64,51 @@ def test_global_index_is_dense_rank(spark, parts):
     assert {r[0] for r in got.select("total").collect()} == {items.count()}
 
 
-def test_running_totals(spark):
-    df = spark.createDataFrame([(i * 0.5, i % 4) for i in range(500)], "s double, v long")
-    got = running_totals(df, [F.col("s")], ["v"], num_partitions=6)
-    w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    want = df.withColumn("before_v", F.coalesce(F.sum("v").over(w), F.lit(0)))
-    assert rows(got) == rows(want)
-
-
-def test_range_rank_all_groups(spark):
-    df = _events(spark, 1000)
-    order = [F.col("ts").asc(), F.col("item").asc()]
-    got = range_rank(df, ["user"], order, "rn", num_partitions=5)
-    w = Window.partitionBy("user").orderBy(*order)
-    want = df.withColumn("rn", F.row_number().over(w).cast("long"))
-    key = lambda d: rows(d.groupBy("user", "ts", "item").agg(F.sort_array(F.collect_list("rn"))))
-    assert key(got) == key(want)
+def _same_plan_shape(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return re.sub(r"#\d+L?|\[plan_id=\d+\]|\[id=\d+\]|\d+", "", buf.getvalue())
+
+
+def test_one_path_whatever_the_group_size(spark):
+    # a map column is carried along; ordering by it is rejected at once
+    def events(per_user):
+        return spark.range(3 * per_user).select(
+            (F.col("id") % 3).alias("user"), (F.col("id") * 7 % per_user).alias("ts"),
+            F.create_map(F.lit("k"), F.col("id")).alias("props"))
+
+    ranked = [rank_within(events(n), ["user"], [F.col("ts")], "rn", "n") for n in (5, 50_000)]
+    assert _same_plan_shape(ranked[0]) == _same_plan_shape(ranked[1])
+    for df, n in zip(ranked, (5, 50_000)):
+        got = df.groupBy("user").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn"), F.max("n"),
+                                     F.max(F.col("rn") - F.col("ts")), F.max("props.k").alias("k"))
+        assert {tuple(r)[1:6] for r in got.collect()} == {(1, n, n, n, 1)}
+    with pytest.raises(AnalysisException):
+        rank_within(events(5), ["user"], [F.col("props")], "rn")
+
+
+def test_stored_layouts_are_deleted_when_unused(spark):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def collected():
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
+
+    collected()
+    df = rank_within(_events(spark, 500), ["user"], [F.col("ts"), F.col("item")], "rn")
+    derived = df.where("rn > 1").select("rn")
+    del df
+    collected()
+    assert derived.count() > 0  # still read, so still there
+    stored = sum(len(names) for _, _, names in os.walk(folder))
+    del derived
+    for _ in range(20):
+        collected()
+        if sum(len(names) for _, _, names in os.walk(folder)) < stored:
+            return
+    raise AssertionError("stored layout was not deleted")
 
 
 def test_empty_input(spark):
@@ -89,6 +127,6 @@ def test_identical_copies_are_split(spark):
     biggest = laid.groupBy(PID).count().agg(F.max("count")).first()[0]
     assert biggest < 1000  # the 1,500 copies do not share one partition
     got = rank_within(df, ["user"], [F.col("ts"), F.col("item")], "rn", "n",
-                      num_partitions=8, hot_rows=100)
+                      num_partitions=8)
     hot = sorted(r[0] for r in got.where("user = 0").select("rn").collect())
     assert hot == list(range(1, 1501))

@@ -56,7 +56,8 @@ def single_partition_sizes(plan: str) -> list[str]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else "PLANS.md"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, conf={
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     rows = []
     for name, fn in QUERIES.items():
         plan = final_plan(fn(spark, sf))

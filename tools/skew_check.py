@@ -2,11 +2,10 @@
 
 Builds interactions from the test tables with every third order's events moved to
 user 0, numbers each user's events (a) with the plain window and (b) with
-``rank_within`` (hot-group path forced by a low threshold), checks that both give
-the same numbers, and reports the largest number of shuffle records any single
+``rank_within``, checks that both give the same numbers, and reports the largest number of shuffle records any single
 task read in each run (from Spark's event log in a scratch folder).
 
-usage: python tools/skew_check.py [sf_dir] [hot_rows]
+usage: python tools/skew_check.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -50,9 +49,9 @@ def max_task_records(log_dir: str, job_group: str) -> int:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    hot_rows = int(sys.argv[2]) if len(sys.argv) > 2 else 20000
     log_dir = tempfile.mkdtemp(prefix="cz-skew-")
     spark = build_session("local[8]", shuffle_partitions=8, conf={
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.eventLog.compress": "false",
         # show raw partition sizes (AQE would merge these small partitions by bytes)
@@ -71,7 +70,7 @@ def main() -> None:
     plain = window_rank(skewed, ["user_id"], order, "rn", "n")
     plain.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("ranked", "rank_within")
-    ranked = rank_within(skewed, ["user_id"], order, "rn", "n", hot_rows=hot_rows)
+    ranked = rank_within(skewed, ["user_id"], order, "rn", "n")
     ranked.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("verify", "comparison")
 
@@ -81,7 +80,7 @@ def main() -> None:
     same = numbers(plain) == numbers(ranked)
     spark.stop()
     print(json.dumps({
-        "rows": total, "hot_user_rows": hot, "hot_rows_threshold": hot_rows,
+        "rows": total, "hot_user_rows": hot,
         "results_equal": same,
         "max_task_shuffle_records_plain_window": max_task_records(log_dir, "plain"),
         "max_task_shuffle_records_rank_within": max_task_records(log_dir, "ranked"),
