@@ -12,11 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import add_columns, code_points, mix64, text_slices
+from cadenza.llm.common import add_columns, code_points, mix64, slices, text_slices
 
 BUCKETS = 1 << 13
 ORDERS = (2, 3)
@@ -62,9 +62,11 @@ def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> Langu
     def count(batches):
         tables: dict[str, np.ndarray] = {}
         documents: dict[str, int] = {}
-        for batch in batches:
-            for label, own in batch.groupby("label")["text"]:
-                texts = own.tolist()
+        for batch in slices(batches):
+            by_label: dict[str, list[str]] = {}
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
+                by_label.setdefault(label, []).append(text)
+            for label, texts in by_label.items():
                 table = tables.setdefault(label, np.zeros(BUCKETS, dtype=np.int64))
                 documents[label] = documents.get(label, 0) + len(texts)
                 for a, b in text_slices(texts, SLICE_CHARS):
@@ -72,11 +74,11 @@ def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> Langu
                         table += np.bincount(_grams(texts[a:b], order)[0], minlength=BUCKETS)
         for label, table in tables.items():
             at = np.flatnonzero(table)
-            yield pd.DataFrame({"label": label, "bucket": at.astype(np.int32), "n": table[at]})
-            yield pd.DataFrame({"label": [label], "bucket": np.array([-1], dtype=np.int32),
-                                "n": [documents[label]]})
+            yield pa.RecordBatch.from_pydict({  # bucket -1 holds the number of texts
+                "label": [label] * (len(at) + 1), "bucket": np.append(at, -1).astype(np.int32),
+                "n": np.append(table[at], documents[label])})
 
-    cells = (rows.mapInPandas(count, "label string, bucket int, n long")
+    cells = (rows.mapInArrow(count, "label string, bucket int, n long")
              .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
     by_label = (cells.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
                 .orderBy("label").limit(MAX_LABELS + 1).collect())

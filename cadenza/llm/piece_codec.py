@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import add_columns
 
 MARK = "▁"
-CACHE_ENTRIES = 400_000  # remembered cuts per Python worker
+CACHE_ENTRIES = 200_000  # remembered cuts per Python worker, in each of two generations
 CACHE_CHARS = 48  # longer cuts are encoded each time
-PAIR_ENTRIES = 1_000_000
+PAIR_ENTRIES = 500_000
 
 
 class Vocabulary:
