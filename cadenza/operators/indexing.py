@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import global_index
+from cadenza.operators.positions import global_index, pin
 
 
 def fit_item_index(df: DataFrame, item_col: str = "recording_mbid",
@@ -37,9 +37,11 @@ def extend_item_index(index: DataFrame, held_out: DataFrame, item_col: str = "re
     they stay in the truth of an evaluation, and models score them as unknown.
     """
     known = index.select(item_col, index_col)
-    unseen = held_out.select(item_col).distinct().join(
+    unseen = pin(held_out.select(item_col).distinct().join(
         known.withColumnRenamed(item_col, "_cz_known"),
-        F.col(item_col).eqNullSafe(F.col("_cz_known")), "left_anti")
+        F.col(item_col).eqNullSafe(F.col("_cz_known")), "left_anti"))
+    if unseen.isEmpty():
+        return known
     start = known.agg(F.coalesce(F.max(index_col) + 1, F.lit(0))).first()[0]
     added = global_index(unseen, [F.col(item_col).asc_nulls_first()], index_col)
     return known.union(added.select(item_col, (F.col(index_col) + F.lit(start)).alias(index_col)))
