@@ -24,6 +24,7 @@ SHINGLE = 16
 SCALE = 16
 HASH_BITS = 40
 SLICE_CHARS = 500_000
+BINS = 4096  # of the histogram of ids
 _BASE = 0x9E3779B97F4A7C15
 _NONE = np.zeros(0, dtype=np.uint64)
 
@@ -77,23 +78,45 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
+def _id_group(rows: DataFrame, groups: int):
+    """Number of each id's group, never falling as ``id`` grows (null: 0).
+
+    Ids fall into ``BINS`` ranges of equal width; their counts decide how many
+    groups each range is cut into, again by equal width.
+    """
+    low, high = rows.agg(F.min("id"), F.max("id")).first()
+    if low is None:
+        return F.lit(0)
+    span = float(high) - float(low) or 1.0
+    place = (F.col("id").cast("double") - F.lit(float(low))) / F.lit(span) * F.lit(float(BINS))
+    bin_of = F.least(F.floor(place), F.lit(BINS - 1)).cast("int")
+    counts = dict(rows.where("id is not null").groupBy(bin_of.alias("bin")).count().collect())
+    total = sum(counts.values())
+    start, cuts, below = [], [], 0
+    for k in range(BINS):
+        start.append(groups * below // total)
+        below += counts.get(k, 0)
+        cuts.append(max(1, groups * below // total - start[-1]))
+    table = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+    inside = F.least(F.floor((place - bin_of) * F.get(table(cuts), bin_of)), F.get(table(cuts), bin_of) - 1)
+    return F.when(F.col("id").isNull(), 0).otherwise((F.get(table(start), bin_of) + inside).cast("int"))
+
+
 def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows laid out so that each is followed by the next one of ``id_col`` order.
 
     Returns ``group``, ``ahead``, ``id`` and ``text``, sorted by these within
     every task: rows with ``ahead`` = 0 are the input; each group ends in a copy
     (``ahead`` = 1) of the row that follows it, after the last group of the
-    first row. Groups are ranges of ids cut at approximate quantiles, one shuffle
-    of the texts in all; what reaches the driver is one id per group. Null ids
-    come first, equal ids are ordered by text.
+    first row. Groups are ranges of ids with about equal numbers of rows, one
+    shuffle of the texts in all; what reaches the driver is a histogram of
+    ``BINS`` counts and one id per group. Null ids come first, equal ids are
+    ordered by text.
     """
     spark = df.sparkSession
     groups = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shares = [k / groups for k in range(1, groups)]
-    cuts = rows.agg(F.percentile_approx("id", shares, 100 * groups).alias("cuts")).first()["cuts"]
-    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast("array<bigint>")
-    rows = rows.withColumn("group", F.size(F.filter(cuts, lambda c: c < F.col("id"))))
+    rows = rows.withColumn("group", _id_group(rows, groups))
     first = sorted(rows.select("id", "group").groupBy("group")
                    .agg(F.min(F.struct("id")).alias("first")).collect())
     kind = rows.schema["id"].dataType
