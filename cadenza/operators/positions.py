@@ -80,14 +80,13 @@ def range_layout(df: DataFrame, order: Sequence[Column],
     """
     # A unique tiebreaker: rows equal on every ordering key (copies) would
     # otherwise all fall into one range partition, however many there are. The
-    # input partitions are sorted first (no shuffle) by the keys and a hash of
-    # the row, so that a recomputed map task assigns the same tiebreakers - rows
-    # that arrive from a shuffle come in a different order on every attempt.
+    # input partitions are sorted first (no shuffle) by a hash of the row, so that
+    # a recomputed map task assigns copies the same tiebreakers - rows that arrive
+    # from a shuffle come in a different order on every attempt.
     content = [F.col(f.name) for f in df.schema if _hashable(f.dataType)]
-    keys = [*order, F.col(_HASH).asc()]
-    stable = df.withColumn(_HASH, F.xxhash64(*content) if content else F.lit(0)).sortWithinPartitions(*keys)
-    salted = stable.withColumn(_SALT, F.monotonically_increasing_id())
-    keys.append(F.col(_SALT).asc())
+    hashed = df.withColumn(_HASH, F.xxhash64(*content) if content else F.lit(0))
+    salted = hashed.sortWithinPartitions(_HASH).withColumn(_SALT, F.monotonically_increasing_id())
+    keys = [*order, F.col(_HASH).asc(), F.col(_SALT).asc()]
     count = [num_partitions] if num_partitions else []
     ranged = salted.repartitionByRange(*count, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn(_MONO, F.monotonically_increasing_id())

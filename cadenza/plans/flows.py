@@ -87,7 +87,7 @@ def indexed_ratings(split: Split) -> Indexed:
 
 def index_halves(train: DataFrame, validation: DataFrame) -> Indexed:
     """Replace items by the index of ``train``, extended by unseen held-out items."""
-    index = pin(fit_item_index(train))
+    index = fit_item_index(train)
     every = extend_item_index(index, validation)
     return Indexed(pin(apply_item_index(train, index)), pin(apply_item_index(validation, every)), index)
 
