@@ -35,12 +35,16 @@ SLICE_BYTES = 8 << 20  # of an Arrow batch worked on at once in a Python worker
 
 
 def slices(batches):
-    """The rows of ``batches`` in pieces of about ``SLICE_BYTES``, one row at least."""
+    """The rows of ``batches`` in pieces of about ``SLICE_BYTES``, one row at least.
+
+    At the end Arrow's free memory is given back: workers outlive their tasks.
+    """
     for batch in batches:
         if batch.num_rows:
             step = max(1, int(SLICE_BYTES * batch.num_rows // max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, step):
                 yield batch.slice(start, step)
+    pa.default_memory_pool().release_unused()
 
 
 def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callable],

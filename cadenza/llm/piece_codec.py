@@ -28,7 +28,7 @@ from cadenza.llm.common import add_columns
 MARK = "▁"
 CACHE_ENTRIES = 200_000  # remembered cuts per Python worker, in each of two generations
 CACHE_CHARS = 48  # longer cuts are encoded each time
-PAIR_ENTRIES = 500_000
+PAIR_ENTRIES = 300_000
 
 
 class Vocabulary:
