@@ -6,8 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.operators import fit_item_index, ranking_metrics
+from cadenza.operators import fit_item_index
 from cadenza.plans import queries as Q
+from cadenza.plans.flows import popularity_metrics, rated_counts
 from conftest import rows
 
 SF = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables missi
 
 def test_split_conserves_and_orders(spark):
     clean = Q.clean(spark, SF)
-    s = Q.split(spark, SF)
+    s = Q.QUERIES["temporal_split"](spark, SF)
     assert rows(s.drop("is_train")) == rows(clean.where(F.col("user_id").isNotNull()))
     last_train = s.where("is_train").groupBy("user_id").agg(F.max("timestamp").alias("t"))
     first_val = s.where("not is_train").groupBy("user_id").agg(F.min("timestamp").alias("v"))
@@ -24,7 +25,7 @@ def test_split_conserves_and_orders(spark):
 
 
 def test_index_is_bijection(spark):
-    idx = fit_item_index(Q.rated_counts(Q.train(spark, SF)))
+    idx = fit_item_index(rated_counts(Q.split(spark, SF).train))
     n = idx.count()
     assert sorted(r[0] for r in idx.select("recording_mbid_index").collect()) == list(range(n))
     ordered = [r[0] for r in idx.orderBy("recording_mbid_index").select("recording_mbid").collect()]
@@ -32,7 +33,7 @@ def test_index_is_bijection(spark):
 
 
 def test_metric_bounds(spark):
-    m = ranking_metrics(Q.validation(spark, SF), Q.top_list(spark, SF), k=10)
+    m = popularity_metrics(Q.split(spark, SF))
     bad = m.where((F.col("ap") < 0) | (F.col("ap") > 1) | (F.col("pk") < 0) | (F.col("pk") > 1)
                   | (F.col("ndcg") < 0) | (F.col("ndcg") > 1))
     assert bad.count() == 0
@@ -51,14 +52,3 @@ def test_independent_of_shuffle_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b
-
-
-@pytest.mark.parametrize("name", ["temporal_split", "recency_weight"])
-def test_hot_path_equals_window_path(spark, name):
-    fn = Q.QUERIES[name]
-    try:
-        spark.conf.set("spark.cadenza.hotGroupRows", "5")  # nearly every user is hot
-        hot = rows(fn(spark, SF))
-    finally:
-        spark.conf.unset("spark.cadenza.hotGroupRows")
-    assert hot == rows(fn(spark, SF))
