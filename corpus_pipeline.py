@@ -85,7 +85,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; the last one's result is not written."""
+    """All stages on ``documents``; the last one's result is not written.
+
+    The tables between the stages stay in the shared folder: the result reads the
+    last of them, and the others let a later run start in the middle.
+    """
     folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
