@@ -86,10 +86,14 @@ def indexed_ratings(split: Split) -> Indexed:
 
 
 def index_halves(train: DataFrame, validation: DataFrame) -> Indexed:
-    """Replace items by the index of ``train``, extended by unseen held-out items."""
+    """Replace items by the index of ``train``, extended by unseen held-out items.
+
+    Both halves are stored first: the index is fitted on them and joined to them.
+    """
+    train, validation = pin(train), pin(validation)
     index = fit_item_index(train)
     every = extend_item_index(index, validation)
-    return Indexed(pin(apply_item_index(train, index)), pin(apply_item_index(validation, every)), index)
+    return Indexed(apply_item_index(train, index), apply_item_index(validation, every), index)
 
 
 def popularity_metrics(split: Split, beta: float = 100000, list_size: int = 100, k: int = 10,
