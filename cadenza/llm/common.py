@@ -17,10 +17,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ARROW_ROWS = 2_000  # of a batch sent to a Python worker while a table is stored
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and written to the shared checkpoint folder.
+
+    Rows with texts are long, so Arrow batches are kept small meanwhile; the
+    session's own setting is put back.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(_ROWS_KEY)
+    small = int(before) if 0 < int(before) < ARROW_ROWS else ARROW_ROWS
+    spark.conf.set(_ROWS_KEY, str(small))
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(_ROWS_KEY, before)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import add_columns
 
 MARK = "▁"
-CACHE_ENTRIES = 200_000  # remembered cuts per Python worker, in each of two generations
+CACHE_ENTRIES = 150_000  # remembered cuts per Python worker, in each of two generations
 CACHE_CHARS = 48  # longer cuts are encoded each time
 PAIR_ENTRIES = 300_000
 
