@@ -416,7 +416,12 @@ SQL_UNSEEN: dict[str, str] = {
         WHERE r.user_id IN (SELECT user_id FROM train)""",
 }
 
+# some of these over the whole train half as well
+SQL_WHOLE: dict[str, str] = {
+    f"whole_{name}": SQL_UNSEEN[name]
+    for name in ("overlap_mean_100", "als_predict", "als_overlap", "als_recency_auc")}
+
 ORACLE_SQL: dict[str, str] = {
-    **{name: _with(body) for name, body in SQL.items()},
+    **{name: _with(body) for name, body in {**SQL, **SQL_WHOLE}.items()},
     **{name: _with(body, unseen=True) for name, body in SQL_UNSEEN.items()},
 }

@@ -53,7 +53,7 @@ BETA = 100000
 RATIO = 0.8
 RATING_CUT = math.log(4)       # compressed rating of two plays
 RECENCY_CUT = math.exp(-2)     # recency weight of a user's third newest event
-LEFT_OUT = 7                   # the unseen_* queries train without items whose number it divides
+LEFT_OUT = 7                   # the unseen_* and als_* queries train without items whose number it divides
 
 
 def _r(col: str) -> F.Column:
@@ -279,14 +279,21 @@ def q_overlap_mean(spark, sf):
     return overlap_mean(_overlap(indexed(spark, sf), SMALL_N)).select(_r("overlap"))
 
 
-def q_overlap_mean_100(spark, sf):
+def _overlap_mean_seen(data):
     """Lists of up to 100 against the whole truth, with predictions for the items
     of the train half only (as a factor model drops the others)."""
-    data = unseen_indexed(spark, sf)
     seen = full_bias_scores(data).join(data.index.select("recording_mbid_index"), "recording_mbid_index")
     return overlap_mean(overlap_at_n(data.validation, seen, n=LIST_SIZE)).select(_r("overlap"))
 
 
+def q_overlap_mean_100(spark, sf):
+    return _overlap_mean_seen(unseen_indexed(spark, sf))
+
+
+def q_whole_overlap_mean_100(spark, sf):
+    return _overlap_mean_seen(indexed(spark, sf))
+
+
 def q_overlap_null_items(spark, sf):
     """Overlap where held-out items unseen in training have no number at all."""
     halves = unseen_split(spark, sf)
@@ -336,11 +343,12 @@ def q_auc_exact(spark, sf):
 
 
 # ---- factor models: SQL checks what does not depend on the fit -------------
+# als_* train without the left-out items, whole_als_* on every train row
 
-def q_als_predict(spark, sf):
+def _als_rows(data):
     """Scored held-out pairs, and whether each score is the dot product of the
     stored non-negative factors of its user and item."""
-    model, scores = flows.als_scores(unseen_indexed(spark, sf))
+    model, scores = flows.als_scores(data)
     factors = (scores.join(model.user_factors().withColumnRenamed("features", "uf"), "user_id")
                .join(model.item_factors().withColumnRenamed("features", "vf"), "recording_mbid_index"))
     product = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")),
@@ -351,23 +359,70 @@ def q_als_predict(spark, sf):
         (F.abs(F.col("prediction") - product) < 1e-5).alias("is_product"))
 
 
-def q_als_overlap(spark, sf):
-    """Per user the length of the paired lists (cold pairs dropped from the
-    predictions, not from the truth) and whether the overlap lies within it."""
-    data = unseen_indexed(spark, sf)
+def q_als_predict(spark, sf):
+    return _als_rows(unseen_indexed(spark, sf))
+
+
+def q_whole_als_predict(spark, sf):
+    return _als_rows(indexed(spark, sf))
+
+
+def _als_lists(data):
+    """Per user the paired lists (cold pairs dropped from the predictions, not
+    from the truth)."""
     _, scores = flows.als_scores(data)
-    found = overlap_at_n(data.validation, scores, n=SMALL_N)
-    return found.select("user_id", "true_count",
-                        F.col("common_count").between(0, F.col("true_count")).alias("within"))
+    return overlap_at_n(data.validation, scores, n=SMALL_N)
 
 
-def q_als_recency_auc(spark, sf):
+def _als_within(data):
+    """Per user the length of the paired lists and whether the overlap lies within it."""
+    return _als_lists(data).select(
+        "user_id", "true_count", F.col("common_count").between(0, F.col("true_count")).alias("within"))
+
+
+def q_als_overlap(spark, sf):
+    return _als_within(unseen_indexed(spark, sf))
+
+
+def q_whole_als_overlap(spark, sf):
+    return _als_within(indexed(spark, sf))
+
+
+def _als_auc(halves):
+    return flows.recency_evaluation(halves, threshold=RECENCY_CUT - 1e-9)
+
+
+def _als_auc_defined(halves):
     """Label counts of the scored held-out events and whether the AUC is defined."""
-    auc = flows.recency_evaluation(unseen_split(spark, sf), threshold=RECENCY_CUT - 1e-9)
-    return auc.select("positives", "negatives", F.col("auc").between(0.0, 1.0).alias("auc_defined"))
+    return _als_auc(halves).select(
+        "positives", "negatives", F.col("auc").between(0.0, 1.0).alias("auc_defined"))
+
+
+def q_als_recency_auc(spark, sf):
+    return _als_auc_defined(unseen_split(spark, sf))
+
+
+def q_whole_als_recency_auc(spark, sf):
+    return _als_auc_defined(split(spark, sf))
+
+
+def als_overlap_values(spark, sf):
+    """Per user the overlap of the model of all train rows."""
+    return _als_lists(indexed(spark, sf))
+
+
+def als_recency_auc_value(spark, sf):
+    """AUC of the recency model of all train rows."""
+    return _als_auc(split(spark, sf))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
+
+# what the fit decides: no statement in SQL, the rows only
+FIT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "als_overlap_values": als_overlap_values,
+    "als_recency_auc_value": als_recency_auc_value,
+}

@@ -76,3 +76,53 @@ def test_evaluator_auc_close_to_exact(spark):
                                "prediction double, label double")
     exact = exact_auc(df).collect()[0]["auc"]
     assert evaluator_auc(df) == pytest.approx(exact, abs=5e-3)
+
+
+def test_factor_queries_use_every_train_row(spark, split, indexed):
+    predicted = Q.QUERIES["whole_als_predict"](spark, SF)
+    users = indexed.train.select("user_id").distinct()
+    scorable = indexed.validation.join(users, "user_id").join(
+        indexed.index.select("recording_mbid_index"), "recording_mbid_index")
+    assert predicted.count() == scorable.count() > Q.QUERIES["als_predict"](spark, SF).count()
+
+
+def test_factor_values_recomputed_from_stored_scores(spark, split, indexed, monkeypatch):
+    import duckdb
+
+    kept = {}
+
+    def once(name):
+        fit = getattr(flows, name)
+
+        def call(*args, **params):
+            out = fit(*args, **params)
+            scores = (out[1] if isinstance(out, tuple) else out).localCheckpoint()
+            kept[name] = scores.toPandas()
+            return (out[0], scores) if isinstance(out, tuple) else scores
+        return call
+
+    for name in ("als_scores", "recency_scores"):
+        monkeypatch.setattr(flows, name, once(name))
+    monkeypatch.setattr(Q, "indexed", lambda *_: indexed)
+    monkeypatch.setattr(Q, "split", lambda *_: split)
+    got = Q.FIT_QUERIES["als_overlap_values"](spark, SF).collect()
+    auc = Q.FIT_QUERIES["als_recency_auc_value"](spark, SF).collect()[0]
+    truth, scores = indexed.validation.toPandas(), kept["als_scores"]  # noqa: F841
+    want = duckdb.sql("""
+        WITH t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC,
+                       recording_mbid_index) AS k FROM truth QUALIFY k <= 5),
+             p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC,
+                       recording_mbid_index) AS k FROM scores QUALIFY k <= 5),
+             r AS (SELECT t.user_id, t.recording_mbid_index AS a, p.recording_mbid_index AS b
+                   FROM t JOIN p USING (user_id, k))
+        SELECT user_id, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM r o
+                   WHERE o.user_id = r.user_id AND o.b = r.a)), count(*) FROM r GROUP BY user_id""").fetchall()
+    assert sorted((r["user_id"], r["common_count"], r["true_count"]) for r in got) == sorted(want)
+    labelled = kept["recency_scores"]  # noqa: F841
+    pos, neg, value = duckdb.sql("""
+        WITH s AS (SELECT prediction AS s, label = 1 AS p FROM labelled)
+        SELECT (SELECT count(*) FROM s WHERE p), (SELECT count(*) FROM s WHERE NOT p),
+               avg(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0.0 END)
+        FROM s a, s b WHERE a.p AND NOT b.p""").fetchall()[0]
+    assert (auc["positives"], auc["negatives"]) == (pos, neg)
+    assert auc["auc"] == pytest.approx(value, abs=1e-9)
