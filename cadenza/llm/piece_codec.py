@@ -20,6 +20,7 @@ import hashlib
 import re
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -245,13 +246,14 @@ def _vocabulary(model_path: str) -> Vocabulary:
 
 
 def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", keep=("doc_id",),
-                  with_text: bool = False) -> DataFrame:
+                  with_text: bool = False, with_ids: bool = False) -> DataFrame:
     """Encode and decode ``text_col`` of every row with the model at ``model_path``.
 
     Returns the ``keep`` columns and ``n_tokens`` (all ids, end id included),
     ``ids`` (decimal, joined by one space) and ``decoded``; without ``with_text``
     the last two are replaced by their SHA-256 digests ``ids_sha256`` and
-    ``decoded_sha256``, made in the worker so that neither leaves it. A null or
+    ``decoded_sha256``, made in the worker so that neither leaves it; ``with_ids`` adds the ids beside
+    the digests, as numbers (``ids``, array<int>). A null or
     empty text has the end id alone and decodes to the empty text. Repeated rows
     are kept; other columns are not read. The vocabulary (a fixed file) is sent
     to the workers once; rows never shuffle.
@@ -259,6 +261,8 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", keep=(
     shared = df.sparkSession.sparkContext.broadcast(_vocabulary(model_path))
     fields = ("n_tokens long, ids string, decoded string" if with_text
               else "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    if with_ids and not with_text:
+        fields += ", ids array<int>"
 
     def digest(text: str) -> str:
         return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
@@ -269,8 +273,11 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", keep=(
         def compute(texts):
             both = [codec.round_trip(t or "") for t in texts]
             out = both if with_text else [(digest(ids), digest(text)) for ids, text in both]
-            return ([ids.count(" ") + 1 for ids, _ in both],
+            made = ([ids.count(" ") + 1 for ids, _ in both],
                     [ids for ids, _ in out], [text for _, text in out])
+            if with_ids and not with_text:
+                made += ([np.fromstring(ids, dtype=np.int32, sep=" ") for ids, _ in both],)
+            return made
 
         return compute
 

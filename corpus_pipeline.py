@@ -68,8 +68,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document and whether they decode to digests of the text."""
-    return encode_decode(docs, tokenizer_path(), keep=("doc_id", "lang", "source"))
+    """The encoded corpus: token ids of every document, their number, and SHA-256
+    digests of the ids and of the text they decode to. The copies that mixing made
+    of a document are equal rows.
+    """
+    return encode_decode(docs, tokenizer_path(), keep=("doc_id", "lang", "source"), with_ids=True)
 
 
 STAGES = [

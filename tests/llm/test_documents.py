@@ -309,6 +309,22 @@ def test_pipeline_run(spark):
     assert got.count() > 0
 
 
+def test_pipeline_returns_the_token_ids(spark):
+    import sentencepiece
+    from cadenza.llm.queries import tokenizer_path
+
+    texts = {1: "the house of the others", 2: "", 3: None, 4: "日本🙂 x  \n y"}
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts.items()],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    got = {r["doc_id"]: r for r in corpus_pipeline.encode(spark, docs, "").collect()}
+    for i, text in texts.items():
+        assert got[i]["ids"] == library.encode(text or "", add_eos=True)
+        joined = " ".join(map(str, got[i]["ids"]))
+        assert got[i]["n_tokens"] == len(got[i]["ids"])
+        assert got[i]["ids_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def test_pipeline_on_empty_documents(spark):
     rows = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
