@@ -55,6 +55,7 @@ def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> Langu
     """Count n-grams by label over every row with a label and a text.
 
     Rows with a null label or text are not learned from; None without any row.
+    More than ``MAX_LABELS`` different labels fail with a ValueError.
     """
     rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))

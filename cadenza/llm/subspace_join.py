@@ -242,7 +242,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     """One row per row: ``id_col``, ``n_links``, ``component_id`` and ``kept``.
 
     Vectors are linked when their cosine in double precision is at least
-    ``threshold``; only vectors of equal length are compared. A vector that is
+    ``threshold``; only vectors of equal length are compared, and more than
+    ``MAX_SIZES`` different lengths fail with a ValueError. A vector that is
     null, empty or zero or holds a null or non-finite component links with
     nothing, nor does one without an id. Equal vectors are one class, so that
     copies are counted but not compared; repeated rows count as vectors of their
