@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table, stored
-from cadenza.llm import html_extract, hyperminhash, lang_bayes, poisson_mix, quality_rank, scaled_sketch, secret_markov, subspace_join, toxic_viterbi
+from cadenza.llm import byte_codec, html_extract, hyperminhash, lang_bayes, poisson_mix, quality_rank, scaled_sketch, secret_markov, subspace_join, toxic_viterbi
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -82,6 +82,11 @@ def op10_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_codec.encode_decode(read_table(spark, sf_dir, "documents"),
+                                    tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_suffix_array": op1_html_suffix_array,
     "op2_sentencepiece": op2_sentencepiece,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_poisson_mix": op8_poisson_mix,
     "op9_toxic_viterbi": op9_toxic_viterbi,
     "op10_quality_rank": op10_quality_rank,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
