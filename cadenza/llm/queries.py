@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import read_table, stored
-from cadenza.llm import byte_codec, centroid_clusters, html_extract, hyperminhash, lang_bayes, poisson_mix, quality_rank, scaled_sketch, secret_markov, subspace_join, toxic_viterbi
+from cadenza.llm import byte_codec, centroid_clusters, html_extract, hyperminhash, lang_bayes, poisson_mix, quality_rank, scaled_sketch, secret_markov, segment_resampling, subspace_join, toxic_viterbi
 from cadenza.llm.piece_codec import encode_decode
 
 
@@ -82,6 +82,11 @@ def op10_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op11_segment_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_resampling.resample(read_table(spark, sf_dir, "documents"),
+                                       read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.summary_columns(
         centroid_clusters.cluster(read_table(spark, sf_dir, "embeddings")))
@@ -103,11 +108,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_poisson_mix": op8_poisson_mix,
     "op9_toxic_viterbi": op9_toxic_viterbi,
     "op10_quality_rank": op10_quality_rank,
+    "op11_segment_resampling": op11_segment_resampling,
     "op12_centroid_clusters": op12_centroid_clusters,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_poisson_mix": poisson_mix.oracle_sql(),
+    "op11_segment_resampling": segment_resampling.oracle_sql(),
     "op12_centroid_clusters": centroid_clusters.oracle_sql(),
 }
