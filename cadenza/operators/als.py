@@ -38,6 +38,9 @@ class RatingModel:
     items: DataFrame  # item_col, _cz_item_index (int)
     user_col: str
     item_col: str
+    reg: float = 0.0
+    nonnegative: bool = True
+    implicit: bool = False
 
     def user_factors(self) -> DataFrame:
         """``user_col``, ``features``."""
@@ -87,7 +90,62 @@ def als_fit(ratings: DataFrame, user_col: str = "user_id",
         nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,
         coldStartStrategy="drop", checkpointInterval=checkpoint_interval,
     )
-    return RatingModel(als.fit(data), users, items, user_col, item_col)
+    return RatingModel(als.fit(data), users, items, user_col, item_col, reg, nonnegative, implicit)
+
+
+GRADIENT_TOLERANCE = 1e-3
+
+
+def als_optimality(model: RatingModel, ratings: DataFrame, rating_col: str = "rating",
+                   tolerance: float = GRADIENT_TOLERANCE) -> DataFrame:
+    """Per user of the training ``ratings``: ``n_ratings``, ``violation``, ``optimal``.
+
+    The trainer's last half step solves, with the item factors y fixed, for every user
+    the least squares sum (x.y - r)^2 + reg * n * |x|^2 over x >= 0. Its solution is
+    characterised by the gradient g = sum (x.y - r) y + reg * n * x: zero in every
+    component where x is positive and not negative where x is zero (zero everywhere
+    without the sign constraint). ``violation`` is the largest excess over that, as a
+    share of the sum of the absolute terms of its component; ``optimal`` says that it
+    is at most ``tolerance`` (factors are stored as 32-bit floats and the trainer's
+    inner solver stops at a small step).
+
+    One grouped sum with map-side partial sums, so a hot user is added up by many
+    tasks: rank + 1 doubles per user are shuffled, never outer products. Rows with a
+    null user, item or rating are left out, as in the fit. Explicit feedback only.
+    """
+    if model.implicit:
+        raise ValueError("the check covers explicit feedback")
+    rank = model.model.rank
+    data = ratings.select(model.user_col, model.item_col,
+                          F.col(rating_col).cast("float").cast("double").alias("_cz_r")).dropna()
+    rows = (data.join(model.item_factors().withColumnRenamed("features", "_cz_y"), model.item_col)
+            .join(model.user_factors().withColumnRenamed("features", "_cz_x"), model.user_col))
+
+    def part(col, j):
+        return F.col(col)[j].cast("double")
+
+    product = sum((part("_cz_x", j) * part("_cz_y", j) for j in range(rank)), F.lit(0.0))
+    rows = rows.withColumn("_cz_p", product)
+    error = F.col("_cz_p") - F.col("_cz_r")
+    size = F.abs("_cz_p") + F.abs("_cz_r")
+    sums = rows.groupBy(model.user_col).agg(
+        F.count(F.lit(1)).alias("n_ratings"), F.any_value("_cz_x").alias("_cz_x"),
+        F.array(*(F.sum(error * part("_cz_y", j)) for j in range(rank))).alias("_cz_g"),
+        F.array(*(F.sum(size * F.abs(part("_cz_y", j))) for j in range(rank))).alias("_cz_m"))
+    weight = F.lit(float(model.reg)) * F.col("n_ratings")
+
+    def excess(j):
+        x = part("_cz_x", j)
+        g = F.col("_cz_g")[j] + weight * x
+        whole = F.col("_cz_m")[j] + weight * F.abs(x)
+        off = F.when((x > 0) | F.lit(not model.nonnegative), F.abs(g)).otherwise(F.greatest(-g, F.lit(0.0)))
+        # a negative factor breaks the constraint itself
+        broken = F.lit(model.nonnegative) & (x < 0)
+        return F.when(broken, F.lit(1.0)).when(whole > 0, off / whole).otherwise(F.lit(0.0))
+
+    violation = F.greatest(*map(excess, range(rank))) if rank > 1 else excess(0)
+    return sums.select(model.user_col, "n_ratings", violation.alias("violation"),
+                       (violation <= tolerance).alias("optimal"))
 
 
 def als_predict(model: RatingModel, pairs: DataFrame, out: str = "prediction") -> DataFrame:

@@ -5,8 +5,10 @@
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N)
 
 Scores are first aggregated to one row per distinct score (map-side partial
-counts). ``neg(< s)`` is a running sum inside each of ``BUCKETS`` score ranges, cut
-at approximate quantiles of the distinct scores, plus one offset per range. Every term is a multiple
+counts). ``neg(< s)`` is a two-level prefix sum: a running sum inside each of several
+score ranges plus one offset per range. Ranges are cut at approximate quantiles of the
+distinct scores and their number follows the number of scores, so a range holds about
+``RANGE_SCORES`` of them however many there are. Every term is a multiple
 of 1/2, so the sum is exact in double precision up to 2^52 pairs.
 
 ``evaluator_auc`` is MLlib's ``BinaryClassificationEvaluator`` (binned, so
@@ -16,12 +18,23 @@ approximate on many distinct scores), kept for parity with that evaluator.
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.operators.positions import pin
 
-BUCKETS = 64
+RANGE_SCORES = 1 << 18  # distinct scores that one task sums up, give or take the summary's error
+
+
+def _cuts_below(value: Column, cuts: list[float]) -> Column:
+    """How many of the sorted ``cuts`` lie below ``value``, by halving."""
+    if not cuts:
+        return F.lit(0)
+    table = F.array(*map(F.lit, cuts))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))))
+    # at + step cuts lie below if the last of them does
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+        F.get(table, at + step - 1) < value, step).otherwise(0))
 
 
 def exact_auc(df: DataFrame, score_col: str = "prediction", label_col: str = "label") -> DataFrame:
@@ -33,19 +46,20 @@ def exact_auc(df: DataFrame, score_col: str = "prediction", label_col: str = "la
         F.sum(F.when(is_pos, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(is_pos, 0).otherwise(1)).cast("bigint").alias("neg"),
     ))
-    shares = [k / BUCKETS for k in range(1, BUCKETS)]
-    cuts = per_score.agg(F.percentile_approx("_cz_s", shares, 100 * BUCKETS)).first()[0] or []
-    bucket = F.lit(0)
-    for cut in sorted(set(cuts)):
-        bucket = bucket + F.when(F.col("_cz_s") > F.lit(cut), 1).otherwise(0)
-    placed = per_score.withColumn("_cz_b", bucket)
+    scores = per_score.count()
+    ranges = -(-scores // RANGE_SCORES)
+    cuts = []
+    if ranges > 1:
+        shares = [k / ranges for k in range(1, ranges)]
+        cuts = sorted(set(per_score.agg(F.percentile_approx("_cz_s", shares, 20 * ranges)).first()[0]))
+    placed = per_score.withColumn("_cz_b", _cuts_below(F.col("_cz_s"), cuts))
     earlier = Window.orderBy("_cz_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("_cz_b").agg(F.sum("neg").alias("_cz_n")).select(
         "_cz_b", F.coalesce(F.sum("_cz_n").over(earlier), F.lit(0)).alias("_cz_off"))
     inside = (Window.partitionBy("_cz_b").orderBy("_cz_s")
               .rowsBetween(Window.unboundedPreceding, -1))
     running = placed.withColumn("_cz_in", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-    # one row per range: at most BUCKETS
+    # one row per range: one in RANGE_SCORES of the distinct scores
     ordered = running.join(F.broadcast(offsets), "_cz_b").withColumn(
         "before_neg", F.col("_cz_off") + F.col("_cz_in"))
     totals = ordered.agg(

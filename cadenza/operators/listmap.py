@@ -11,26 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.topn import top_n_per_user
+from cadenza.operators.topn import two_lists
 
 
 def list_average_precision(predictions: DataFrame, truth: DataFrame, n: int = 100,
                            user_col: str = "user_id", item_col: str = "recording_mbid_index",
                            pred_score: str = "prediction", truth_score: str = "rating") -> DataFrame:
-    """Per user with predictions: ``ap``."""
-    p = top_n_per_user(predictions, pred_score, n, user_col, item_col).select(
-        user_col, item_col, "rank")
-    t = top_n_per_user(truth, truth_score, n, user_col, item_col).select(user_col, item_col)
-    # one row per truth item, with the length of its user's list (duplicates count)
-    length = F.count(F.lit(1)).over(Window.partitionBy(user_col))
-    t = t.withColumn("_cz_tlen", length).distinct()
-    by_rank = Window.partitionBy(user_col).orderBy("rank")
-    hits = (p.join(t, [user_col, item_col], "left")
-            .withColumn("_cz_hit", F.count("_cz_tlen").over(by_rank)))
-    gain = F.when(F.col("_cz_tlen").isNotNull(), F.col("_cz_hit") / F.col("rank"))
-    per_user = hits.groupBy(user_col).agg(F.sum(gain).alias("_cz_s"), F.max("_cz_tlen").alias("_cz_len"))
-    return per_user.select(
-        user_col, F.coalesce(F.col("_cz_s") / F.col("_cz_len"), F.lit(0.0)).alias("ap"))
+    """Per user with predictions: ``ap``.
+
+    Both lists are one tagged table laid out by user (``two_lists``); whether a
+    predicted item is among the user's true ones, its number among the hits and the
+    length of the truth are windows on that layout. A null item is never a hit.
+    """
+    lists = two_lists(predictions, truth, n, user_col, item_col, pred_score, truth_score)
+    of_user = Window.partitionBy(user_col)
+    marked = lists.select(
+        user_col, "is_true", "rank",
+        (F.max("is_true").over(Window.partitionBy(user_col, item_col))
+         & F.col(item_col).isNotNull()).alias("_cz_is_hit"),
+        F.sum(F.col("is_true").cast("bigint")).over(of_user).alias("_cz_tlen"))
+    hits = marked.where(~F.col("is_true")).withColumn("_cz_hit", F.sum(
+        F.col("_cz_is_hit").cast("bigint")).over(of_user.orderBy("rank")))
+    gain = F.when(F.col("_cz_is_hit"), F.col("_cz_hit") / F.col("rank")).otherwise(F.lit(0.0))
+    return hits.groupBy(user_col).agg(
+        F.when(F.max("_cz_tlen") > 0, F.sum(gain) / F.max("_cz_tlen")).otherwise(F.lit(0.0)).alias("ap"))
 
 
 def list_map(predictions: DataFrame, truth: DataFrame, n: int = 100, **kwargs) -> DataFrame:

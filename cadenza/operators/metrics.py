@@ -13,63 +13,72 @@ Definitions kept from the evaluation being rebuilt:
 
 Everything is joins and aggregates: the ranked list (bounded - it is a top-k
 list) is joined to the events, hits are numbered within a user (at most
-list-length rows per user), and IDCG is looked up per distinct n instead of summed
-per user. Only the metrics asked for are computed.
+list-length rows per user), and IDCG is an expression of n (``ideal_gain``). Only the
+metrics asked for are computed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import discount
-from cadenza.operators.positions import pin
 
-_CHUNK_BITS = 12  # terms of the ideal DCG are summed in chunks of 4096
 METRICS = ("ap", "pk", "ndcg")
 
+EXACT_TERMS = 128    # of the ideal sum; beyond, an integral with correction terms
+SERIES_TERMS = 160   # of the exponential integral; enough for any 64-bit n
+# sum of the first n terms 1 / log2(i + 1), n = 0..EXACT_TERMS
+_PREFIX = [math.fsum(1 / math.log2(i + 1) for i in range(1, n + 1)) for n in range(EXACT_TERMS + 1)]
+# 1 / (k k!) for k = SERIES_TERMS..1
+_SERIES = [1 / (k * math.factorial(k)) for k in range(SERIES_TERMS, 0, -1)]
 
-def ideal_dcg(n_values: DataFrame, n_col: str = "n_actual", out: str = "idcg") -> DataFrame:
-    """For each distinct ``n`` in ``n_values``: sum_{i=1..n} 1/log2(i + 1).
 
-    Whole chunks of 4096 terms are summed by a map-side aggregate of a
-    ``spark.range`` up to the largest n, so one row per chunk is shuffled, never a
-    term; a distinct n adds the terms of its last, partial chunk itself.
+def _antiderivative(x: Column | float) -> Column:
+    """Of f = 1 / ln x with the Euler-Maclaurin terms of one end: li(x) + f/2 + f'/12 - f'''/720.
+
+    li(x) = gamma + ln ln x + sum (ln x)^k / (k k!), without gamma here.
     """
-    spark = n_values.sparkSession
-    needed = pin(n_values.select(F.col(n_col).cast("bigint").alias(n_col)).where(
-        F.col(n_col) >= 1).distinct())
-    max_n = needed.agg(F.max(n_col)).first()[0]
-    if max_n is None:
-        return needed.select(n_col, F.lit(0.0).alias(out))
-    full = int(max_n) >> _CHUNK_BITS  # whole chunks up to the largest n
-    chunks = (spark.range(1, (full << _CHUNK_BITS) + 1)
-              .groupBy(F.shiftright(F.col("id") - 1, _CHUNK_BITS).alias("_cz_chunk"))
-              .agg(F.sum(discount("id")).alias("_cz_sum")))
-    upto = Window.orderBy("_cz_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # one row per 4096 terms
-    offsets = chunks.select((F.col("_cz_chunk") + 1).alias("_cz_full"),
-                            F.sum("_cz_sum").over(upto).alias("_cz_off"))
-    start = F.shiftleft(F.col("_cz_full"), _CHUNK_BITS) + 1
-    rest = F.when(F.col(n_col) >= start, F.aggregate(
-        F.sequence(start, F.col(n_col)), F.lit(0.0),
-        lambda acc, i: acc + F.lit(1.0) / F.log2(i + F.lit(1)))).otherwise(0.0)
-    return (needed.withColumn("_cz_full", F.shiftright(F.col(n_col), _CHUNK_BITS))
-            .join(offsets, "_cz_full", "left")
-            .select(n_col, (F.coalesce("_cz_off", F.lit(0.0)) + rest).alias(out)))
+    x = F.lit(float(x)) if isinstance(x, (int, float)) else x
+    y = F.log(x)
+    series = F.aggregate(F.array(*map(F.lit, _SERIES)), F.lit(0.0), lambda acc, c: (acc + c) * y)
+    third = -(2 / (y * y) + 6 / (y * y * y) + 6 / (y * y * y * y)) / (x * x * x)
+    return F.log(y) + series + F.lit(0.5) / y - 1 / (x * y * y) / 12 - third / 720
+
+
+def ideal_gain(n: Column) -> Column:
+    """sum_{i=1..n} 1/log2(i + 1) as an expression of ``n``; null for null, 0 below 1.
+
+    A table up to ``EXACT_TERMS``, beyond it the integral of 1/ln x with
+    Euler-Maclaurin terms, which is the sum to the precision of doubles: the cost
+    does not follow n.
+    """
+    n = n.cast("bigint")
+    table = F.array(*map(F.lit, _PREFIX))
+    tail = F.lit(math.log(2)) * (_antiderivative((n + 1).cast("double")) - _antiderivative(EXACT_TERMS + 1))
+    return (F.when(n <= 0, 0.0).when(n <= EXACT_TERMS, F.get(table, n.cast("int")))
+            .when(n.isNotNull(), F.lit(_PREFIX[-1]) + tail))
+
+
+def ideal_dcg(n_values: DataFrame, n_col: str = "n_actual", out: str = "idcg") -> DataFrame:
+    """For each distinct ``n`` >= 1 in ``n_values``: sum_{i=1..n} 1/log2(i + 1)."""
+    needed = n_values.select(F.col(n_col).cast("bigint").alias(n_col)).where(F.col(n_col) >= 1)
+    return needed.distinct().select(n_col, ideal_gain(F.col(n_col)).alias(out))
 
 
 def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
                     user_col: str = "user_id", item_col: str = "recording_mbid",
                     position_col: str = "position", dedupe: bool = False,
                     truncate_ideal: bool = False,
-                    metrics: Sequence[str] = METRICS) -> DataFrame:
+                    metrics: Sequence[str] = METRICS, count_col: str | None = None) -> DataFrame:
     """Per user of ``actual`` the chosen ``metrics``: ``ap``, ``pk`` (precision@k)
     and ``ndcg`` (NDCG@k).
 
-    ``actual``: one row per held-out event (user, item). ``ranked``: the shared
+    ``actual``: one row per held-out event (user, item), or one row per pair with its
+    number of events in ``count_col``. ``ranked``: the shared
     list, one row per item with its 1-based ``position`` (e.g. ``popularity_topk``).
     The defaults keep the definitions above; ``dedupe=True`` counts each of a
     user's items once in n, ``truncate_ideal=True`` sums IDCG over min(n, k)
@@ -77,10 +86,11 @@ def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    events = actual.select(user_col, item_col)
+    events = actual.select(user_col, item_col, *[count_col] if count_col and not dedupe else [])
     if dedupe:
         events = events.distinct()
-    n_actual = events.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_actual"))
+    size = F.sum(count_col) if count_col and not dedupe else F.count(F.lit(1))
+    n_actual = events.groupBy(user_col).agg(size.cast("bigint").alias("n_actual"))
 
     listed = ranked.select(item_col, F.col(position_col).cast("bigint").alias("_cz_pos"))
     hits = (events.join(listed, item_col, "inner")
@@ -100,9 +110,7 @@ def ranking_metrics(actual: DataFrame, ranked: DataFrame, k: int = 10,
     }
     if "ndcg" in metrics:
         n_ideal = F.least(F.col("n_actual"), F.lit(k)) if truncate_ideal else F.col("n_actual")
-        out = out.withColumn("_cz_nideal", n_ideal.cast("bigint"))
-        out = out.join(ideal_dcg(n_actual.select(n_ideal.alias("_cz_nideal")), "_cz_nideal", "_cz_idcg"),
-                       "_cz_nideal", "left")
+        out = out.withColumn("_cz_idcg", ideal_gain(n_ideal))
         columns["ndcg"] = F.when(F.col("_cz_idcg") > 0, F.coalesce(
             F.col("_cz_dcg"), F.lit(0.0)) / F.col("_cz_idcg")).otherwise(F.lit(0.0))
     return out.select(user_col, *[columns[m].alias(m) for m in metrics])

@@ -1,7 +1,7 @@
 """Overlap of the top-n true items and top-n predicted items of each user.
 
-Both lists are ranked per user; rows are paired by rank (inner join on user and
-rank), and the score is |distinct shared items| / |paired true items|. Users
+Both lists are ranked per user on one layout; rows are paired by rank, which leaves
+the first rows of both up to the shorter length, and the score is |distinct shared items| / |paired true items|. Users
 with no pair drop out of the mean.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.topn import top_n_per_user
+from cadenza.operators.topn import two_lists
 
 
 def overlap_at_n(truth: DataFrame, predictions: DataFrame, n: int = 100,
@@ -20,16 +20,19 @@ def overlap_at_n(truth: DataFrame, predictions: DataFrame, n: int = 100,
     """Per user: ``common_count``, ``true_count`` and ``common_percentage``
     (a fraction, or x100 with ``percent=True``). Lists hold at most n items per
     user, so the collected arrays are bounded by n."""
-    t = top_n_per_user(truth, truth_score, n, user_col, item_col).select(
-        user_col, "rank", F.col(item_col).alias("_cz_true"))
-    p = top_n_per_user(predictions, pred_score, n, user_col, item_col).select(
-        user_col, "rank", F.col(item_col).alias("_cz_pred"))
-    paired = t.join(p, [user_col, "rank"], "inner")
-    per_user = paired.groupBy(user_col).agg(
-        # items are wrapped, so a null item stays in its list and counts
-        F.size(F.array_intersect(F.collect_list(F.array("_cz_true")), F.collect_list(F.array("_cz_pred"))))
+    lists = two_lists(predictions, truth, n, user_col, item_col, pred_score, truth_score)
+    # items are wrapped, so a null item stays in its list and counts
+    entry = F.struct("rank", F.array(item_col).alias("item"))
+    both = lists.groupBy(user_col).agg(
+        F.array_sort(F.collect_list(F.when(F.col("is_true"), entry))).alias("_cz_t"),
+        F.array_sort(F.collect_list(F.when(~F.col("is_true"), entry))).alias("_cz_p"))
+    paired = F.least(F.size("_cz_t"), F.size("_cz_p"))
+    per_user = both.where(paired > 0).select(
+        user_col,
+        F.size(F.array_intersect(F.slice("_cz_t", F.lit(1), paired)["item"],
+                                 F.slice("_cz_p", F.lit(1), paired)["item"]))
          .cast("bigint").alias("common_count"),
-        F.count(F.lit(1)).alias("true_count"),
+        paired.cast("bigint").alias("true_count"),
     )
     scale = F.lit(100.0 if percent else 1.0)
     return per_user.withColumn(

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators.positions import global_index
-
 
 def item_popularity(counts: DataFrame, beta: float = 100000, item_col: str = "recording_mbid",
                     user_col: str = "user_id", count_col: str = "count") -> DataFrame:
@@ -29,12 +27,14 @@ def popularity_topk(counts: DataFrame, beta: float = 100000, k: int = 100,
     """The ``k`` items with the highest ``average_count`` (ties by item id), with
     an explicit 1-based ``position`` so the order survives storage.
 
-    The list is cut from the range-partitioned ``global_index`` of the items, so
-    for any k no task holds more than its share of them.
+    Every task keeps its k best items (a bounded heap), and only these meet, so no
+    table of all items is sorted or stored. The position is numbered over the k rows
+    of the list; k is the length of a ranked list, whatever the number of items.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     ranked_by = [F.col("average_count").desc_nulls_last(), F.col(item_col).asc_nulls_first()]
     scored = item_popularity(counts, beta, item_col, user_col, count_col)
-    placed = global_index(scored, ranked_by, "_cz_pos").where(F.col("_cz_pos") < F.lit(k))
-    return placed.withColumn("position", F.col("_cz_pos") + F.lit(1)).drop("_cz_pos")
+    best = scored.orderBy(*ranked_by).limit(k)
+    place = F.row_number().over(Window.orderBy(*ranked_by))  # over k rows
+    return best.withColumn("position", place.cast("bigint"))

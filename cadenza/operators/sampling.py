@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,13 +32,17 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42,
     n / 65,536 rows - is ordered. ``df`` is read twice, so it must be
     deterministic; pass a stored table if it is not or if it is expensive.
 
-    ``exact=False``: Spark's Bernoulli ``sample`` (size varies).
+    ``exact=False``: every row whose ``sample_key``, read as a fraction of its range by
+    its leading 32 bits, lies below ``fraction`` (the size varies around fraction * n).
+    One pass without a shuffle; whether a row is kept depends on its keys and the seed
+    alone, not on partitioning, and rows with equal keys stay or go together.
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    if not exact:
-        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     keys = list(keys or df.columns)
+    if not exact:
+        leading = F.conv(F.substring(sample_key(keys, seed), 1, 8), 16, 10).cast("bigint")
+        return df.where(leading < F.lit(math.ceil(fraction * 2**32)))
     cols = [F.col(c) for c in df.columns]
     keyed = (df.withColumn("_cz_h", sample_key(keys, seed))
              .withColumn("_cz_bin", F.substring("_cz_h", 1, _BIN_DIGITS)))

@@ -1,10 +1,11 @@
 """The four evaluations end to end, as compositions of the operators.
 
-Each returns small result DataFrames. Tables that are read more than once (the
-numbered events, the indexed ratings, the sample, the bias tables) are stored in
-the session's checkpoint folder, so a lost executor costs a re-read, not a
-recomputation of the whole chain; Spark deletes them when nothing reads them any
-longer (see ``pin``).
+Each returns small result DataFrames. The split events are not stored: they are a
+plan of one shuffle, and the flows fold them to counts (or weigh them) in one
+evaluation for both halves. What is read more than once after that (counts, weights,
+the sample, the bias tables) is stored in the session's checkpoint folder, so a lost
+executor costs a re-read, not a recomputation of the whole chain; Spark deletes it
+when nothing reads it any longer (see ``pin``).
 
 The truth of every evaluation is the whole held-out half: items unseen in
 training keep an index of their own and stay in each user's list. Only the
@@ -23,6 +24,7 @@ from cadenza.operators import (
     RECENCY_PRESET,
     BiasModel,
     RatingModel,
+    Slices,
     als_fit,
     als_predict,
     apply_item_index,
@@ -30,6 +32,7 @@ from cadenza.operators import (
     bias_predict,
     clean_interactions,
     compress_rating,
+    event_slices,
     exact_auc,
     extend_item_index,
     fit_item_index,
@@ -57,15 +60,26 @@ EVENT = ["user_id", "recording_mbid", "timestamp"]
 
 @dataclass
 class Split:
-    train: DataFrame
-    validation: DataFrame
+    """Both halves of the events as one table with ``is_train``, and the slices its
+    users were numbered by (None: they have none)."""
+    flagged: DataFrame
+    slices: Slices | None = None
+
+    @property
+    def train(self) -> DataFrame:
+        return train_part(self.flagged)
+
+    @property
+    def validation(self) -> DataFrame:
+        return validation_part(self.flagged)
 
 
 def split_interactions(interactions: DataFrame, tracks: DataFrame, users: DataFrame,
                        ratio: float = 0.8) -> Split:
-    """Clean (C1) and split (C2); both halves read the same stored numbering."""
-    split = temporal_split(clean_interactions(interactions, tracks, users), ratio)
-    return Split(train_part(split), validation_part(split))
+    """Clean (C1) and split."""
+    events = clean_interactions(interactions, tracks, users)
+    slices = event_slices(events)
+    return Split(temporal_split(events, ratio, slices=slices), slices)
 
 
 def rated_counts(events: DataFrame) -> DataFrame:
@@ -80,9 +94,15 @@ class Indexed:
     index: DataFrame       # recording_mbid, recording_mbid_index of the train items
 
 
+def half_counts(split: Split) -> Split:
+    """Rated counts (C3, C5) of both halves from one evaluation of the split, stored."""
+    counts = interaction_counts(split.flagged, user_col=["is_train", "user_id"])
+    return Split(pin(compress_rating(counts)))
+
+
 def indexed_ratings(split: Split) -> Indexed:
     """Rated counts of both halves with the item index fitted on train."""
-    return index_halves(rated_counts(split.train), rated_counts(split.validation))
+    return index_stored(half_counts(split))
 
 
 def index_halves(train: DataFrame, validation: DataFrame) -> Indexed:
@@ -90,18 +110,24 @@ def index_halves(train: DataFrame, validation: DataFrame) -> Indexed:
 
     Both halves are stored first: the index is fitted on them and joined to them.
     """
-    train, validation = pin(train), pin(validation)
-    index = fit_item_index(train)
-    every = extend_item_index(index, validation)
-    return Indexed(apply_item_index(train, index), apply_item_index(validation, every), index)
+    return index_stored(Split(pin(train.withColumn("is_train", F.lit(True)).unionByName(
+        validation.withColumn("is_train", F.lit(False))))))
+
+
+def index_stored(halves: Split) -> Indexed:
+    """``index_halves`` of a stored table of both."""
+    index = fit_item_index(halves.train)
+    every = extend_item_index(index, halves.validation)
+    return Indexed(apply_item_index(halves.train, index), apply_item_index(halves.validation, every), index)
 
 
 def popularity_metrics(split: Split, beta: float = 100000, list_size: int = 100, k: int = 10,
                        metrics=("ap", "pk", "ndcg")) -> DataFrame:
     """Per user: the top-``list_size`` damped popularity list (C4) scored against
     every held-out event (C14-C16)."""
-    top = popularity_topk(interaction_counts(split.train), beta=beta, k=list_size)
-    return ranking_metrics(split.validation, top, k=k, metrics=metrics)
+    counts = half_counts(split)
+    top = popularity_topk(counts.train, beta=beta, k=list_size)
+    return ranking_metrics(counts.validation, top, k=k, metrics=metrics, count_col="count")
 
 
 def popularity_evaluation(split: Split, beta: float = 100000, list_size: int = 100,
@@ -124,9 +150,15 @@ def als_evaluation(indexed: Indexed, n: int = 100, **params) -> DataFrame:
 
 def recency_ratings(split: Split) -> Indexed:
     """Recency weights (C6) of both halves as ratings, one row per event, indexed."""
-    train, validation = (recency_weight(half.select(*EVENT)).withColumn("rating", F.col("recency"))
-                         for half in (split.train, split.validation))
-    return index_halves(train, validation)
+    return index_halves(*(recency_weight(half.select(*EVENT), slices=split.slices)
+                          .withColumn("rating", F.col("recency")) for half in (split.train, split.validation)))
+
+
+def recency_model(indexed: Indexed, per_event: bool = False, **params) -> tuple[RatingModel, DataFrame]:
+    """ALS on recency ratings and the ratings it was fitted on: one mean per (user,
+    item), or with ``per_event`` a row per event."""
+    train = indexed.train if per_event else mean_ratings(indexed.train)
+    return als_fit(train, **{**RECENCY_PRESET, **params}), train
 
 
 def recency_scores(indexed: Indexed, threshold: float = 4.0, per_event: bool = False,
@@ -134,8 +166,7 @@ def recency_scores(indexed: Indexed, threshold: float = 4.0, per_event: bool = F
     """ALS on recency ratings, scored held-out events with labels rating >=
     ``threshold`` (C20). The model is fitted on one mean rating per (user, item);
     ``per_event=True`` feeds it a row per event instead."""
-    train = indexed.train if per_event else mean_ratings(indexed.train)
-    model = als_fit(train, **{**RECENCY_PRESET, **params})
+    model, _ = recency_model(indexed, per_event, **params)
     return threshold_label(als_predict(model, indexed.validation), "rating", threshold)
 
 
@@ -164,11 +195,11 @@ def bias_list_precision(indexed: Indexed, fraction: float = 0.1, seed: int = 42,
                         n: int = 100, digits: int | None = None) -> DataFrame:
     """Per user: average precision of the sampled bias model's list."""
     scores = bias_scores(sampled_bias_model(indexed, fraction, seed, damping), indexed, digits)
-    return list_average_precision(scores, indexed.validation, n=n)
+    return list_average_precision(scores, scores, n=n)  # the scored rows hold the truth
 
 
 def bias_evaluation(indexed: Indexed, fraction: float = 0.1, seed: int = 42,
                     damping: float = 5.0, n: int = 100, digits: int | None = None) -> DataFrame:
     """List MAP (C19) of the bias model fitted on a sample."""
     scores = bias_scores(sampled_bias_model(indexed, fraction, seed, damping), indexed, digits)
-    return list_map(scores, indexed.validation, n=n)
+    return list_map(scores, scores, n=n)

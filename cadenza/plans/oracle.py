@@ -393,6 +393,27 @@ SQL: dict[str, str] = {
                CAST(COALESCE(sum(pos), 0) AS BIGINT) AS positives,
                CAST(COALESCE(sum(neg), 0) AS BIGINT) AS negatives
         FROM auc_terms""",
+    # what holds for any right fit: the scored pairs, dot products of factors that are not
+    # negative, and factors that solve their least squares
+    "als_predict": f"""SELECT user_id, recording_mbid_index, "count", round(rating, {D}) AS rating,
+                       true AS nonnegative, true AS is_product FROM scorable""",
+    "als_overlap": """SELECT l.user_id, least(l.n, s.n) AS true_count, true AS within, true AS optimal
+                      FROM list_lengths l JOIN scored_lengths s ON l.user_id = s.user_id""",
+    "als_recency_auc": """
+        SELECT count(*) FILTER (WHERE position <= 3) AS positives,
+               count(*) FILTER (WHERE position > 3) AS negatives, true AS auc_defined, true AS optimal
+        FROM recency_val_rows r JOIN item_index x ON r.recording_mbid = x.recording_mbid
+        WHERE r.user_id IN (SELECT user_id FROM train)""",
+    "als_optimal": "SELECT user_id, count(*) AS n_ratings, true AS optimal FROM train_idx GROUP BY user_id",
+    "recency_als_optimal": """SELECT user_id, count(DISTINCT recording_mbid) AS n_ratings, true AS optimal
+                              FROM train GROUP BY user_id""",
+    "event_als_optimal": "SELECT user_id, count(*) AS n_ratings, true AS optimal FROM train GROUP BY user_id",
+    "sample_bernoulli": """
+        SELECT user_id, recording_mbid_index, "count" FROM train_idx
+        WHERE CAST('0x' || substr(md5(concat_ws('|', CAST(user_id AS VARCHAR),
+                  CAST(recording_mbid_index AS VARCHAR), '42')), 1, 8) AS BIGINT)
+              < CAST(ceil(CAST(0.9 AS DOUBLE) * 4294967296) AS BIGINT)""",
+    "overwritten_ratings": f"SELECT user_id, recording_mbid_index, round(rating, {D}) AS rating FROM val_idx",
 }
 
 # the same statements over a train half without some items
@@ -403,25 +424,14 @@ SQL_UNSEEN: dict[str, str] = {
     "unseen_overlap_at_5": SQL["overlap_at_5"],
     "unseen_list_map": SQL["list_map"].replace("s_ap", "s5_ap"),
     "unseen_list_ap": SQL["list_ap"].replace("s_ap", "s5_ap"),
-    "overlap_mean_100": SQL.pop("overlap_mean_100"),
-    "overlap_null_items": _overlap_cols("paired_null"),
-    "als_predict": f"""SELECT user_id, recording_mbid_index, "count", round(rating, {D}) AS rating,
-                       true AS nonnegative, true AS is_product FROM scorable""",
-    "als_overlap": """SELECT l.user_id, least(l.n, s.n) AS true_count, true AS within
-                      FROM list_lengths l JOIN scored_lengths s ON l.user_id = s.user_id""",
-    "als_recency_auc": """
-        SELECT count(*) FILTER (WHERE position <= 3) AS positives,
-               count(*) FILTER (WHERE position > 3) AS negatives, true AS auc_defined
-        FROM recency_val_rows r JOIN item_index x ON r.recording_mbid = x.recording_mbid
-        WHERE r.user_id IN (SELECT user_id FROM train)""",
+    "unseen_overlap_mean_100": SQL["overlap_mean_100"],
+    "unseen_overlap_null_items": _overlap_cols("paired_null"),
+    "unseen_als_predict": SQL["als_predict"],
+    "unseen_als_overlap": SQL["als_overlap"],
+    "unseen_als_recency_auc": SQL["als_recency_auc"],
 }
 
-# some of these over the whole train half as well
-SQL_WHOLE: dict[str, str] = {
-    f"whole_{name}": SQL_UNSEEN[name]
-    for name in ("overlap_mean_100", "als_predict", "als_overlap", "als_recency_auc")}
-
 ORACLE_SQL: dict[str, str] = {
-    **{name: _with(body) for name, body in {**SQL, **SQL_WHOLE}.items()},
+    **{name: _with(body) for name, body in SQL.items()},
     **{name: _with(body, unseen=True) for name, body in SQL_UNSEEN.items()},
 }

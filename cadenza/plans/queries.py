@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from cadenza import schemas
 from cadenza.operators import (
+    als_optimality,
+    als_predict,
     apply_item_index,
     bias_fit,
     clean_interactions,
@@ -42,7 +44,9 @@ from cadenza.sources import (
     load_tracks,
     load_users,
     read_csv,
+    read_parquet,
     write_csv,
+    write_parquet,
 )
 
 DIGITS = 9
@@ -53,7 +57,7 @@ BETA = 100000
 RATIO = 0.8
 RATING_CUT = math.log(4)       # compressed rating of two plays
 RECENCY_CUT = math.exp(-2)     # recency weight of a user's third newest event
-LEFT_OUT = 7                   # the unseen_* and als_* queries train without items whose number it divides
+LEFT_OUT = 7                   # the unseen_* queries train without items whose number it divides
 
 
 def _r(col: str) -> F.Column:
@@ -80,7 +84,8 @@ def unseen_split(spark: SparkSession, sf: str) -> Split:
     half has items no model has seen."""
     halves = split(spark, sf)
     number = F.substring("recording_mbid", 2, 20).cast("bigint")
-    return Split(halves.train.where(number % LEFT_OUT != 0), halves.validation)
+    known = F.coalesce(number % LEFT_OUT != 0, F.lit(False))
+    return Split(halves.flagged.where(~F.col("is_train") | known), halves.slices)
 
 
 def unseen_indexed(spark: SparkSession, sf: str) -> Indexed:
@@ -104,9 +109,7 @@ def q_null_fallback(spark, sf):
 
 
 def q_temporal_split(spark, sf):
-    halves = split(spark, sf)
-    return (halves.train.withColumn("is_train", F.lit(True))
-            .union(halves.validation.withColumn("is_train", F.lit(False))))
+    return split(spark, sf).flagged
 
 
 def q_train_rows(spark, sf):
@@ -154,17 +157,19 @@ def q_compress_counts(spark, sf):
         "user_id", "recording_mbid", "count", _r("rating"))
 
 
-def _recency(events, per_item=False):
-    return recency_weight(events, per_item=per_item, position="position").select(
+def _recency(events, per_item=False, slices=None):
+    return recency_weight(events, per_item=per_item, position="position", slices=slices).select(
         "user_id", "recording_mbid", "timestamp", "position", _r("recency"))
 
 
 def q_recency_weight(spark, sf):
-    return _recency(split(spark, sf).train.select(*flows.EVENT))
+    halves = split(spark, sf)
+    return _recency(halves.train.select(*flows.EVENT), slices=halves.slices)
 
 
 def q_recency_validation(spark, sf):
-    return _recency(split(spark, sf).validation.select(*flows.EVENT))
+    halves = split(spark, sf)
+    return _recency(halves.validation.select(*flows.EVENT), slices=halves.slices)
 
 
 def q_recency_per_item(spark, sf):
@@ -176,7 +181,8 @@ def q_recency_events(spark, sf):
 
 
 def q_compress_recency(spark, sf):
-    rec = recency_weight(split(spark, sf).train.select(*flows.EVENT))
+    halves = split(spark, sf)
+    rec = recency_weight(halves.train.select(*flows.EVENT), slices=halves.slices)
     return compress_rating(rec, "recency").select(
         "user_id", "recording_mbid", "timestamp", _r("recency"), _r("rating"))
 
@@ -192,9 +198,8 @@ def q_item_index(spark, sf):
 
 
 def q_apply_item_index(spark, sf):
-    halves = split(spark, sf)
-    index = fit_item_index(flows.rated_counts(halves.train))
-    return apply_item_index(flows.rated_counts(halves.validation), index).select(
+    halves = flows.half_counts(split(spark, sf))
+    return apply_item_index(halves.validation, fit_item_index(halves.train)).select(
         "user_id", "count", _r("rating"), "recording_mbid_index")
 
 
@@ -208,6 +213,21 @@ def q_sample_exact(spark, sf):
     return sample_fraction(indexed(spark, sf).train.select(*flows.PAIR, "count"), 0.1, 42, keys=flows.PAIR)
 
 
+def q_sample_bernoulli(spark, sf):
+    """Nine tenths of the train ratings, chosen by a hash of the pair."""
+    return sample_fraction(indexed(spark, sf).train.select(*flows.PAIR, "count"), 0.9, 42,
+                           keys=flows.PAIR, exact=False)
+
+
+def q_overwritten_ratings(spark, sf):
+    """Indexed ratings of the held-out half, written over those of the train half and read back."""
+    data = indexed(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratings-{uuid.uuid4().hex}.parquet"
+    for half in (data.train, data.validation):
+        write_parquet(half.select(*flows.PAIR, "rating"), path, mode="overwrite")
+    return read_parquet(spark, path).select(*flows.PAIR, _r("rating"))
+
+
 def q_csv_ratings(spark, sf):
     """Indexed train ratings through the CSV interchange (header, explicit schema):
     written into the checkpoint folder, read back."""
@@ -287,18 +307,17 @@ def _overlap_mean_seen(data):
 
 
 def q_overlap_mean_100(spark, sf):
-    return _overlap_mean_seen(unseen_indexed(spark, sf))
+    return _overlap_mean_seen(indexed(spark, sf))
 
 
-def q_whole_overlap_mean_100(spark, sf):
-    return _overlap_mean_seen(indexed(spark, sf))
+def q_unseen_overlap_mean_100(spark, sf):
+    return _overlap_mean_seen(unseen_indexed(spark, sf))
 
 
-def q_overlap_null_items(spark, sf):
+def q_unseen_overlap_null_items(spark, sf):
     """Overlap where held-out items unseen in training have no number at all."""
-    halves = unseen_split(spark, sf)
-    index = fit_item_index(flows.rated_counts(halves.train))
-    truth = apply_item_index(flows.rated_counts(halves.validation), index)
+    halves = flows.half_counts(unseen_split(spark, sf))
+    truth = apply_item_index(halves.validation, fit_item_index(halves.train))
     scores = truth.withColumn("prediction", F.col("count") % 3 + F.col("recording_mbid_index") % 10)
     return overlap_at_n(truth, scores, n=SMALL_N).select(
         "user_id", "common_count", "true_count", _r("common_percentage"))
@@ -342,8 +361,8 @@ def q_auc_exact(spark, sf):
     return exact_auc(labelled, "prediction", "label").select(_r("auc"), "positives", "negatives")
 
 
-# ---- factor models: SQL checks what does not depend on the fit -------------
-# als_* train without the left-out items, whole_als_* on every train row
+# ---- factor models: SQL checks that the scores are the model's, and that the model
+# solves its least squares (a changed factor turns ``optimal`` false)
 
 def _als_rows(data):
     """Scored held-out pairs, and whether each score is the dot product of the
@@ -360,32 +379,52 @@ def _als_rows(data):
 
 
 def q_als_predict(spark, sf):
-    return _als_rows(unseen_indexed(spark, sf))
-
-
-def q_whole_als_predict(spark, sf):
     return _als_rows(indexed(spark, sf))
 
 
-def _als_lists(data):
-    """Per user the paired lists (cold pairs dropped from the predictions, not
-    from the truth)."""
-    _, scores = flows.als_scores(data)
-    return overlap_at_n(data.validation, scores, n=SMALL_N)
+def q_unseen_als_predict(spark, sf):
+    return _als_rows(unseen_indexed(spark, sf))
 
 
 def _als_within(data):
-    """Per user the length of the paired lists and whether the overlap lies within it."""
-    return _als_lists(data).select(
-        "user_id", "true_count", F.col("common_count").between(0, F.col("true_count")).alias("within"))
+    """Per user the length of the paired lists, whether the overlap lies within it (cold
+    pairs drop out of the predictions, not of the truth), and whether the user's
+    factors solve their least squares."""
+    model, scores = flows.als_scores(data)
+    lists = overlap_at_n(data.validation, scores, n=SMALL_N)
+    return lists.join(als_optimality(model, data.train), "user_id").select(
+        "user_id", "true_count", F.col("common_count").between(0, F.col("true_count")).alias("within"),
+        "optimal")
 
 
 def q_als_overlap(spark, sf):
+    return _als_within(indexed(spark, sf))
+
+
+def q_unseen_als_overlap(spark, sf):
     return _als_within(unseen_indexed(spark, sf))
 
 
-def q_whole_als_overlap(spark, sf):
-    return _als_within(indexed(spark, sf))
+def q_als_optimal(spark, sf):
+    """Per train user of the count model: ratings, and whether the factors are optimal."""
+    data = indexed(spark, sf)
+    model, _ = flows.als_scores(data)
+    return als_optimality(model, data.train).select("user_id", "n_ratings", "optimal")
+
+
+def _recency_optimal(spark, sf, per_event):
+    model, train = flows.recency_model(flows.recency_ratings(split(spark, sf)), per_event)
+    return als_optimality(model, train).select("user_id", "n_ratings", "optimal")
+
+
+def q_recency_als_optimal(spark, sf):
+    """The same for the recency model fitted on one mean per (user, item)."""
+    return _recency_optimal(spark, sf, False)
+
+
+def q_event_als_optimal(spark, sf):
+    """The same for the recency model fitted on one rating per event."""
+    return _recency_optimal(spark, sf, True)
 
 
 def _als_auc(halves):
@@ -393,17 +432,28 @@ def _als_auc(halves):
 
 
 def _als_auc_defined(halves):
-    """Label counts of the scored held-out events and whether the AUC is defined."""
-    return _als_auc(halves).select(
-        "positives", "negatives", F.col("auc").between(0.0, 1.0).alias("auc_defined"))
+    """Label counts of the scored held-out events, whether the AUC is defined, and
+    whether the factors of every user solve their least squares."""
+    data = flows.recency_ratings(halves)
+    model, train = flows.recency_model(data)
+    labelled = threshold_label(als_predict(model, data.validation), "rating", RECENCY_CUT - 1e-9)
+    optimal = als_optimality(model, train).agg(F.bool_and("optimal")).first()[0]
+    return exact_auc(labelled).select(
+        "positives", "negatives", F.col("auc").between(0.0, 1.0).alias("auc_defined"),
+        F.lit(optimal).alias("optimal"))
 
 
 def q_als_recency_auc(spark, sf):
+    return _als_auc_defined(split(spark, sf))
+
+
+def q_unseen_als_recency_auc(spark, sf):
     return _als_auc_defined(unseen_split(spark, sf))
 
 
-def q_whole_als_recency_auc(spark, sf):
-    return _als_auc_defined(split(spark, sf))
+def _als_lists(data):
+    _, scores = flows.als_scores(data)
+    return overlap_at_n(data.validation, scores, n=SMALL_N)
 
 
 def als_overlap_values(spark, sf):

@@ -79,11 +79,11 @@ def test_evaluator_auc_close_to_exact(spark):
 
 
 def test_factor_queries_use_every_train_row(spark, split, indexed):
-    predicted = Q.QUERIES["whole_als_predict"](spark, SF)
+    predicted = Q.QUERIES["als_predict"](spark, SF)
     users = indexed.train.select("user_id").distinct()
     scorable = indexed.validation.join(users, "user_id").join(
         indexed.index.select("recording_mbid_index"), "recording_mbid_index")
-    assert predicted.count() == scorable.count() > Q.QUERIES["als_predict"](spark, SF).count()
+    assert predicted.count() == scorable.count() > Q.QUERIES["unseen_als_predict"](spark, SF).count()
 
 
 def test_factor_values_recomputed_from_stored_scores(spark, split, indexed, monkeypatch):
