@@ -3,15 +3,15 @@
 ``row_number() OVER (PARTITION BY user ORDER BY time)`` sorts a whole user in one
 task. Here a group is numbered in slices of its order:
 
-1. ``measure`` makes one narrow pass over (group, leading order column): groups are
-   hashed into buckets, and each bucket gets its number of rows and a mergeable
-   quantile summary (``percentile_approx``, combined map-side). A bucket with more
-   rows than a slice should hold is cut at its quantiles, into as many slices as it
-   needs; every other bucket is one slice. The summary of a bucket has a fixed size,
-   so it does not grow with the table.
+1. ``measure`` makes one narrow pass over the group columns: groups are hashed into
+   buckets and the rows of each are counted. A bucket with more rows than a slice
+   should hold is cut into as many slices as it needs, at the quantiles of the leading
+   order column: mergeable summaries (``percentile_approx``, combined map-side) of
+   these buckets' rows. Every other bucket is one slice. Counts and summaries have a
+   fixed size, so they do not grow with the table.
 2. The slice number is a column: how many cuts of the bucket lie below the row's
    value. One plain hash shuffle on (group, slice) then feeds a window, for groups of
-   any size. Nothing is stored and nothing is evaluated twice but the narrow pass.
+   any size. No row is stored, and whole rows are evaluated once.
 3. Where buckets were cut, the rows of a group's earlier slices are counted by a
    second narrow aggregate over the cut buckets and joined back on (group, slice), the
    keys the window is partitioned by already.
@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 from cadenza.operators.positions import pin, rank_within
 
 SLICE_ROWS = 1 << 20    # smaller buckets are not cut
-MAX_BUCKETS = 8192      # summaries: at most this many, whatever the cluster
+MAX_BUCKETS = 16_384    # counts and summaries: at most this many, whatever the cluster
+BUCKETS_A_PARTITION = 8 # so a slice is at most about a quarter of a mean shuffle partition
 QUANTILES = 64          # of a bucket: a slice of it is at most about 1/64 of its rows
 _BUCKET, _CUTS, _RUNS = "_cz_bucket", "_cz_cuts", "_cz_runs"
 _SLICE, _RUN = "_cz_slice", "_cz_run"
@@ -64,26 +65,31 @@ def _bucket(group: Sequence[str], buckets: int) -> Column:
 def measure(df: DataFrame, group: Sequence[str], by: str, slice_rows: int = SLICE_ROWS) -> Slices:
     """Slices of ``df`` for groups ordered by ``by``; reads only these columns.
 
-    Runs two jobs: the summary (stored: one row per bucket) and its largest count.
+    Runs one job, the counts; a second one, the quantiles, only over buckets to cut.
+    The slices of a table serve any part of it, so they can be measured on the raw
+    rows before joins and filters.
     """
     group = list(group)
     spark = df.sparkSession
-    buckets = max(1, min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, min(MAX_BUCKETS, BUCKETS_A_PARTITION * partitions))
     shares = [k / QUANTILES for k in range(1, QUANTILES)]
-    summary = pin(df.groupBy(_bucket(group, buckets).alias(_BUCKET)).agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(by).isNull(), 1)).alias("nulls"),
-        F.percentile_approx(by, shares, 4 * QUANTILES).alias("quantiles")))
-    total, largest = summary.agg(F.sum("n"), F.max("n")).first()
-    limit = max(slice_rows, 2 * (total or 0) // buckets)
-    if not total or largest <= limit:
+    bucket = _bucket(group, buckets)
+    # at most MAX_BUCKETS rows
+    counts = df.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n")).collect()
+    limit = max(slice_rows, 2 * sum(r["n"] for r in counts) // buckets)
+    large = [r[_BUCKET] for r in counts if r["n"] > limit]
+    if not large:
         return Slices(group, by, buckets, None)
+    summary = df.withColumn(_BUCKET, bucket).where(F.col(_BUCKET).isin(large)).groupBy(_BUCKET).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(by, shares, 4 * QUANTILES).alias("quantiles"))
     # every (QUANTILES / parts)-th quantile; the quantiles are those of the non-null rows
-    parts = F.least(F.ceil(F.col("n") / F.lit(limit)), F.lit(QUANTILES)).cast("int")
+    summary = summary.withColumn("parts", F.least(F.ceil(F.col("n") / F.lit(limit)), F.lit(QUANTILES)).cast("int"))
+    parts = F.col("parts")
     chosen = F.transform(F.sequence(F.lit(1), parts - 1),
                          lambda k: F.get("quantiles", F.floor(k * QUANTILES / parts).cast("int") - 1))
-    cuts = summary.where(F.col("n") > limit).select(
-        _BUCKET, F.coalesce("quantiles", F.array()).alias("quantiles"),
-        F.when(parts > 1, F.filter(chosen, F.isnotnull)).alias("chosen"), "nulls", "n")
+    cuts = summary.select(_BUCKET, "parts", F.coalesce("quantiles", F.array()).alias("quantiles"),
+                          F.when(parts > 1, F.filter(chosen, F.isnotnull)).alias("chosen"))
     # a value that fills the quantiles between two cuts is a run
     step = F.floor(F.lit(QUANTILES) / parts).cast("int")
     runs = F.array_distinct(F.filter("chosen", lambda c: F.size(F.filter(

@@ -53,7 +53,8 @@ def temporal_split(df: DataFrame, ratio: float = 0.8, user_col: str = "user_id",
 def event_slices(df: DataFrame, user_col: str = "user_id", time_col: str = "timestamp") -> Slices | None:
     """Slices of the users' events in time; None where the time has no quantiles.
 
-    They serve ``temporal_split`` of ``df`` and ``recency_weight`` of any part of it.
+    They serve ``temporal_split`` of ``df`` or of what is left of it after joins, and
+    ``recency_weight`` of any part.
     """
     if not cuttable(df.schema[time_col].dataType):
         return None

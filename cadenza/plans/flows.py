@@ -76,9 +76,9 @@ class Split:
 
 def split_interactions(interactions: DataFrame, tracks: DataFrame, users: DataFrame,
                        ratio: float = 0.8) -> Split:
-    """Clean (C1) and split."""
+    """Clean (C1) and split (C2), in slices measured on the events as they come."""
+    slices = event_slices(interactions)
     events = clean_interactions(interactions, tracks, users)
-    slices = event_slices(events)
     return Split(temporal_split(events, ratio, slices=slices), slices)
 
 
