@@ -2,6 +2,7 @@
 
 import inspect
 
+import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators import RatingModel, als_fit, als_predict, mean_ratings
@@ -77,3 +78,73 @@ def test_mean_ratings(spark):
     df = spark.createDataFrame([(1, 5, 1.0), (1, 5, 0.5), (2, 5, 3.0)],
                                "user_id long, recording_mbid_index long, rating double")
     assert rows(mean_ratings(df)) == [(1, 5, 0.75), (2, 5, 3.0)]
+
+
+def _changed(model):
+    """The model with one positive component of one user's factors enlarged by a tenth."""
+    import copy
+
+    factors = model.user_factors().collect()
+    row = next(r for r in sorted(factors) if max(r["features"]) > 0.1)
+    features = list(row["features"])
+    at = features.index(max(features))
+    features[at] *= 1.1
+    spark = model.users.sparkSession
+    made = spark.createDataFrame([(r[model.user_col], features if r == row else list(r["features"]))
+                                  for r in factors], f"{model.user_col} long, features array<float>")
+    other = copy.copy(model)
+    other.user_factors = lambda: made
+    return other, row[model.user_col]
+
+
+@pytest.mark.parametrize("nonnegative", [True, False])
+def test_factors_are_optimal_and_a_changed_one_is_not(spark, nonnegative):
+    from cadenza.operators import als_optimality
+
+    df = spark.createDataFrame(
+        [(u, i, float((u * 7 + i * 3) % 11) / 3 + (u == i)) for u in range(40) for i in range(30)
+         if (u + i) % 4] + [(3, 5, 1.0)] * 20 + [(None, 1, 2.0), (1, None, 2.0)],
+        "user_id long, recording_mbid_index long, rating double")
+    model = als_fit(df, rank=6, reg=0.1, max_iter=6, nonnegative=nonnegative)
+    found = {r["user_id"]: r for r in als_optimality(model, df).collect()}
+    assert len(found) == 40 and all(r["optimal"] for r in found.values())
+    assert found[3]["n_ratings"] == df.where("user_id = 3").count()
+    other, user = _changed(model)
+    wrong = {r["user_id"] for r in als_optimality(other, df).collect() if not r["optimal"]}
+    assert wrong == {user}
+
+
+def test_optimality_notices_another_regularisation_and_lost_ratings(spark):
+    import dataclasses
+
+    from cadenza.operators import als_optimality
+
+    df = spark.createDataFrame(
+        [(u, i, float((u * 5 + i) % 7)) for u in range(20) for i in range(20)],
+        "user_id long, recording_mbid_index long, rating double")
+    model = als_fit(df, rank=4, reg=0.2, max_iter=4)
+    assert als_optimality(model, df).where("optimal").count() == 20
+    assert als_optimality(dataclasses.replace(model, reg=0.3), df).where("optimal").count() < 5
+    assert als_optimality(model, df.where("recording_mbid_index != 3")).where("optimal").count() < 10
+    with pytest.raises(ValueError):
+        als_optimality(dataclasses.replace(model, implicit=True), df)
+
+
+def test_gradient_equals_dense_algebra(spark):
+    import numpy as np
+
+    from cadenza.operators import als_optimality
+
+    df = spark.createDataFrame(
+        [(u, i, float((u * 5 + i * i) % 9)) for u in range(12) for i in range(15) if (u * i) % 5 != 1],
+        "user_id long, recording_mbid_index long, rating double")
+    model = als_fit(df, rank=3, reg=0.3, max_iter=1)
+    x = {r["user_id"]: np.array(r["features"], dtype=np.float64) for r in model.user_factors().collect()}
+    y = {r["recording_mbid_index"]: np.array(r["features"], dtype=np.float64) for r in model.item_factors().collect()}
+    for row in als_optimality(model, df).collect():
+        own = [(r["recording_mbid_index"], r["rating"]) for r in df.where(f"user_id = {row['user_id']}").collect()]
+        me = x[row["user_id"]]
+        g = sum((me @ y[i] - r) * y[i] for i, r in own) + 0.3 * len(own) * me
+        m = sum((abs(me @ y[i]) + abs(r)) * abs(y[i]) for i, r in own) + 0.3 * len(own) * abs(me)
+        off = np.where(me > 0, abs(g), np.maximum(-g, 0))
+        assert row["violation"] == pytest.approx(max(off / m), abs=1e-12)
