@@ -1,8 +1,9 @@
 """Skew check: one user holding a third of all events.
 
 Builds interactions from the test tables with every third order's events moved to
-user 0, numbers each user's events (a) with the plain window and (b) with
-``rank_within``, checks that both give the same numbers, and reports the largest number of shuffle records any single
+user 0, numbers each user's events (a) with the plain window, (b) with the range layout
+of ``rank_within`` and (c) in slices of at most 20,000 rows, oldest and newest first,
+checks that all give the same numbers, and reports the largest number of shuffle records any single
 task read in each run (from Spark's event log in a scratch folder).
 
 usage: python tools/skew_check.py [sf_dir]
@@ -20,11 +21,14 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cadenza.operators.positions import rank_within, window_rank  # noqa: E402
+from cadenza.operators import measure, rank_sliced, rank_within, window_rank  # noqa: E402
 from cadenza.session import build_session  # noqa: E402
 from cadenza.sources import load_interactions  # noqa: E402
 
 
+SLICE_ROWS = 20_000
+
+
 def max_task_records(log_dir: str, job_group: str) -> int:
     best = 0
     jobs_in_group: set[int] = set()
@@ -72,18 +76,27 @@ def main() -> None:
     sc.setJobGroup("ranked", "rank_within")
     ranked = rank_within(skewed, ["user_id"], order, "rn", "n")
     ranked.write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("sliced", "rank_sliced")
+    slices = measure(skewed, ["user_id"], "timestamp", SLICE_ROWS)
+    sliced = rank_sliced(skewed, slices, order, "rn", "n")
+    sliced.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("verify", "comparison")
+    newest = [F.col("timestamp").desc_nulls_last(), F.col("recording_msid").asc_nulls_first()]
 
     def numbers(df):
         return sorted(map(tuple, df.groupBy("user_id", "timestamp", "recording_msid").agg(
             F.sort_array(F.collect_list("rn")).alias("rns"), F.max("n")).collect()))
-    same = numbers(plain) == numbers(ranked)
+    want = numbers(plain)
+    same = want == numbers(ranked) and want == numbers(sliced) and numbers(
+        window_rank(skewed, ["user_id"], newest, "rn", "n")) == numbers(
+        rank_sliced(skewed, slices, newest, "rn", "n", descending=True))
     spark.stop()
     print(json.dumps({
         "rows": total, "hot_user_rows": hot,
         "results_equal": same,
         "max_task_shuffle_records_plain_window": max_task_records(log_dir, "plain"),
         "max_task_shuffle_records_rank_within": max_task_records(log_dir, "ranked"),
+        "max_task_shuffle_records_slices": max_task_records(log_dir, "sliced"),
     }))
 
 
