@@ -37,6 +37,20 @@ def _cuts_below(value: Column, cuts: list[float]) -> Column:
         F.get(table, at + step - 1) < value, step).otherwise(0))
 
 
+def _before_in_ranges(placed: DataFrame) -> DataFrame:
+    """``placed`` (scores with their range ``_cz_b``) with ``before_neg``: the negatives
+    below a score, inside its range and in the ranges before."""
+    earlier = Window.orderBy("_cz_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_cz_b").agg(F.sum("neg").alias("_cz_n")).select(
+        "_cz_b", F.coalesce(F.sum("_cz_n").over(earlier), F.lit(0)).alias("_cz_off"))
+    inside = (Window.partitionBy("_cz_b").orderBy("_cz_s")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    running = placed.withColumn("_cz_in", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    # one row per range: one in RANGE_SCORES of the distinct scores
+    return running.join(F.broadcast(offsets), "_cz_b").withColumn(
+        "before_neg", F.col("_cz_off") + F.col("_cz_in"))
+
+
 def exact_auc(df: DataFrame, score_col: str = "prediction", label_col: str = "label") -> DataFrame:
     """One row: ``auc`` (null when only one class is present), ``positives``,
     ``negatives``. Label 1.0 is positive, any other value negative."""
@@ -52,16 +66,11 @@ def exact_auc(df: DataFrame, score_col: str = "prediction", label_col: str = "la
     if ranges > 1:
         shares = [k / ranges for k in range(1, ranges)]
         cuts = sorted(set(per_score.agg(F.percentile_approx("_cz_s", shares, 20 * ranges)).first()[0]))
-    placed = per_score.withColumn("_cz_b", _cuts_below(F.col("_cz_s"), cuts))
-    earlier = Window.orderBy("_cz_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_cz_b").agg(F.sum("neg").alias("_cz_n")).select(
-        "_cz_b", F.coalesce(F.sum("_cz_n").over(earlier), F.lit(0)).alias("_cz_off"))
-    inside = (Window.partitionBy("_cz_b").orderBy("_cz_s")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    running = placed.withColumn("_cz_in", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-    # one row per range: one in RANGE_SCORES of the distinct scores
-    ordered = running.join(F.broadcast(offsets), "_cz_b").withColumn(
-        "before_neg", F.col("_cz_off") + F.col("_cz_in"))
+    before = Window.orderBy("_cz_s").rowsBetween(Window.unboundedPreceding, -1)
+    if cuts:
+        ordered = _before_in_ranges(per_score.withColumn("_cz_b", _cuts_below(F.col("_cz_s"), cuts)))
+    else:  # one range: at most RANGE_SCORES rows
+        ordered = per_score.withColumn("before_neg", F.coalesce(F.sum("neg").over(before), F.lit(0)))
     totals = ordered.agg(
         F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") * F.lit(0.5))).alias("_cz_u"),
         F.sum("pos").cast("bigint").alias("positives"),
