@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +39,32 @@ def stored(df: DataFrame) -> DataFrame:
         spark.conf.set(_ROWS_KEY, before)
 
 
+METRICS_WAIT_S = 60  # for figures of a finished job; after that the table is read for them
+
+
+def stored_counted(df: DataFrame, **figures) -> tuple[DataFrame, dict[str, int]]:
+    """``stored(df)`` with its number of ``rows`` and other aggregates ``figures``.
+
+    They are observed while the table is written, without a job of their own.
+    """
+    figures = {"rows": F.count(F.lit(1)), **figures}
+    wanted = [made.alias(name) for name, made in figures.items()]
+    seen = Observation()
+    out = stored(df.observe(seen, *wanted))
+    got: dict[str, int] = {}
+    wait = threading.Thread(target=lambda: got.update(seen.get), daemon=True)
+    wait.start()
+    wait.join(METRICS_WAIT_S)
+    if set(got) < set(figures):  # the event that carries them was lost
+        return out, out.agg(*wanted).first().asDict()
+    return out, got
+
+
+def broadcast_up_to(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
+    """Hint a broadcast of ``df``, known to have ``rows`` rows, up to ``max_rows``."""
+    return F.broadcast(df) if rows <= max_rows else df
+
+
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast when ``df`` (stored) has at most ``max_rows`` rows.
 

@@ -23,8 +23,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import add_columns, map_groups, mix64, sized_broadcast, stored
-from cadenza.llm.components import components
+from cadenza.llm.common import (add_columns, broadcast_up_to, map_groups, mix64, stored,
+                                stored_counted)
+from cadenza.llm.components import BROADCAST_ROWS, counted_components
 from cadenza.llm.word_shingles import shingle_sets
 
 BUCKETS = 256
@@ -155,10 +156,11 @@ def _alike(one: np.ndarray, two: np.ndarray) -> bool:
     return DENOMINATOR * shared >= NUMERATOR * (len(one) + len(two) - shared)
 
 
-def _confirmed(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Pairs whose full shingle sets are alike enough; ``pairs`` is stored."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = _texts(df, wanted, id_col, text_col)
+def _confirmed(pairs: DataFrame, rows: int, df: DataFrame, id_col: str,
+               text_col: str) -> DataFrame:
+    """Pairs whose full shingle sets are alike enough; ``pairs`` is stored with ``rows`` rows."""
+    texts = _texts(df, pairs.select(F.explode(F.array("a", "b")).alias("id")), 2 * rows,
+                   id_col, text_col)
 
     def prepare():
         def compute(left, right):
@@ -187,45 +189,49 @@ def _leaders(bands: DataFrame) -> DataFrame:
             .where("low <> high").select("key", _order(F.col("key"), "low").alias("leader")))
 
 
-def _leader_pairs(groups: DataFrame, rows: DataFrame) -> DataFrame:
-    return (rows.join(groups, "key").where("id <> leader")
+def _leader_pairs(shared: DataFrame) -> DataFrame:
+    return (shared.where("id <> leader")
             .select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
             .distinct())
 
 
-def _texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Texts of the stored distinct ``ids``; the ids are broadcast up to a bound."""
+def _texts(df: DataFrame, ids: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """Texts of the ``ids`` (at most ``rows``, broadcast up to a bound)."""
+    ids = F.broadcast(ids) if rows <= BROADCAST_IDS else ids.distinct()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        sized_broadcast(ids, BROADCAST_IDS), "id", "left_semi")
+        ids, "id", "left_semi")
 
 
-def _cross_links(rows: DataFrame, linked: DataFrame, reps: DataFrame, df: DataFrame,
-                 id_col: str, text_col: str) -> DataFrame:
-    """Confirmed links between members of one band group but of different components.
+def _cross_links(shared: DataFrame, linked: DataFrame, df: DataFrame, id_col: str,
+                 text_col: str) -> DataFrame:
+    """Components (a, b) joined by a link between members of one band group.
 
     In each group the members outside its largest component are compared with
     all members, block by block; a block holds at most 2 * ``BLOCK`` members and
-    returns at most one link of a member to each component.
+    returns at most one link of a member to each component. ``linked`` names the
+    components of linked ids; any other id is one of its own.
     """
-    own = stored(rows.join(linked, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("comp")))
+    own = shared.join(linked, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("comp"))
     sizes = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = stored(sizes.groupBy("key").agg(
+    mixed, of = stored_counted(sizes.groupBy("key").agg(
         F.sum("n").alias("g"), F.max(F.struct("n", "comp")).alias("top"))
         .where("g > top.n and g > 2")
         .select("key", F.col("top.comp").alias("main"),
                 F.ceil(F.col("g") / BLOCK).cast("int").alias("wide"),
                 F.ceil((F.col("g") - F.col("top.n")) / BLOCK).cast("int").alias("high")))
-    if mixed.isEmpty():
-        return rows.sparkSession.createDataFrame([], "a bigint, b bigint")
-    members = stored(own.join(mixed, "key"))
-    wanted = stored(members.select("id").distinct())
+    if not of["rows"]:
+        return shared.sparkSession.createDataFrame([], "a bigint, b bigint")
+    members, of = stored_counted(own.join(broadcast_up_to(mixed, of["rows"], BROADCAST_ROWS), "key"))
 
     def prepare():
-        return lambda texts: ([s.tobytes() for s in shingle_sets(texts)],)
+        def compute(texts):
+            sets = shingle_sets(texts)
+            return [s.tobytes() for s in sets], [registers(s).tobytes() for s in sets]
+        return compute
 
-    sets = add_columns(_texts(df, wanted, id_col, text_col), ["text"], "hashes binary", prepare,
-                       drop=["text"]).join(reps.select("id", "regs"), "id")
+    sets = add_columns(_texts(df, members.select("id"), of["rows"], id_col, text_col), ["text"],
+                       "hashes binary, regs binary", prepare, drop=["text"])
     place = F.abs(F.xxhash64("id"))
     base = members.select(
         "key", "id", "comp", (place % F.col("wide")).cast("int").alias("col"),
@@ -236,7 +242,7 @@ def _cross_links(rows: DataFrame, linked: DataFrame, reps: DataFrame, df: DataFr
 
     def handle(table):
         probe = np.array(table.column("probe").to_pylist())
-        ids, comp = table.column("id").to_numpy(), table.column("comp").to_numpy()
+        comp = table.column("comp").to_numpy()
         own = [np.frombuffer(h, dtype=np.uint64) for h in table.column("hashes").to_pylist()]
         n = np.array([len(h) for h in own])
         regs = np.frombuffer(b"".join(table.column("regs").to_pylist()),
@@ -251,8 +257,8 @@ def _cross_links(rows: DataFrame, linked: DataFrame, reps: DataFrame, df: DataFr
             for o in other:
                 if comp[o] not in joined and _alike(own[k], own[o]):
                     joined.add(comp[o])
-                    left.append(ids[k])
-                    right.append(ids[o])
+                    left.append(comp[k])
+                    right.append(comp[o])
         return left, right
 
     return map_groups(base.union(probe).join(sets, "id"), ["key", "col", "row"],
@@ -273,20 +279,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     signed = stored(signatures(df, id_col, text_col))
     able = signed.where("n > 0 and id is not null")
-    classes = stored(able.groupBy("n", "c1", "c2").agg(F.min("id").alias("rep")))
-    reps = stored(able.select("id", "n", "regs").join(
-        classes.select(F.col("rep").alias("id")), "id", "left_semi"))
+    classes = stored(able.groupBy("n", "c1", "c2").agg(F.min(F.struct("id", "regs")).alias("first"))
+                     .select("n", "c1", "c2", F.col("first.id").alias("rep"), "first.regs"))
+    reps = classes.select(F.col("rep").alias("id"), "n", "regs")
     bands = _band_rows(reps)
-    groups = stored(_leaders(bands))
-    shared = stored(bands.join(groups.select("key"), "key", "left_semi"))
-    first = stored(_confirmed(stored(_estimated(_leader_pairs(groups, shared), reps)),
-                              df, id_col, text_col))
-    linked = components(first)
-    cross = stored(_cross_links(shared, linked, reps, df, id_col, text_col))
-    if not cross.isEmpty():
-        linked = components(first.union(cross))
-    named = (classes.join(linked.select(F.col("id").alias("rep"), "component"), "rep", "left")
-             .select("n", "c1", "c2", F.coalesce("component", "rep").alias("component")))
+    groups, of = stored_counted(_leaders(bands))
+    shared = stored(bands.join(broadcast_up_to(groups, of["rows"], BROADCAST_ROWS), "key"))
+    pairs, of = stored_counted(_estimated(_leader_pairs(shared), reps))
+    linked, rows = counted_components(_confirmed(pairs, of["rows"], df, id_col, text_col))
+    linked = broadcast_up_to(linked, rows, BROADCAST_ROWS)
+    joined, rows = counted_components(_cross_links(shared, linked, df, id_col, text_col))
+    joined = broadcast_up_to(joined.select(F.col("id").alias("own"), F.col("component").alias("top")),
+                             rows, BROADCAST_ROWS)
+    named = (classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
+             .select("n", "c1", "c2", F.coalesce("component", "rep").alias("own"))
+             .join(joined, "own", "left")
+             .select("n", "c1", "c2", F.coalesce("top", "own").alias("component")))
     return (signed.join(named, ["n", "c1", "c2"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
