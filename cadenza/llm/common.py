@@ -76,26 +76,26 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 SLICE_BYTES = 8 << 20  # of an Arrow batch worked on at once in a Python worker
 
 
-def slices(batches):
-    """The rows of ``batches`` in pieces of about ``SLICE_BYTES``, one row at least.
+def slices(batches, size: int = SLICE_BYTES):
+    """The rows of ``batches`` in pieces of about ``size`` bytes, one row at least.
 
     At the end Arrow's free memory is given back: workers outlive their tasks.
     """
     for batch in batches:
         if batch.num_rows:
-            step = max(1, int(SLICE_BYTES * batch.num_rows // max(1, batch.nbytes)))
+            step = max(1, int(size * batch.num_rows // max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, step):
                 yield batch.slice(start, step)
     pa.default_memory_pool().release_unused()
 
 
 def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callable],
-                drop=()) -> DataFrame:
-    """``df`` without ``drop`` plus ``fields``, computed per Arrow batch.
+                drop=(), size: int = SLICE_BYTES, done: Callable[[], None] | None = None) -> DataFrame:
+    """``df`` without ``drop`` plus ``fields``, computed per slice of an Arrow batch.
 
     ``prepare()`` runs once per task and returns a function from the lists of
-    values of ``inputs`` to one sequence per field. Other columns pass through
-    untouched, whatever their types and nulls.
+    values of ``inputs`` to one sequence per field; ``done()`` runs when the task
+    ends. Other columns pass through untouched, whatever their types and nulls.
     """
     added = T._parse_datatype_string(fields).fields
     names = {f.name for f in added}
@@ -109,11 +109,15 @@ def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callab
 
         kinds = [to_arrow_type(f.dataType) for f in added]
         compute = prepare()
-        for batch in slices(batches):
-            made = compute(*(batch.column(width + i).to_pylist() for i in range(len(inputs))))
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:width] + [pa.array(m, k) for m, k in zip(made, kinds)],
-                names=schema.names)
+        try:
+            for batch in slices(batches, size):
+                made = compute(*(batch.column(width + i).to_pylist() for i in range(len(inputs))))
+                yield pa.RecordBatch.from_arrays(
+                    batch.columns[:width] + [pa.array(m, k) for m, k in zip(made, kinds)],
+                    names=schema.names)
+        finally:
+            if done is not None:
+                done()
 
     return source.mapInArrow(run, schema)
 

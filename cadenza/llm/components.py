@@ -12,8 +12,8 @@ BROADCAST_ROWS = 200_000  # pairs of integers sent to every executor; larger tab
 
 def counted_components(edges: DataFrame) -> tuple[DataFrame, int]:
     """``components(edges)``, stored, and its number of rows."""
-    real = edges.where("a <> b").select("a", "b")
-    rest, of = stored_counted(real.union(real.select("b", "a")).distinct())
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest, of = stored_counted(edges.where("a <> b").select(F.inline(both)).distinct())
     levels = []
     while of["rows"]:
         hooked, of = stored_counted(rest.groupBy("a").agg(F.min("b").alias("b"))

@@ -11,7 +11,8 @@ in a bitfield of failed positions, so no position is tried twice.
 No piece of a supported vocabulary holds a space mark after another character
 or a character outside its own alphabet (checked when the vocabulary is read).
 Texts are therefore cut before runs of spaces, around line ends and between
-letters and marks that share no piece, without any effect on the result, and the ids of short cuts are remembered per worker.
+letters and marks that share no piece, without any effect on the result, and the
+ids of short cuts are remembered during a task, up to a bound in bytes.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import add_columns
 
 MARK = "▁"
-CACHE_ENTRIES = 150_000  # remembered cuts per Python worker, in each of two generations
+CACHE_BYTES = 16 << 20  # remembered cuts of a task, in each of two generations
+ENTRY_BYTES = 210  # of a remembered cut beside its characters: two strings, a dictionary slot
 CACHE_CHARS = 48  # longer cuts are encoded each time
-PAIR_ENTRIES = 300_000
+PAIR_ENTRIES = 100_000  # about 200 bytes each
+TEXT_BYTES = 1 << 20  # of texts encoded at once
 
 
 class Vocabulary:
@@ -83,7 +86,6 @@ class Codec:
         for piece, i in reachable.items():
             cut = next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in reachable), None)
             self.shorter[i] = reachable[cut] if cut else None
-        self.pairs: dict[tuple[int, int], bool] = {}
         # characters that share no piece, even by way of others, with the letters:
         # a cut between them and the rest is safe
         touching: dict[str, set[str]] = {}
@@ -104,9 +106,15 @@ class Codec:
         rules = [f" +(?:[{own}]+|[^ {breaks}{own}]*)", f"[{own}]+"] if own else [f" +[^ {breaks}]*"]
         rules += [f"[^ {breaks}{own}]+"] + ([f"[{breaks}]"] if breaks else [])
         self.cuts = re.compile("|".join(rules))
+        self.changed: dict[str, str] = {}  # cuts of the current text that decode to another text
+        self.forget()
+
+    def forget(self):
+        """Drop all that was remembered; workers outlive their tasks."""
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.known: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self.changed: dict[str, str] = {}  # cuts of the current text that decode to another text
+        self.known_bytes = 0
 
     def merge(self, text: str) -> list[int]:
         """Ids of a short text by merging its best-scored pair again and again."""
@@ -211,8 +219,9 @@ class Codec:
                 self.changed[cut] = text
                 return got
         if len(cut) <= CACHE_CHARS:
-            if len(self.known) >= CACHE_ENTRIES:
-                self.known, self.older = {}, self.known
+            self.known_bytes += ENTRY_BYTES + len(cut) + len(got)
+            if self.known_bytes > CACHE_BYTES:
+                self.known, self.older, self.known_bytes = {}, self.known, 0
             self.known[cut] = got
         return got
 
@@ -282,4 +291,5 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", keep=(
         return compute
 
     return add_columns(df.select(*keep, F.col(text_col).alias("__text")), ["__text"], fields,
-                       prepare, drop=["__text"])
+                       prepare, drop=["__text"], size=TEXT_BYTES,
+                       done=lambda: _codec(shared.value).forget())

@@ -8,6 +8,7 @@ from cadenza.llm.common import mix64, text_slices
 
 WORDS = 5
 SLICE_CHARS = 500_000
+KEPT_POWERS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _STEP = pow(_BASE, -1, 1 << 64)
 _random = np.random.Generator(np.random.PCG64(7))
@@ -18,15 +19,25 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(size: int):
-    """Powers of the base and of its inverse modulo 2 ** 64, at least ``size``."""
-    if not _powers or len(_powers[0]) < size:
-        made = []
-        for base in (_BASE, _STEP):
-            table = np.full(max(size, 1 << 20), base, dtype=np.uint64)
-            table[0] = 1
-            made.append(np.cumprod(table, dtype=np.uint64))
-        _powers[:] = made
+def _made(size: int) -> list[np.ndarray]:
+    made = []
+    for base in (_BASE, _STEP):
+        table = np.full(size, base, dtype=np.uint64)
+        table[0] = 1
+        made.append(np.cumprod(table, dtype=np.uint64))
+    return made
+
+
+def _power_tables(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64, at least ``size``.
+
+    The first ``KEPT_POWERS`` stay in the worker; longer tables, for a very long
+    text, last for one call.
+    """
+    if size > KEPT_POWERS:
+        return _made(size)
+    if not _powers:
+        _powers.extend(_made(KEPT_POWERS))
     return _powers
 
 

@@ -46,7 +46,7 @@ def test_random_texts(both, text):
 
 def test_remembered_cuts_are_replaced_without_change(both, monkeypatch):
     from cadenza.llm import piece_codec
-    monkeypatch.setattr(piece_codec, "CACHE_ENTRIES", 5)
+    monkeypatch.setattr(piece_codec, "CACHE_BYTES", 1200)
     for text in TEXTS * 2:
         _same(both, text)
 
