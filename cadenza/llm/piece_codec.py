@@ -12,7 +12,7 @@ No piece of a supported vocabulary holds a space mark after another character
 or a character outside its own alphabet (checked when the vocabulary is read).
 Texts are therefore cut before runs of spaces, around line ends and between
 letters and marks that share no piece, without any effect on the result, and the
-ids of short cuts are remembered during a task, up to a bound in bytes.
+ids of short cuts are remembered per worker, up to a bound in bytes.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import add_columns
 
 MARK = "▁"
-CACHE_BYTES = 16 << 20  # remembered cuts of a task, in each of two generations
+CACHE_BYTES = 32 << 20  # remembered cuts of a Python worker, in each of two generations
 ENTRY_BYTES = 210  # of a remembered cut beside its characters: two strings, a dictionary slot
 CACHE_CHARS = 48  # longer cuts are encoded each time
 PAIR_ENTRIES = 100_000  # about 200 bytes each
@@ -110,7 +110,7 @@ class Codec:
         self.forget()
 
     def forget(self):
-        """Drop all that was remembered; workers outlive their tasks."""
+        """Drop all that was remembered."""
         self.pairs: dict[tuple[int, int], bool] = {}
         self.known: dict[str, str] = {}
         self.older: dict[str, str] = {}
@@ -291,5 +291,4 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", keep=(
         return compute
 
     return add_columns(df.select(*keep, F.col(text_col).alias("__text")), ["__text"], fields,
-                       prepare, drop=["__text"], size=TEXT_BYTES,
-                       done=lambda: _codec(shared.value).forget())
+                       prepare, drop=["__text"], size=TEXT_BYTES)
