@@ -11,10 +11,11 @@ shingles all miss the fraction keeps its smallest hash.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +25,6 @@ SHINGLE = 16
 SCALE = 16
 HASH_BITS = 40
 SLICE_CHARS = 500_000
-BINS = 4096  # of the histogram of ids
 _BASE = 0x9E3779B97F4A7C15
 _NONE = np.zeros(0, dtype=np.uint64)
 
@@ -78,28 +78,55 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
-def _id_group(rows: DataFrame, groups: int):
-    """Number of each id's group, never falling as ``id`` grows (null: 0).
+def _at_most(values: list, kind: str, x: Column) -> Column:
+    """How many of the ascending ``values`` are at most ``x``, by binary search."""
+    if not values:
+        return F.lit(0)
+    table = F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+    steps = [1 << k for k in reversed(range(len(values).bit_length()))]
+    return F.reduce(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        F.get(table, at + step - 1) <= x, at + step).otherwise(at))
+
+
+def _quantiles(rows: DataFrame, value: Column, count: int, *more: Column):
+    """``count`` inner quantiles of ``value`` (None without rows), then ``more``."""
+    inner = [(k + 1) / (count + 1) for k in range(count)]
+    return rows.agg(F.percentile_approx(value, inner, max(10_000, 8 * count)), *more).first()
 
-    Ids fall into ``BINS`` ranges of equal width; their counts decide how many
-    groups each range is cut into, again by equal width.
+
+def _laid(rows: DataFrame, groups: int) -> DataFrame:
+    """``rows`` with ``group``, never falling by (id, text), and ``run``.
+
+    Ids are cut at quantiles. An id on several of them, and the null id, is a
+    ``run``: its rows are cut at quantiles of the first bytes of their texts.
     """
-    low, high = rows.agg(F.min("id"), F.max("id")).first()
-    if low is None:
-        return F.lit(0)
-    span = float(high) - float(low) or 1.0
-    place = (F.col("id").cast("double") - F.lit(float(low))) / F.lit(span) * F.lit(float(BINS))
-    bin_of = F.least(F.floor(place), F.lit(BINS - 1)).cast("int")
-    counts = dict(rows.where("id is not null").groupBy(bin_of.alias("bin")).count().collect())
-    total = sum(counts.values())
-    start, cuts, below = [], [], 0
-    for k in range(BINS):
-        start.append(groups * below // total)
-        below += counts.get(k, 0)
-        cuts.append(max(1, groups * below // total - start[-1]))
-    table = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
-    inside = F.least(F.floor((place - bin_of) * F.get(table(cuts), bin_of)), F.get(table(cuts), bin_of) - 1)
-    return F.when(F.col("id").isNull(), 0).otherwise((F.get(table(start), bin_of) + inside).cast("int"))
+    kind = rows.schema["id"].dataType.simpleString()
+    cuts, total, nulls = _quantiles(rows, F.col("id"), groups - 1, F.count(F.lit(1)),
+                                    F.count_if(F.col("id").isNull()))
+    often = Counter(cuts or ())
+    cuts = sorted(often)
+    null_cuts = groups * nulls // total if total else 0
+    heavy = [0] + [int(often[c] > 1) for c in cuts]  # whether interval k begins with a run
+    runs = np.cumsum(heavy) + 1  # up to interval k, the null id counted as the first
+    size = min(6, (52 - int(runs[-1]).bit_length()) // 8)  # bytes; doubles hold run and bytes
+    table = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+    begin = F.conv(F.rpad(F.substring(F.hex(F.substring("text", 1, size)), 1, 2 * size), 2 * size, "0"),
+                   16, 10).cast("long")
+    rows = rows.withColumn("at", F.when(F.col("id").isNull(), 0).otherwise(_at_most(cuts, kind, F.col("id"))))
+    starts = F.lit(False)
+    if cuts:
+        own = F.get(F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{kind}>"), F.col("at") - 1)
+        starts = F.coalesce((F.get(table(heavy), F.col("at")) == 1) & (F.col("id") == own), F.lit(False))
+    number = F.get(table(runs), F.col("at"))
+    span = F.lit(1 << 8 * size)
+    rows = (rows.withColumn("run", F.col("id").isNull() | starts)
+            .withColumn("place", F.when(F.col("id").isNull(), begin)
+                        .when(F.col("run"), (number - 1) * span + begin).otherwise(number * span - 1)))
+    wanted = null_cuts + sum(n for n in often.values() if n > 1)
+    inner = _quantiles(rows.where("run"), F.col("place"), wanted)[0] if wanted else None
+    inner = sorted(set(inner or ()))
+    return rows.select("id", "text", "run", (
+        F.col("at") + _at_most(inner, "long", F.col("place"))).cast("int").alias("group"))
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -108,24 +135,31 @@ def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Returns ``group``, ``ahead``, ``id`` and ``text``, sorted by these within
     every task: rows with ``ahead`` = 0 are the input; each group ends in a copy
     (``ahead`` = 1) of the row that follows it, after the last group of the
-    first row. Groups are ranges of ids with about equal numbers of rows, one
-    shuffle of the texts in all; what reaches the driver is a histogram of
-    ``BINS`` counts and one id per group. Null ids come first, equal ids are
-    ordered by text.
+    first row. Groups are ranges of ids with about equal numbers of rows, also
+    where ids are far apart; many rows of one id or without an id are cut by the
+    first bytes of their texts, only texts that begin alike stay together. One
+    shuffle of the texts in all; what reaches the driver is a bounded number of
+    cuts, an id and a hash per group. Null ids come first, equal ids are ordered
+    by text. Ids are numbers or dates.
     """
     spark = df.sparkSession
     groups = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("group", _id_group(rows, groups))
-    first = sorted(rows.select("id", "group").groupBy("group")
-                   .agg(F.min(F.struct("id")).alias("first")).collect())
+    rows = _laid(df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")),
+                 groups)
+    # texts are read for runs only: elsewhere the first id of a group names its first row
+    first = sorted(rows.groupBy("group").agg(F.min(F.struct(
+        "id", F.when(F.col("run"), F.col("text")).alias("text"))).alias("first"))
+        .select("group", "first.id", F.sha2("first.text", 256).alias("sha")).collect())
     kind = rows.schema["id"].dataType
     ahead = spark.createDataFrame(
-        [(r["first"]["id"], first[k - 1]["group"]) for k, r in enumerate(first)],
-        T.StructType([T.StructField("first_id", kind), T.StructField("before", T.IntegerType())]))
+        [(r["group"], r["id"], r["sha"], first[k - 1]["group"]) for k, r in enumerate(first)],
+        T.StructType([T.StructField("first_group", T.IntegerType()), T.StructField("first_id", kind),
+                      T.StructField("sha", T.StringType()), T.StructField("before", T.IntegerType())]))
+    leads = F.col("before").isNotNull() & (F.col("sha").isNull() | (F.sha2("text", 256) == F.col("sha")))
     place = F.array(F.struct(F.col("group"), F.lit(0).alias("ahead")),
-                    F.struct(F.col("before").alias("group"), F.lit(1).alias("ahead")))
-    return (rows.join(F.broadcast(ahead), F.col("id").eqNullSafe(F.col("first_id")), "left")
+                    F.struct(F.when(leads, F.col("before")).alias("group"), F.lit(1).alias("ahead")))
+    return (rows.join(F.broadcast(ahead), (F.col("group") == F.col("first_group"))
+                      & F.col("id").eqNullSafe(F.col("first_id")), "left")
             .select("id", "text", F.inline(F.filter(place, lambda p: p["group"].isNotNull())))
             .repartition("group").sortWithinPartitions("group", "ahead", "id", "text")
             .select("group", "ahead", "id", "text"))

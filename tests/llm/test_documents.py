@@ -99,6 +99,33 @@ def test_edit_edge_rows(spark):
     assert scaled_sketch.fingerprint_edits(empty).count() == 0
 
 
+def _groups(spark, rows):
+    laid = scaled_sketch.with_next(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    return sorted(r["count"] for r in laid.where("ahead = 0").groupBy("group").count().collect())
+
+
+@pytest.mark.parametrize("ids", [
+    [*range(3000), 10**15], [*range(0, 3000), *range(10**12, 10**12 + 40)], [2**62 + i for i in range(3000)]])
+def test_groups_of_far_ids_are_even(spark, ids):
+    rows = [(i, f"text {i}") for i in random.Random(4).sample(ids, len(ids))]
+    sizes = _groups(spark, rows)
+    assert sizes[-1] <= 2 * len(ids) / (4 * 4) or ids[0] >= 2**62  # doubles blur ids beyond 2**53
+    _check_edits(scaled_sketch.fingerprint_edits(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
+@pytest.mark.parametrize("heavy", [[None], [5], [None, 5, 900]])
+def test_groups_of_one_id_are_cut_by_text(spark, heavy):
+    rng = random.Random(9)
+    text = lambda: "".join(rng.choice("abcdefghij é") for _ in range(30))
+    rows = [(i, text()) for i in range(1000)] + [(i, text()) for i in heavy for _ in range(1000)]
+    rows += [(i, None) for i in heavy] + [(heavy[0], "\x00"), (heavy[0], "a\x00b"), (heavy[0], "a")]
+    rng.shuffle(rows)
+    assert _groups(spark, rows)[-1] <= 2.5 * len(rows) / (4 * 4)
+    _check_edits(scaled_sketch.fingerprint_edits(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
 @tables
 def test_op5_query(spark):
     _check_edits(op5_scaled_sketch(spark, SF).collect(),
