@@ -95,11 +95,12 @@ def add_columns(df: DataFrame, inputs, fields: str, prepare: Callable[[], Callab
 
     ``prepare()`` runs once per task and returns a function from the lists of
     values of ``inputs`` to one sequence per field; ``done()`` runs when the task
-    ends. Other columns pass through untouched, whatever their types and nulls.
+    ends. Columns named like a field, in any case, are replaced; the others pass
+    through untouched, whatever their types and nulls.
     """
     added = T._parse_datatype_string(fields).fields
-    names = {f.name for f in added}
-    kept = [c for c in df.columns if c not in names and c not in drop]
+    names = {f.name.lower() for f in added}
+    kept = [c for c in df.columns if c.lower() not in names and c not in drop]
     source = df.select(*kept, *(F.col(c).alias(f"__in{i}") for i, c in enumerate(inputs)))
     schema = T.StructType(source.schema.fields[:len(kept)] + added)
     width = len(kept)

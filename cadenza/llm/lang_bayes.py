@@ -2,13 +2,14 @@
 
 Training counts the hashed n-grams of every labelled text: each task adds its
 texts into one dense table per label and emits the non-zero cells, which are
-summed in Spark. The log-probability matrix (labels x buckets, at most
-``MAX_LABELS`` x ``BUCKETS`` doubles) is collected and broadcast; scoring is a
-gather and a segmented sum in numpy over Arrow batches.
+summed in Spark. The log-probability matrix (labels x buckets) is collected and
+broadcast in blocks of at most ``LABEL_BLOCK`` x ``BUCKETS`` doubles, one block at
+a time; scoring is a gather and a segmented sum in numpy over Arrow batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,20 +17,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import add_columns, code_points, mix64, slices, text_slices
+from cadenza.llm.common import add_columns, code_points, mix64, slices, stored, text_slices
 
 BUCKETS = 1 << 13
 ORDERS = (2, 3)
-MAX_LABELS = 512  # bound of the broadcast matrix; more labels are an error
+LABEL_BLOCK = 512  # labels of one broadcast matrix; more labels take more matrices
 SLICE_CHARS = 500_000
 UNKNOWN = "und"
 
 
 @dataclass
 class LanguageModel:
+    """One block of labels; ``later`` makes the blocks of the labels after them."""
+
     labels: list[str]
     log_prior: np.ndarray
     log_prob: np.ndarray  # labels x buckets
+    later: LaterLabels | None = None
+
+    def blocks(self) -> Iterator[LanguageModel]:
+        """All blocks in the order of the labels, one in memory at a time."""
+        yield LanguageModel(self.labels, self.log_prior, self.log_prob)
+        if self.later is not None:
+            yield from self.later.after(self.labels[-1])
+
+
+@dataclass
+class LaterLabels:
+    """Counts that stay in Spark: ``label`` and its ``cells``, and the texts of all labels."""
+
+    by_label: DataFrame
+    documents: int
+
+    def after(self, label: str) -> Iterator[LanguageModel]:
+        while rows := _next_block(self.by_label.where(F.col("label") > label)):
+            yield _block(rows, self.documents)
+            label = rows[-1]["label"]
 
 
 def _grams(texts, order: int):
@@ -51,11 +74,32 @@ def _grams(texts, order: int):
     return bucket[inside], starts
 
 
+def _next_block(by_label: DataFrame) -> list:
+    return by_label.orderBy("label").limit(LABEL_BLOCK).collect()
+
+
+def _block(rows, all_documents: int | None = None) -> LanguageModel:
+    """Smoothed logarithms of the counts in ``rows`` (label, cells)."""
+    counts = np.zeros((len(rows), BUCKETS))
+    documents = np.zeros(len(rows))
+    for k, row in enumerate(rows):
+        for bucket, n in row["cells"]:
+            if bucket < 0:
+                documents[k] = n
+            else:
+                counts[k, bucket] = n
+    smooth = counts + 1.0
+    return LanguageModel([r["label"] for r in rows],
+                         np.log(documents / (all_documents or documents.sum())),
+                         np.log(smooth / smooth.sum(axis=1, keepdims=True)))
+
+
 def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> LanguageModel | None:
     """Count n-grams by label over every row with a label and a text.
 
     Rows with a null label or text are not learned from; None without any row.
-    More than ``MAX_LABELS`` different labels fail with a ValueError.
+    With ``LABEL_BLOCK`` labels or more the counts are stored, and only the first
+    block of the matrix is returned in memory.
     """
     rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
@@ -81,29 +125,27 @@ def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang") -> Langu
 
     cells = (rows.mapInArrow(count, "label string, bucket int, n long")
              .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
-    by_label = (cells.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
-                .orderBy("label").limit(MAX_LABELS + 1).collect())
-    if not by_label:
-        return None
-    if len(by_label) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
-    counts = np.zeros((len(by_label), BUCKETS))
-    documents = np.zeros(len(by_label))
-    for k, row in enumerate(by_label):
-        for bucket, n in row["cells"]:
-            if bucket < 0:
-                documents[k] = n
-            else:
-                counts[k, bucket] = n
-    smooth = counts + 1.0
-    return LanguageModel([r["label"] for r in by_label], np.log(documents / documents.sum()),
-                         np.log(smooth / smooth.sum(axis=1, keepdims=True)))
+    def lists(cells):
+        return cells.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
 
-
-def _posterior(model: LanguageModel, texts) -> tuple[np.ndarray, np.ndarray]:
-    """Best label and its posterior probability for each text."""
+    first = _next_block(lists(cells))
+    if not first:
+        return None
+    if len(first) < LABEL_BLOCK:
+        return _block(first)
+    cells = stored(cells)
+    documents = cells.where("bucket < 0").agg(F.sum("n")).first()[0]
+    model = _block(first, documents)
+    model.later = LaterLabels(lists(cells), documents)
+    return model
+
+
+def _posterior(model: LanguageModel, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best label of the block for each text, its log-likelihood with the prior, and
+    the sum of the likelihoods of all labels of the block over that of the best."""
     best = np.zeros(len(texts), dtype=np.int64)
-    score = np.zeros(len(texts))
+    top = np.zeros(len(texts))
+    mass = np.zeros(len(texts))
     room = max(1, SLICE_CHARS * 4 // (4 + len(model.labels)))
     for a, b in text_slices(texts, room):
         total = np.tile(model.log_prior, (b - a, 1))
@@ -114,38 +156,64 @@ def _posterior(model: LanguageModel, texts) -> tuple[np.ndarray, np.ndarray]:
                 for k in range(len(model.labels)):
                     total[full, k] += np.add.reduceat(model.log_prob[k][bucket], starts[full])
         best[a:b] = total.argmax(axis=1)
+        top[a:b] = total.max(axis=1)
         total -= total.max(axis=1, keepdims=True)
-        score[a:b] = 1.0 / np.exp(total).sum(axis=1)
-    return best, score
+        mass[a:b] = np.exp(total).sum(axis=1)
+    return best, top, mass
 
 
-def predict(df: DataFrame, model: LanguageModel | None, text_col: str = "text",
-            drop=()) -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score`` (posterior of that label, 0 to 1).
+_STATE = ("__label", "__top", "__mass")  # best label so far, its log-likelihood, relative sum of all
 
-    A null text, a text without any letter, and every text when nothing was
-    learned get ``und`` with score 0. Ties go to the first label in order. All
-    columns but ``drop`` and all repeated rows are kept; columns named
-    ``lang_pred`` or ``score`` are replaced.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+
+def _judge(df: DataFrame, block: LanguageModel, text_col: str, first: bool, drop=()) -> DataFrame:
+    """``df`` with ``_STATE`` after one more block of labels; null without a letter."""
+    shared = df.sparkSession.sparkContext.broadcast(block)
 
     def prepare():
         model = shared.value
 
-        def compute(texts):
-            known = [k for k, t in enumerate(texts)
-                     if model is not None and t is not None and any(map(str.isalpha, t))]
-            labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        def compute(texts, *before):
+            known = [k for k, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
+            labels, tops, sums = ([None] * len(texts) for _ in _STATE)
             if known:
-                best, scores[known] = _posterior(model, [texts[k] for k in known])
-                for k, b in zip(known, best):
-                    labels[k] = model.labels[b]
-            return labels, scores
+                for k, b, top, mass in zip(known, *map(np.ndarray.tolist, _posterior(
+                        model, [texts[k] for k in known]))):
+                    label = model.labels[b]
+                    if before:
+                        old, old_top, old_mass = (column[k] for column in before)
+                        most = max(top, old_top)
+                        mass = mass * np.exp(top - most) + old_mass * np.exp(old_top - most)
+                        label, top = (label, top) if top > old_top else (old, old_top)
+                    labels[k], tops[k], sums[k] = label, top, mass
+            return labels, tops, sums
 
         return compute
 
-    return add_columns(df, [text_col], "lang_pred string, score double", prepare, drop=drop)
+    return add_columns(df, [text_col, *(() if first else _STATE)],
+                       "{} string, {} double, {} double".format(*_STATE), prepare, drop=drop)
+
+
+def predict(df: DataFrame, model: LanguageModel | None, text_col: str = "text",
+            drop=()) -> DataFrame:
+    """``df`` with ``lang_pred`` and ``score`` (posterior of that label, 0 to 1).
+
+    A null text, a text without any letter, and every text when nothing was
+    learned get ``und`` with score 0. Ties go to the first label in order. All
+    columns but ``drop`` and all repeated rows are kept; columns named
+    ``lang_pred`` or ``score``, in any case, are replaced. Any number of labels
+    works: each further block of them reads the texts once more, from a stored table.
+    """
+    label, score = F.lit(UNKNOWN), F.lit(0.0)
+    judged = df
+    if model is not None:
+        for k, block in enumerate(model.blocks()):
+            judged = _judge(stored(judged) if k else judged, block, text_col, first=not k,
+                            drop=() if model.later else drop)
+        label = F.coalesce(F.col(_STATE[0]), label)
+        score = F.coalesce(1.0 / F.col(_STATE[2]), score)
+    made = {"lang_pred": label, "score": score}
+    kept = [c for c in df.columns if c.lower() not in made and c not in drop]
+    return judged.select(*kept, *(column.alias(name) for name, column in made.items()))
 
 
 def held_out(modulus: int, remainder: int, id_col: str = "doc_id"):

@@ -71,7 +71,8 @@ def poisson_mix(df: DataFrame, weights: dict[str, float] | None = None, seed: st
     """Replicate documents so that each source reaches its share of characters.
 
     Returns the columns of ``df`` (extra ones included) with ``copy_no`` (1, 2,
-    ...) and ``mix_key``, rows in the global order of ``mix_key``. Equal ids draw
+    ...) and ``mix_key`` (columns of these names, in any case, are replaced), rows
+    in the global order of ``mix_key``. Equal ids draw
     equal counts (repeated rows repeat together), a null id draws like the empty
     string, a null source is a source of its own with the share of one (no
     weight when ``weights`` is given), and a document without copies leaves.
@@ -90,7 +91,7 @@ def poisson_mix(df: DataFrame, weights: dict[str, float] | None = None, seed: st
         F.col("__below"),
         lambda c: c <= _uniform(F.lit(seed), id_text, part.cast("string")))))
     count = F.aggregate(draws, F.lit(0), lambda a, b: a + b)
-    kept = [c for c in df.columns if c not in ("copy_no", "mix_key")]
+    kept = [c for c in df.columns if c.lower() not in ("copy_no", "mix_key")]
     copies = (df.select(*kept).join(rates, F.col(source_col).eqNullSafe(F.col("__source")))
               .withColumn("__n", count).where("__n > 0")
               .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__n")))))

@@ -56,6 +56,54 @@ def test_language_prediction_rows(spark):
     assert lang_bayes.predict(df, None).select("lang_pred").distinct().collect() == [("und",)]
 
 
+def test_posterior_matches_brute_force(spark):
+    model = lang_bayes.fit(_labelled(spark))
+    texts = ["the dog", "das haus", "the haus 12", "ß", "x" * 500]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in lang_bayes.predict(rows, model).collect():
+        framed = f" {row['text'].lower()} "
+        total = [model.log_prior[k] + sum(model.log_prob[k][_bucket(framed[at:at + order])]
+                                          for order in lang_bayes.ORDERS for at in range(len(framed) - order + 1))
+                 for k in range(len(model.labels))]
+        odds = np.exp(np.array(total) - max(total))
+        assert row["lang_pred"] == model.labels[int(odds.argmax())]
+        assert row["score"] == pytest.approx(odds.max() / odds.sum())
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7])
+def test_any_number_of_labels(spark, monkeypatch, block):
+    rng = np.random.default_rng(3)
+    rows = [(i, "".join(rng.choice(list("abcdef"), 40, p=rng.dirichlet(np.ones(6)))), f"l{i % 7}") for i in range(70)]
+    rows += [(70, None, "l0"), (71, "12", "l1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = lang_bayes.fit(df)
+    assert whole.later is None and len(whole.labels) == 7
+    want = {r["doc_id"]: r for r in lang_bayes.predict(df, whole).collect()}
+    monkeypatch.setattr(lang_bayes, "LABEL_BLOCK", block)
+    model = lang_bayes.fit(df)
+    assert [label for part in model.blocks() for label in part.labels] == whole.labels
+    assert all(len(part.labels) <= block for part in model.blocks())
+    got = lang_bayes.predict(df, model, drop=["text"])
+    assert got.columns == ["doc_id", "lang", "lang_pred", "score"]
+    for row in got.collect():
+        assert row["lang_pred"] == want[row["doc_id"]]["lang_pred"]
+        assert row["score"] == pytest.approx(want[row["doc_id"]]["score"])
+
+
+def test_more_labels_than_a_block(spark):
+    rows = [(i, f"word{i} " * 20, f"l{i:04d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = lang_bayes.predict(df, lang_bayes.fit(df)).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) > 570
+
+
+def test_columns_that_clash_in_another_case(spark):
+    df = _labelled(spark).withColumnRenamed("label", "Score").selectExpr("*", "1 AS LANG_pred")
+    got = lang_bayes.predict(df, lang_bayes.fit(df))
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert got.select("score").count() == 8
+
+
 @pytest.fixture(scope="module")
 def language(spark):
     words = "the idiot and a stupid moron went to the house of the loser while the pathetic clown sat"
