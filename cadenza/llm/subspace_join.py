@@ -34,7 +34,7 @@ CELL = 1600  # vectors of a cell aimed at
 MAX_CELLS = 4096
 MEMBERS, PROBES = 1024, 4096  # of one comparison block
 SLACK = 1e-9
-MAX_SIZES = 64  # different vector lengths in one table
+UNION = 16  # vector lengths whose results are stored together
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -237,13 +237,21 @@ def _linked(reps: DataFrame, size: int, threshold: float) -> DataFrame:
     return map_groups(routed, ["key"], "id long, links long, root long", handle)
 
 
+def _partial(classes: DataFrame, threshold: float) -> DataFrame | None:
+    """Links inside each length, None without vectors; the results of ``UNION`` lengths are stored at a time."""
+    lengths = sorted(r[0] for r in classes.select(F.size("vector")).distinct().collect())
+    parts = [stored(reduce(DataFrame.union, [
+        _linked(classes, size, threshold) for size in lengths[k:k + UNION]]))
+        for k in range(0, len(lengths), UNION)]
+    return reduce(DataFrame.union, parts) if parts else None
+
+
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     threshold: float = THRESHOLD) -> DataFrame:
     """One row per row: ``id_col``, ``n_links``, ``component_id`` and ``kept``.
 
     Vectors are linked when their cosine in double precision is at least
-    ``threshold``; only vectors of equal length are compared, and more than
-    ``MAX_SIZES`` different lengths fail with a ValueError. A vector that is
+    ``threshold``; only vectors of equal length are compared. A vector that is
     null, empty or zero or holds a null or non-finite component links with
     nothing, nor does one without an id. Equal vectors are one class, so that
     copies are counted but not compared; repeated rows count as vectors of their
@@ -258,15 +266,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     able = rows.where("able").select("id", "vector")
     classes = stored(able.groupBy("vector").agg(F.min("id").alias("id"),
                                                 F.count(F.lit(1)).alias("size")))
-    lengths = [r[0] for r in classes.select(F.size("vector")).distinct()
-               .limit(MAX_SIZES + 1).collect()]
-    if len(lengths) > MAX_SIZES:
-        raise ValueError(f"more than {MAX_SIZES} vector lengths")
     alone = rows.where("not able").select("id", F.lit(0).cast("long").alias("links"),
                                           F.col("id").alias("component"))
-    if lengths:
-        partial = stored(reduce(DataFrame.union, [
-            _linked(classes, size, threshold) for size in sorted(lengths)]))
+    partial = _partial(classes, threshold)
+    if partial is not None:
         linked = components(partial.where("id <> root").select(
             F.col("id").alias("a"), F.col("root").alias("b")))
         found = (classes.join(partial.groupBy("id").agg(F.sum("links").alias("links")), "id", "left")

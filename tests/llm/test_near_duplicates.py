@@ -144,6 +144,16 @@ def test_subspace_join_matches_brute_force(spark, monkeypatch, members, probes,
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def test_many_vector_lengths(spark):
+    rng = np.random.default_rng(8)
+    vectors = [v for size in range(1, 71) for base in [rng.standard_normal(size)]
+               for v in (base, base + 0.01 * rng.standard_normal(size), rng.standard_normal(size))]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in subspace_join.near_duplicates(df).collect()}
+    assert got == _brute_vectors(rows)
+
+
 def test_subspace_join_edge_rows(spark):
     schema = "vec_id long, embedding array<float>"
     rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (4, None)]
