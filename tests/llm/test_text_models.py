@@ -192,6 +192,30 @@ def test_quality_training_ranks_pairs():
     assert quality_rank.train(rows, np.ones(600)) is None
 
 
+def test_quality_is_learned_from_every_labelled_text(spark):
+    rng = np.random.default_rng(6)
+    rows = rng.standard_normal((21_000, 2))
+    for few, block_rows in ((0, 20_000), (1, 20_000), (0, 700), (1, 700)):  # a rare class too
+        labels = (rng.random(len(rows)) < 0.7).astype(int)
+        if few:
+            labels[:] = few - 1
+            labels[[5, 900, 20_500]] = few
+        better = rows + labels[:, None] * np.array([2.0, -1.0])
+        table = list(zip(range(len(rows)), better.tolist(), labels.tolist()))
+        df = spark.createDataFrame(table, "doc_id long, features array<double>, quality int")
+        got = quality_rank.fit(df.select("doc_id", "features"), df.select("doc_id", "quality"),
+                               block_rows=block_rows)
+        assert np.allclose(got.means, better.mean(axis=0)) and np.allclose(got.scales, better.std(axis=0))
+        scores = (better - got.means) / got.scales @ got.weights
+        assert got.cut == pytest.approx(np.quantile(scores, (labels == 0).mean()))
+        whole = quality_rank.train(better, labels)
+        assert np.corrcoef(scores, better @ (whole.weights / whole.scales))[0, 1] > 0.98
+    # up to one block the fit is that of the local form
+    small = quality_rank.fit(df.where("doc_id < 1000").select("doc_id", "features"),
+                             df.select("doc_id", "quality"))
+    assert np.allclose(small.weights, quality_rank.train(better[:1000], labels[:1000]).weights)
+
+
 def test_quality_without_labels(spark):
     df = quality_rank.featured(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
     none = spark.createDataFrame([], "doc_id long, quality int")
