@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +22,23 @@ from cadenza.session import ensure_checkpoint_dir
 COUNTS_PRESET = {"rank": 20, "reg": 0.5, "alpha": 5.0, "max_iter": 10}
 RECENCY_PRESET = {"rank": 10, "reg": 0.05, "alpha": 40.0, "max_iter": 10}
 
-# Factor blocks. The block layout decides MLlib's factor initialisation, so the
-# number is part of the model like the seed and never follows the cluster size.
+# Factor blocks. The layout of the user blocks decides MLlib's factor initialisation, so
+# their number is part of the model like the seed and never follows the cluster size.
 # Raise it for tables whose blocks would not fit a task (it changes the model).
 NUM_BLOCKS = 16
 
+# Item blocks are layout only: the fit begins by solving for the items, so their initial
+# factors are never read. Every round sends each user's factors to all item blocks it has
+# ratings in, which is most of what a fit shuffles, so there are no more of them than
+# their size asks for. The number follows the ratings, not the cluster.
+MIN_ITEM_BLOCKS = 3
+ITEM_BLOCK_RATINGS = 1 << 26
+
+
+def item_blocks(ratings: int, num_blocks: int = NUM_BLOCKS) -> int:
+    """Item blocks for so many ratings: at least ``MIN_ITEM_BLOCKS``, at most ``num_blocks``."""
+    return min(num_blocks, max(MIN_ITEM_BLOCKS, -(-ratings // ITEM_BLOCK_RATINGS)))
+
 _USER = "_cz_user_index"
 _ITEM = "_cz_item_index"
 
@@ -77,20 +90,27 @@ def als_fit(ratings: DataFrame, user_col: str = "user_id",
 
     MLlib needs ids in the 32-bit range, so users and items are always mapped to
     dense ids with the skew-safe ``global_index``; ``als_predict`` maps them back.
-    Rows with a null user, item or rating are left out.
+    Rows with a null user, item or rating are left out. The ratings are kept on the
+    executors' disks for the time of the fit, which reads them several times.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
-    data = ratings.select(user_col, item_col, rating_col).dropna()
+    data = ratings.select(user_col, item_col, rating_col).dropna().persist(StorageLevel.DISK_ONLY)
     users, items = _dense(data, user_col, _USER), _dense(data, item_col, _ITEM)
-    data = data.join(users, user_col).join(items, item_col).select(_USER, _ITEM, rating_col)
+    mapped = data.join(users, user_col).join(items, item_col).select(
+        _USER, _ITEM, F.col(rating_col).cast("float")).persist(StorageLevel.DISK_ONLY)
     als = ALS(
-        numUserBlocks=num_blocks, numItemBlocks=num_blocks,
+        numUserBlocks=num_blocks, numItemBlocks=item_blocks(mapped.count(), num_blocks),
         rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha,
         userCol=_USER, itemCol=_ITEM, ratingCol=rating_col,
         nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,
         coldStartStrategy="drop", checkpointInterval=checkpoint_interval,
     )
-    return RatingModel(als.fit(data), users, items, user_col, item_col, reg, nonnegative, implicit)
+    try:
+        model = als.fit(mapped)
+    finally:
+        mapped.unpersist()
+        data.unpersist()
+    return RatingModel(model, users, items, user_col, item_col, reg, nonnegative, implicit)
 
 
 GRADIENT_TOLERANCE = 1e-3

@@ -74,6 +74,29 @@ def test_als_does_not_follow_the_cluster_size(spark):
     assert inspect.signature(als_fit).parameters["num_blocks"].default == NUM_BLOCKS
 
 
+def test_item_blocks_are_layout_only(spark, monkeypatch):
+    from cadenza.operators import als
+
+    assert als.item_blocks(10) == als.MIN_ITEM_BLOCKS < NUM_BLOCKS
+    assert als.item_blocks(5 * als.ITEM_BLOCK_RATINGS + 1) == 6
+    assert als.item_blocks(10**12) == NUM_BLOCKS and als.item_blocks(10**12, 2) == als.item_blocks(1, 2) == 2
+    df = _planted(spark)
+    got = []
+    for least in (als.MIN_ITEM_BLOCKS, NUM_BLOCKS, 1):
+        monkeypatch.setattr(als, "MIN_ITEM_BLOCKS", least)
+        model = als_fit(df, rank=3, reg=0.05, max_iter=5)
+        got.append({(r[0], r[1]): r[3] for r in als_predict(model, df).collect()})
+    for other in got[1:]:  # the same model whatever the number
+        assert max(abs(got[0][k] - other[k]) for k in got[0]) < 1e-5
+
+
+def test_nothing_stays_cached_after_the_fit(spark):
+    df = _planted(spark)
+    als_fit(df, rank=2, max_iter=2)
+    kept = df.select("user_id", "recording_mbid_index", "rating").dropna()
+    assert not kept.storageLevel.useDisk
+
+
 def test_mean_ratings(spark):
     df = spark.createDataFrame([(1, 5, 1.0), (1, 5, 0.5), (2, 5, 3.0)],
                                "user_id long, recording_mbid_index long, rating double")
