@@ -169,6 +169,51 @@ def test_repeated_blocks_of_main_are_boilerplate(spark, tag):
         2: "head 2 story 2", 3: "head 3 story 3", 4: f"head 4 story 4 {same}"}
 
 
+def _site_brute(pages, run):
+    """Article text of each page without what more than half of its host's articles hold."""
+    arts = [(i, url.split("/")[2], tuple(t for z, x in blocks(html) if z == MAIN for t in x.split(" ")))
+            for i, url, html in pages]
+    out = {}
+    for i, host, own in arts:
+        others = {a for _, h, a in arts if h == host}
+        hidden = set()
+        for k in range(len(own) - run + 1):
+            n = sum(any(a[j:j + run] == own[k:k + run] for j in range(len(a) - run + 1)) for a in others)
+            if len(others) >= 16 and 2 * n > len(others):
+                hidden.update(range(k, k + run))
+        cut = 2 * len(hidden) <= len(own)
+        out[i] = " ".join(t for k, t in enumerate(own) if not (cut and k in hidden))
+    return out
+
+
+def test_the_array_judges_article_text(spark):
+    rng = random.Random(3)
+    word = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    notice, series, half = word(14), word(15), word(13)
+    pages = []
+    for i in range(120):
+        host = ("site", "small", "copies")[i % 3] if i < 90 else "site"
+        if host == "small" and i > 45:
+            continue
+        parts = [word(rng.randrange(20, 40)), word(20)]
+        if host == "copies":
+            parts[0] = f"{'same ' * 30}{i}"
+        parts.insert(rng.randrange(3), notice if i % 7 else word(5))
+        if i % 5 == 0:
+            parts.append(series)
+        if i % 2:
+            parts.append(half)
+        pages.append((i, f"http://{host}/{i}", "<nav>n</nav><article>" + "".join(
+            f"<p>{p}</p>" for p in parts) + "</article>"))
+    pages += [(1000 + n, f"http://site/copy{n}", pages[0][2] + f"<footer>{n}</footer>") for n in range(80)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert got == _site_brute(pages, html_extract.RUN)
+    text = {i: " ".join(t for z, t in blocks(h) if z == MAIN) for i, _, h in pages}
+    cut = {i for i in got if got[i] != text[i]}
+    assert notice in text[3] and notice not in got[3] and notice in got[1] and series in got[0]
+    assert cut and all("//site/" in u for i, u, _ in pages if i in cut and "//copies/" not in u)
+
+
 def test_edge_rows(spark):
     long = "<p>" + "long " * 200_000 + "</p>"
     rows = [(1, None, "<p>x</p>", 1, "q"), (2, "http://a.b/", None, 1, "q"), (None, "/relative", "<p>y", 1, "q"),
