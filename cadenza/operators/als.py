@@ -170,8 +170,16 @@ def als_optimality(model: RatingModel, ratings: DataFrame, rating_col: str = "ra
 
 def als_predict(model: RatingModel, pairs: DataFrame, out: str = "prediction") -> DataFrame:
     """Score (user, item) pairs; pairs with an unknown user or item - any id, in
-    range or not, or null - are dropped; the score is returned as double."""
-    mapped = pairs.join(model.users, model.user_col).join(model.items, model.item_col)
-    scored = model.model.transform(mapped)
-    score = F.col(model.model.getPredictionCol()).cast("double")
-    return scored.select(*[F.col(c) for c in pairs.columns if c != out], score.alias(out))
+    range or not, or null - are dropped; the score is returned as double.
+
+    The score is the one of ``ALSModel.transform``, a sum of 32-bit floats in order of
+    the components. The items' factors are joined first: rows of one item then leave
+    that join side by side, and a shuffle by user compresses their equal factors, where
+    the model's own order sends a user's factors with every pair.
+    """
+    rows = (pairs.join(model.item_factors().withColumnRenamed("features", "_cz_y"), model.item_col)
+            .join(model.user_factors().withColumnRenamed("features", "_cz_x"), model.user_col))
+    score = sum((F.col("_cz_x")[j] * F.col("_cz_y")[j] for j in range(model.model.rank)),
+                F.lit(0.0).cast("float"))
+    scored = rows.select(*[F.col(c) for c in pairs.columns if c != out], score.cast("double").alias("_cz_s"))
+    return scored.where(~F.isnan("_cz_s")).withColumnRenamed("_cz_s", out)

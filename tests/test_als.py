@@ -171,3 +171,34 @@ def test_gradient_equals_dense_algebra(spark):
         m = sum((abs(me @ y[i]) + abs(r)) * abs(y[i]) for i, r in own) + 0.3 * len(own) * abs(me)
         off = np.where(me > 0, abs(g), np.maximum(-g, 0))
         assert row["violation"] == pytest.approx(max(off / m), abs=1e-12)
+
+
+def _shuffled_columns(df, name):
+    """Columns of each shuffle of rows that hold column ``name``."""
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sections = [s for s in text.split("\n\n") if ") Exchange" in s.split("\n")[0]]
+    found = [s.split("Input", 1)[1].split("\n")[0] for s in sections]
+    return [f for f in found if f"{name}#" in f]
+
+
+def test_predict_sends_pairs_by_item_then_by_user(spark):
+    model = als_fit(_planted(spark), rank=3, reg=0.01, max_iter=4)
+    pairs = spark.createDataFrame([(u, i, u * 100 + i) for u in range(21) for i in range(31)] + [(None, 1, 0)],
+                                  "user_id long, recording_mbid_index long, mark int")
+    own = pairs.join(model.users, "user_id").join(model.items, "recording_mbid_index")
+    want = {r["mark"]: r["prediction"] for r in model.model.transform(own).collect()}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        got = als_predict(model, pairs)
+        sent = _shuffled_columns(got, "mark")
+        assert {r["mark"]: r["prediction"] for r in got.collect()} == want  # equal to the last bit
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(want) == 600
+    assert len(sent) == 2 and not any("_cz_x#" in s or "features#" in s for s in sent)
+    assert sum("_cz_y#" in s for s in sent) == 1  # the factors of a run of one item, side by side
