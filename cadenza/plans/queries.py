@@ -368,8 +368,8 @@ def _als_rows(data):
     """Scored held-out pairs, and whether each score is the dot product of the
     stored non-negative factors of its user and item."""
     model, scores = flows.als_scores(data)
-    factors = (scores.join(model.user_factors().withColumnRenamed("features", "uf"), "user_id")
-               .join(model.item_factors().withColumnRenamed("features", "vf"), "recording_mbid_index"))
+    factors = (scores.join(model.item_factors().withColumnRenamed("features", "vf"), "recording_mbid_index")
+               .join(model.user_factors().withColumnRenamed("features", "uf"), "user_id"))
     product = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")),
                           F.lit(0.0), lambda acc, x: acc + x)
     return factors.select(
