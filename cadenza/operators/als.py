@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from cadenza.operators.positions import global_index, pin
 from cadenza.session import ensure_checkpoint_dir
@@ -70,6 +71,15 @@ def _dense(data: DataFrame, col: str, out: str) -> DataFrame:
     return pin(ids.withColumn(out, F.col(out).cast("int")))
 
 
+def _with_ids(data: DataFrame, ids: DataFrame, col: str, out: str) -> DataFrame:
+    """``data`` with the ids of ``col``. Values that are their own ids, like those of an
+    item index (C7), take no join: that is one shuffle of the ratings less."""
+    if (isinstance(data.schema[col].dataType, IntegralType)
+            and ids.where(F.col(col) != F.col(out)).isEmpty()):
+        return data.withColumn(out, F.col(col).cast("int"))
+    return data.join(ids, col)
+
+
 def mean_ratings(events: DataFrame, user_col: str = "user_id",
                  item_col: str = "recording_mbid_index", rating_col: str = "rating") -> DataFrame:
     """One rating per (user, item): the mean of its rows.
@@ -89,14 +99,15 @@ def als_fit(ratings: DataFrame, user_col: str = "user_id",
     ``implicit=True`` switches to the confidence-weighted implicit form.
 
     MLlib needs ids in the 32-bit range, so users and items are always mapped to
-    dense ids with the skew-safe ``global_index``; ``als_predict`` maps them back.
+    dense ids with the skew-safe ``global_index`` (not joined where they are the ids
+    already); ``als_predict`` maps them back.
     Rows with a null user, item or rating are left out. The ratings are kept on the
     executors' disks for the time of the fit, which reads them several times.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     data = ratings.select(user_col, item_col, rating_col).dropna().persist(StorageLevel.DISK_ONLY)
     users, items = _dense(data, user_col, _USER), _dense(data, item_col, _ITEM)
-    mapped = data.join(users, user_col).join(items, item_col).select(
+    mapped = _with_ids(_with_ids(data, users, user_col, _USER), items, item_col, _ITEM).select(
         _USER, _ITEM, F.col(rating_col).cast("float")).persist(StorageLevel.DISK_ONLY)
     als = ALS(
         numUserBlocks=num_blocks, numItemBlocks=item_blocks(mapped.count(), num_blocks),

@@ -28,8 +28,9 @@ def clean_interactions(interactions: DataFrame, tracks: DataFrame, users: DataFr
     usr = users.select(F.col(user_col).alias("_cz_users_user_id"))
 
     joined = inter.join(trk, inter["interactions_msid"] == trk["_cz_tracks_msid"], "inner")
-    joined = joined.join(usr, joined[user_col] == usr["_cz_users_user_id"], "inner")
-    return joined.select(
+    # one id leaves for the shuffle by user, not both of the track
+    known = joined.select(
         *[F.col(c) for c in inter.columns],
         fallback("_cz_mbid", "_cz_tracks_msid").alias(mbid_col),
     )
+    return known.join(usr, known[user_col] == usr["_cz_users_user_id"], "inner").drop("_cz_users_user_id")

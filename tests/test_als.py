@@ -90,6 +90,28 @@ def test_item_blocks_are_layout_only(spark, monkeypatch):
         assert max(abs(got[0][k] - other[k]) for k in got[0]) < 1e-5
 
 
+def test_ids_that_are_dense_already_take_no_join(spark, monkeypatch):
+    from cadenza.operators import als
+
+    plans, got = [], []
+
+    class Trainer(als.ALS):
+        def fit(self, mapped):
+            plans.append(mapped._jdf.queryExecution().analyzed().toString())
+            return super().fit(mapped)
+
+    monkeypatch.setattr(als, "ALS", Trainer)
+    df = _planted(spark)
+    for shift in (0, 7):  # items that are their own ids, and items that are not
+        made = df.withColumn("recording_mbid_index", F.col("recording_mbid_index") + shift)
+        model = als_fit(made.withColumn("user_id", F.col("user_id").cast("string")), rank=3, reg=0.05, max_iter=4)
+        scores = als_predict(model, made.withColumn("user_id", F.col("user_id").cast("string"))).collect()
+        got.append({(r["user_id"], r["recording_mbid_index"] - shift): r["prediction"] for r in scores})
+    assert [plan.count("Join ") for plan in plans] == [1, 2]  # texts are never their own ids
+    assert len(got[0]) == df.count() and got[0].keys() == got[1].keys()
+    assert max(abs(got[0][k] - got[1][k]) for k in got[0]) < 1e-6  # the same model
+
+
 def test_nothing_stays_cached_after_the_fit(spark):
     df = _planted(spark)
     als_fit(df, rank=2, max_iter=2)

@@ -56,6 +56,23 @@ def test_clean_fallback_and_drops(spark):
         (1, "m1", "b1"), (1, "m2", "m2")]
 
 
+def test_clean_sends_one_track_id_to_the_users(spark):
+    from test_als import _shuffled_columns
+
+    inter = spark.createDataFrame([(1, "m1", _ts(0))], "user_id long, recording_msid string, timestamp timestamp_ntz")
+    tracks = spark.createDataFrame([("m1", None)], "recording_msid string, recording_mbid string")
+    users = spark.createDataFrame([(1,)], "user_id long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = clean_interactions(inter, tracks, users)
+        sent = [columns for columns in _shuffled_columns(out, "timestamp") if "recording_mbid#" in columns]
+        assert rows(out, "recording_mbid") == [("m1",)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(sent) == 1 and "_cz_" not in sent[0]
+
+
 @pytest.mark.parametrize("n,train", [(1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 4), (7, 5), (10, 8)])
 def test_split_cutoff(spark, n, train):
     df = spark.createDataFrame([(7, f"m{i}", _ts(i), f"b{i}") for i in range(n)],
