@@ -31,9 +31,11 @@ NUM_BLOCKS = 16
 # Item blocks are layout only: the fit begins by solving for the items, so their initial
 # factors are never read. Every round sends each user's factors to all item blocks it has
 # ratings in, which is most of what a fit shuffles, so there are no more of them than
-# their size asks for. The number follows the ratings, not the cluster.
+# their size asks for. The number follows the ratings, not the cluster. The task that
+# builds a block holds some 40 bytes a rating of it at once, which nothing can spill:
+# up to 1.6 GB for the largest block.
 MIN_ITEM_BLOCKS = 3
-ITEM_BLOCK_RATINGS = 1 << 26
+ITEM_BLOCK_RATINGS = 40_000_000
 
 
 def item_blocks(ratings: int, num_blocks: int = NUM_BLOCKS) -> int:
@@ -101,8 +103,9 @@ def als_fit(ratings: DataFrame, user_col: str = "user_id",
     MLlib needs ids in the 32-bit range, so users and items are always mapped to
     dense ids with the skew-safe ``global_index`` (not joined where they are the ids
     already); ``als_predict`` maps them back.
-    Rows with a null user, item or rating are left out. The ratings are kept on the
-    executors' disks for the time of the fit, which reads them several times.
+    Rows with a null user, item or rating are left out. The ratings and the trainer's
+    blocks of them are kept on the executors' disks for the time of the fit, which reads
+    them several times: their heap is for the blocks being built or solved.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     data = ratings.select(user_col, item_col, rating_col).dropna().persist(StorageLevel.DISK_ONLY)
@@ -115,6 +118,7 @@ def als_fit(ratings: DataFrame, user_col: str = "user_id",
         userCol=_USER, itemCol=_ITEM, ratingCol=rating_col,
         nonnegative=nonnegative, implicitPrefs=implicit, seed=seed,
         coldStartStrategy="drop", checkpointInterval=checkpoint_interval,
+        intermediateStorageLevel="DISK_ONLY",
     )
     try:
         model = als.fit(mapped)

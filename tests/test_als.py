@@ -90,6 +90,31 @@ def test_item_blocks_are_layout_only(spark, monkeypatch):
         assert max(abs(got[0][k] - other[k]) for k in got[0]) < 1e-5
 
 
+def test_blocks_of_the_fit_fit_a_task_and_stay_off_the_heap(spark, monkeypatch):
+    from cadenza.operators import als
+
+    # 168 million ratings (360 times sf0.1): 40 bytes a rating while a block is built
+    for ratings in (10, 30_000_000, 168_000_000, NUM_BLOCKS * als.ITEM_BLOCK_RATINGS):
+        assert ratings / als.item_blocks(ratings) * 40 <= 1.6e9
+    levels, got = [], []
+
+    class Trainer(als.ALS):
+        def fit(self, mapped):
+            if levels:  # the second fit holds its blocks in memory
+                self.setIntermediateStorageLevel("MEMORY_AND_DISK")
+            levels.append(self.getIntermediateStorageLevel())
+            return super().fit(mapped)
+
+    monkeypatch.setattr(als, "ALS", Trainer)
+    df = _planted(spark)
+    for _ in range(2):
+        model = als_fit(df, rank=3, reg=0.05, max_iter=4)
+        got.append({(r[0], r[1]): r[3] for r in als_predict(model, df).collect()})
+    assert levels == ["DISK_ONLY", "MEMORY_AND_DISK"]
+    assert len(got[0]) == df.count() and got[0].keys() == got[1].keys()
+    assert max(abs(got[0][k] - got[1][k]) for k in got[0]) < 1e-6  # the same model
+
+
 def test_ids_that_are_dense_already_take_no_join(spark, monkeypatch):
     from cadenza.operators import als
 
